@@ -1,6 +1,16 @@
 """Column expressions.  Nothing here starts a Spark job."""
 
-from .money import CENTS, amount, ratio
+from .money import AMOUNT_LIMIT, amount, cents, cents_ratio, from_cents
 from .timestamps import event_time, time_literal, time_text, time_type
 
-__all__ = ["CENTS", "amount", "event_time", "ratio", "time_literal", "time_text", "time_type"]
+__all__ = [
+    "AMOUNT_LIMIT",
+    "amount",
+    "cents",
+    "cents_ratio",
+    "event_time",
+    "from_cents",
+    "time_literal",
+    "time_text",
+    "time_type",
+]

@@ -5,17 +5,20 @@ from .aggregate import (
     CountDistinct,
     Lookup,
     MartSpec,
+    Money,
     Ratio,
     Sum,
     build_mart,
     with_derived,
 )
 from .checks import (
+    CheckPlan,
     CheckResult,
     DataQualityError,
+    Reference,
+    audit,
     collect_results,
     column_checks,
-    counted_column_checks,
     gate,
     reference_check,
     running_baseline,
@@ -29,6 +32,7 @@ from .lookup import lookup, one_row_per_key, orphan_keys
 from .validate import FAILED_RULES, is_rejected, parse_time, rejected_rows, valid_rows
 
 __all__ = [
+    "CheckPlan",
     "CheckResult",
     "CountDistinct",
     "DAILY_CATEGORY_MART",
@@ -36,14 +40,16 @@ __all__ = [
     "FAILED_RULES",
     "Lookup",
     "MartSpec",
+    "Money",
     "Ratio",
+    "Reference",
     "Sum",
     "affected_days",
+    "audit",
     "batch_high",
     "build_mart",
     "collect_results",
     "column_checks",
-    "counted_column_checks",
     "current_rows",
     "gate",
     "high_mark",

@@ -8,18 +8,21 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import amount, ratio
+from ..functions import amount, cents_ratio, from_cents
 from .lookup import lookup
 
 
 @dataclass(frozen=True)
 class Sum:
-    """Sum of a column.  A decimal sum is reported as a double."""
-
     name: str
     column: str
 
 
+@dataclass(frozen=True)
+class Money(Sum):
+    """Sum of a column of whole cents, reported in currency units."""
+
+
 @dataclass(frozen=True)
 class CountDistinct:
     name: str
@@ -28,7 +31,7 @@ class CountDistinct:
 
 @dataclass(frozen=True)
 class Ratio:
-    """Quotient of two other measures, null where the divisor is zero."""
+    """A ``Money`` measure over another measure, null where the divisor is zero."""
 
     name: str
     numerator: str
@@ -103,18 +106,15 @@ def build_mart(
         *merged, *(F.count_distinct(m.column).alias(m.name) for m in exact)
     )
     return grouped.select(
-        *spec.grain, *(_report(grouped, m).alias(m.name) for m in spec.measures)
+        *spec.grain, *(_report(m).alias(m.name) for m in spec.measures)
     )
 
 
-def _report(grouped: DataFrame, measure: Sum | CountDistinct | Ratio) -> Column:
+def _report(measure: Sum | CountDistinct | Ratio) -> Column:
     if isinstance(measure, Ratio):
-        quotient = ratio(F.col(measure.numerator), F.col(measure.denominator), measure.scale)
-        return quotient.cast("double")
-    column = F.col(measure.name)
-    if grouped.schema[measure.name].dataType.typeName() == "decimal":
-        return column.cast("double")
-    return column
+        return cents_ratio(F.col(measure.numerator), F.col(measure.denominator), measure.scale)
+    value = F.col(measure.name)
+    return from_cents(value) if isinstance(measure, Money) else value
 
 
 #: Revenue, orders, customers, units and average order value by day and category.
@@ -122,7 +122,7 @@ DAILY_CATEGORY_MART = MartSpec(
     day="order_date",
     grain=("order_date", "category"),
     measures=(
-        Sum("total_revenue", "revenue"),
+        Money("total_revenue", "revenue"),
         CountDistinct("orders", "order_id"),
         CountDistinct("customers", "customer_id"),
         Sum("units", "quantity"),

@@ -25,13 +25,11 @@ def affected_days(batch: DataFrame, history: DataFrame, contract: Contract) -> D
     A correction may move a key to another day; the day it leaves changes too.
     The history scan reads the key columns only.  Its join turns into a map-side
     lookup when the batch's keys are small, and Spark decides that from their
-    measured size.
+    measured size.  What is shuffled after it is distinct days per map task.
     """
-    keys = batch.select(*contract.key).distinct()
+    keys = batch.select(*contract.key)
     moved = history.select(*contract.key, contract.day).join(keys, [*contract.key], "left_semi")
-    return (
-        touched_days(batch, contract.day).union(moved.select(contract.day).distinct()).distinct()
-    )
+    return batch.select(contract.day).union(moved.select(contract.day)).distinct()
 
 
 def current_rows(

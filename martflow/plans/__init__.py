@@ -1,15 +1,13 @@
 """Writing plans: ledger, partitioned publishing and the incremental flow."""
 
-from .flow import RETAIL_CHECKS, CheckPlan, Flow, FlowSpec, Reference, retail_spec
+from .flow import RETAIL_CHECKS, Flow, FlowSpec, retail_spec
 from .ledger import RunRecord, last_run, read_ledger, stored_cursor, volume_history
 from .scratch import scratch_folder, written
 
 __all__ = [
-    "CheckPlan",
     "Flow",
     "FlowSpec",
     "RETAIL_CHECKS",
-    "Reference",
     "RunRecord",
     "last_run",
     "read_ledger",

@@ -22,23 +22,22 @@ from pyspark.sql.types import StructType
 
 from ..operators import (
     DAILY_CATEGORY_MART,
+    CheckPlan,
     CheckResult,
     MartSpec,
+    Reference,
     affected_days,
+    audit,
     build_mart,
-    collect_results,
-    counted_column_checks,
     current_rows,
     gate,
     high_mark,
     is_rejected,
     latest_per_key,
     parse_time,
-    reference_check,
     rejected_rows,
     rows_after,
     valid_rows,
-    volume_check,
 )
 from ..sources import CUSTOMERS_SCHEMA, ORDERS, Contract, read_contract
 from . import ledger as runs
@@ -48,26 +47,6 @@ from .scratch import scratch_folder, written
 Table = Callable[[SparkSession], DataFrame]
 
 
-@dataclass(frozen=True)
-class Reference:
-    """Every ``column`` value has to exist as ``dim_column`` of the dimension."""
-
-    column: str
-    dim_column: str
-
-
-@dataclass(frozen=True)
-class CheckPlan:
-    not_null: tuple[str, ...] = ()
-    unique: tuple[str | tuple[str, ...], ...] = ()
-    non_negative: tuple[str, ...] = ()
-    reference: Reference | None = None
-    dimension_unique: bool = False
-    tolerance: float = 0.5
-    min_history: int = 3
-    history_lookback: int | None = None
-
-
 @dataclass(frozen=True)
 class FlowSpec:
     """Everything a flow needs: tables in, paths out, rules, checks, measures.
@@ -192,7 +171,8 @@ class Flow:
         rows, results = self._audit(staged, accept_volume, first)
         gate(results)
 
-        if first:
+        replaced = state.epoch if refresh else 0
+        if replaced:
             # Until the final row is in, the mart mixes two epochs.
             record(
                 epoch=epoch, batch_id=batch, status=runs.PUBLISHING, rows_read=read,
@@ -204,8 +184,8 @@ class Flow:
             rows_rejected=rejected, rows_in_batch=rows,
             watermark_after=high, checks=results,
         )
-        if refresh and state.epoch:
-            publish.retire_epoch(self.spark, spec.clean, state.epoch, contract)
+        if replaced:
+            publish.retire_epoch(self.spark, spec.clean, replaced, contract)
         return done
 
     # -- steps -------------------------------------------------------------
@@ -254,28 +234,10 @@ class Flow:
         self, staged: DataFrame, accept_volume: bool, first: bool
     ) -> tuple[int, list[CheckResult]]:
         plan = self.spec.checks
-        row = counted_column_checks(staged, plan.not_null, plan.unique, plan.non_negative).first()
+        history = runs.volume_history(self.ledger(), plan.history_lookback)
+        dimension = self.spec.dimension(self.spark) if plan.reference else None
+        row = audit(staged, plan, history.limit(0) if first else history, dimension).first()
         results = [CheckResult(**c.asDict()) for c in row["checks"]]
-        further = None
-        if plan.reference:
-            dimension = self.spec.dimension(self.spark)
-            further = reference_check(
-                staged, plan.reference.column, dimension, plan.reference.dim_column
-            )
-            if plan.dimension_unique:
-                key = plan.reference.dim_column
-                repeated = counted_column_checks(dimension, unique=(key,)).select(
-                    F.inline("checks")
-                )
-                further = further.union(
-                    repeated.withColumn("name", F.lit(f"dimension_unique[{key}]"))
-                )
-        history = self.ledger().limit(0) if first else self.ledger()
-        volume = volume_check(
-            runs.volume_history(history, plan.history_lookback), row["rows"],
-            tolerance=plan.tolerance, min_history=plan.min_history,
-        )
-        results += collect_results(volume if further is None else further.union(volume))
         if accept_volume:
             results = [
                 CheckResult(c.name, True, f"accepted: {c.detail}")

@@ -85,9 +85,8 @@ def replace_days(
     """
     spark = fresh.sparkSession
     present = touched_days(read_mart(spark, path, fresh.schema), day)
-    gone = present.join(touched_days(fresh, day), day, "left_anti")
-    if days is not None:
-        gone = gone.join(days.select(day), day, "left_semi")
+    gone = present if days is None else days.select(day).join(present, day, "left_semi")
+    gone = gone.join(touched_days(fresh, day), day, "left_anti")
     emptied = [row[day] for row in gone.collect()]  # at most one value per calendar day
 
     (

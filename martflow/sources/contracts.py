@@ -18,6 +18,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from ..functions import AMOUNT_LIMIT
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -88,16 +90,15 @@ CUSTOMERS_SCHEMA = StructType(
     ]
 )
 
-#: Above this, an amount no longer fits ``decimal(18,2)``.  Spark orders NaN
-#: above every number, so the same comparison turns NaN and infinity away.
-AMOUNT_LIMIT = "1e16D"
+#: Spark orders NaN above every number, so the range rule turns NaN and infinity away too.
+_IN_RANGE = f"quantity * unit_price < {AMOUNT_LIMIT:e}D"
 
 ORDER_RULES = (
     Rule("order_id_present", "order_id IS NOT NULL"),
     Rule("customer_id_present", "customer_id IS NOT NULL"),
     Rule("quantity_positive", "quantity > 0"),
     Rule("unit_price_positive", "unit_price > 0"),
-    Rule("amount_in_range", f"quantity * unit_price < {AMOUNT_LIMIT}"),
+    Rule("amount_in_range", _IN_RANGE),
     Rule("time_parsed", "order_ts IS NOT NULL"),
 )
 

@@ -149,7 +149,7 @@ SELECT *, concat_ws(',',
     CASE WHEN customer_id IS NULL THEN 'customer_id_present' END,
     CASE WHEN NOT coalesce(quantity > 0, false) THEN 'quantity_positive' END,
     CASE WHEN NOT coalesce(unit_price > 0, false) THEN 'unit_price_positive' END,
-    CASE WHEN NOT coalesce(quantity * unit_price < 1e16, false) THEN 'amount_in_range' END,
+    CASE WHEN NOT coalesce(quantity * unit_price < 1e13, false) THEN 'amount_in_range' END,
     CASE WHEN order_ts IS NULL THEN 'time_parsed' END) AS failed_rules
 FROM parsed WHERE NOT EXISTS (SELECT 1 FROM valid WHERE valid.order_id = parsed.order_id)""",
     "latest_per_key": f"WITH {LINES} SELECT * FROM newest",

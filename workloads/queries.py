@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martflow.functions import from_cents
 from martflow.operators import (
     DAILY_CATEGORY_MART,
     FAILED_RULES,
+    CheckPlan,
     affected_days,
     batch_high,
     build_mart,
@@ -31,7 +33,6 @@ from martflow.operators import (
 )
 from martflow.plans import (
     RETAIL_CHECKS,
-    CheckPlan,
     Flow,
     FlowSpec,
     last_run,
@@ -201,7 +202,7 @@ def rebuild_affected(spark: SparkSession, folder: str) -> DataFrame:
 
 def revenue_projection(spark: SparkSession, folder: str) -> DataFrame:
     rows = with_derived(_valid(spark, folder), DAILY_CATEGORY_MART)
-    return rows.select("order_id", F.col("revenue").cast("double").alias("revenue"))
+    return rows.select("order_id", from_cents(F.col("revenue")).alias("revenue"))
 
 
 # -- joins ---------------------------------------------------------------------------
@@ -211,7 +212,7 @@ def enrich_left(spark: SparkSession, folder: str) -> DataFrame:
     rows = with_derived(_valid(spark, folder), DAILY_CATEGORY_MART)
     joined = lookup(rows, customers(spark, folder), "customer_id", "customer_id", ["country"])
     return joined.select(
-        "order_id", "customer_id", F.col("revenue").cast("double").alias("revenue"), "country"
+        "order_id", "customer_id", from_cents(F.col("revenue")).alias("revenue"), "country"
     )
 
 

@@ -16,12 +16,13 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from martflow.functions import CENTS
+from martflow.functions import cents
 from martflow.operators import (
     DAILY_CATEGORY_MART,
     CountDistinct,
     Lookup,
     MartSpec,
+    Money,
     Ratio,
     Sum,
 )
@@ -79,7 +80,7 @@ LINES = Contract(
         Rule("line_present", "l_linenumber IS NOT NULL"),
         Rule("quantity_positive", "l_quantity > 0"),
         Rule("price_positive", "l_extendedprice > 0"),
-        Rule("price_in_range", "l_extendedprice < 1e16D"),
+        Rule("price_in_range", "l_extendedprice < 1e13D"),
         Rule("time_present", "l_shipdate IS NOT NULL"),
     ),
 )
@@ -88,26 +89,23 @@ MONTHLY_FLAG_MART = MartSpec(
     day="ship_month",
     grain=("ship_month", "l_returnflag"),
     measures=(
-        Sum("total_revenue", "revenue"),
+        Money("total_revenue", "revenue"),
         CountDistinct("orders", "l_orderkey"),
         CountDistinct("parts", "l_partkey"),
-        Sum("units", "units_decimal"),
+        Sum("units", "l_quantity"),
         Ratio("avg_order_value", "total_revenue", "orders"),
     ),
-    derived={
-        "revenue": lambda: F.col("l_extendedprice").cast(CENTS),
-        "units_decimal": lambda: F.col("l_quantity").cast(CENTS),
-    },
+    derived={"revenue": lambda: cents(F.col("l_extendedprice"))},
 )
 
 DAILY_BRAND_MART = MartSpec(
     day="order_date",
     grain=("order_date", "p_brand"),
     measures=(
-        Sum("total_revenue", "revenue"),
+        Money("total_revenue", "revenue"),
         CountDistinct("orders", "l_orderkey"),
         CountDistinct("customers", "o_custkey"),
-        Sum("units", "units_decimal"),
+        Sum("units", "l_quantity"),
         Ratio("avg_order_value", "total_revenue", "orders"),
     ),
     derived=MONTHLY_FLAG_MART.derived,
