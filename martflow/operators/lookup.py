@@ -23,16 +23,22 @@ def lookup(
     fact_key: str,
     dim_key: str,
     columns: Sequence[str],
+    reduced: bool = False,
 ) -> DataFrame:
     """Left-join ``columns`` of the dimension; facts without a match keep nulls.
 
     There is no broadcast hint.  Spark broadcasts the dimension when its measured
-    size is under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise;
-    adaptive execution then splits the partition of a hot key on the fact side,
-    which a left join allows.
+    size is under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
+
+    ``reduced`` states that the dimension already has one row per key.  For large
+    facts, reduce it with ``one_row_per_key`` and write the result first: its file
+    size is then known, and adaptive execution splits the partition of a hot fact
+    key.  It cannot do so where an aggregate stands between shuffle and join.
     """
-    reduced = one_row_per_key(dimension, dim_key, columns).withColumnRenamed(dim_key, "_dim_key")
-    return facts.join(reduced, F.col(fact_key) == F.col("_dim_key"), "left").drop("_dim_key")
+    if not reduced:
+        dimension = one_row_per_key(dimension, dim_key, columns)
+    brought = dimension.select(F.col(dim_key).alias("_dim_key"), *columns)
+    return facts.join(brought, F.col(fact_key) == F.col("_dim_key"), "left").drop("_dim_key")
 
 
 def orphan_keys(facts: DataFrame, key: str, dimension: DataFrame, dim_key: str) -> DataFrame:

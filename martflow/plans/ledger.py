@@ -6,6 +6,7 @@ and the last run's summary are queries over the ledger, so they cannot disagree.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
@@ -95,8 +96,8 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_run(spark: SparkSession, path: str, record: RunRecord) -> None:
-    row = {**asdict(record), "checks": [asdict(c) for c in record.checks]}
-    one = spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1)
+    row = F.from_json(F.lit(json.dumps(asdict(record))), LEDGER_SCHEMA)
+    one = spark.range(0, 1, numPartitions=1).select(F.inline(F.array(row)))
     one.write.mode("append").json(path)
 
 

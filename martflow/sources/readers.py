@@ -4,10 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
-
-#: Formats whose text is parsed while reading, so a line can be malformed.
-TEXT_FORMATS = ("csv", "json")
+from pyspark.sql.types import StructType
 
 
 def read_contract(
@@ -16,32 +13,23 @@ def read_contract(
     schema: StructType,
     fmt: str = "csv",
     strict_header: bool = False,
-    corrupt_column: str | None = None,
 ) -> DataFrame:
     """Scan CSV, JSON, Parquet or ORC files with exactly ``schema``.
 
-    CSV columns bind by position and short lines are padded with nulls;
-    ``strict_header`` makes the read fail where header names differ instead.
-    ``corrupt_column`` keeps the text of malformed lines, for a validity rule to
-    look at.  CSV column pruning is then off, because a pruned reader skips the
-    very fields that would show the line to be malformed.
+    CSV columns bind by position, short lines are padded with nulls, and text that
+    does not fit a column's type becomes null, for the validity rules to reject.
+    ``strict_header`` makes the read fail where header names differ.
     """
     reader = spark.read
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", not strict_header)
-    if corrupt_column:
-        if fmt not in TEXT_FORMATS:
-            raise ValueError(f"{fmt} files have no malformed lines to keep")
-        schema = StructType([*schema, StructField(corrupt_column, StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-        reader = reader.option("columnPruning", False)
     return reader.schema(schema).format(fmt).load(path)
 
 
-def read_if_present(spark: SparkSession, path: str, schema: StructType, fmt: str, **options) -> DataFrame:
+def read_if_present(spark: SparkSession, path: str, schema: StructType, fmt: str) -> DataFrame:
     """Scan a dataset that may not have been written yet; absent reads as empty."""
     try:
-        return spark.read.schema(schema).format(fmt).options(**options).load(path)
+        return spark.read.schema(schema).format(fmt).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -19,6 +19,7 @@ from martflow.operators import (
     current_rows,
     latest_per_key,
     lookup,
+    one_row_per_key,
     orphan_keys,
     parse_time,
     reference_check,
@@ -210,7 +211,9 @@ def revenue_projection(spark: SparkSession, folder: str) -> DataFrame:
 
 def enrich_left(spark: SparkSession, folder: str) -> DataFrame:
     rows = with_derived(_valid(spark, folder), DAILY_CATEGORY_MART)
-    joined = lookup(rows, customers(spark, folder), "customer_id", "customer_id", ["country"])
+    people = one_row_per_key(customers(spark, folder), "customer_id", ["country"])
+    people = written(people, f"{scratch_folder(spark)}/people")
+    joined = lookup(rows, people, "customer_id", "customer_id", ["country"], reduced=True)
     return joined.select(
         "order_id", "customer_id", from_cents(F.col("revenue")).alias("revenue"), "country"
     )
@@ -219,8 +222,10 @@ def enrich_left(spark: SparkSession, folder: str) -> DataFrame:
 def enrich_unmatched(spark: SparkSession, folder: str) -> DataFrame:
     """Orders looked up in a table that repeats some keys and lacks others."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    dimension = table(spark, folder, "lineitem").select("l_orderkey", "l_shipdate", "l_returnflag")
-    return lookup(orders, dimension, "o_orderkey", "l_orderkey", ["l_shipdate", "l_returnflag"])
+    brought = ["l_shipdate", "l_returnflag"]
+    items = one_row_per_key(table(spark, folder, "lineitem"), "l_orderkey", brought)
+    items = written(items, f"{scratch_folder(spark)}/items")
+    return lookup(orders, items, "o_orderkey", "l_orderkey", brought, reduced=True)
 
 
 def orphans_anti(spark: SparkSession, folder: str) -> DataFrame:
