@@ -23,12 +23,22 @@ def affected_days(batch: DataFrame, history: DataFrame, contract: Contract) -> D
     """Days of the batch, and the days where its keys already have versions.
 
     A correction may move a key to another day; the day it leaves changes too.
-    The history scan reads the key columns only.  Its join turns into a map-side
-    lookup when the batch's keys are small, and Spark decides that from their
-    measured size.  What is shuffled after it is distinct days per map task.
+    The history scan reads the key columns only, and only where Parquet statistics
+    allow for a key in the batch's range; with keys that grow over time that leaves
+    little to read.  Its join turns into a map-side lookup when the batch's keys
+    are small, and Spark decides that from their measured size.  What is shuffled
+    after it is distinct days per map task.
     """
     keys = batch.select(*contract.key)
-    moved = history.select(*contract.key, contract.day).join(keys, [*contract.key], "left_semi")
+    lead = contract.key[0]
+    in_range = F.col(lead).between(
+        batch.agg(F.min(lead)).scalar(), batch.agg(F.max(lead)).scalar()
+    )
+    moved = (
+        history.select(*contract.key, contract.day)
+        .filter(in_range)
+        .join(keys, [*contract.key], "left_semi")
+    )
     return batch.select(contract.day).union(moved.select(contract.day)).distinct()
 
 
