@@ -28,7 +28,9 @@ from martflow.operators import (  # noqa: E402
     current_rows,
     latest_per_key,
     orphan_keys,
+    parse_time,
     rows_after,
+    valid_rows,
 )
 from martflow.plans import RETAIL_CHECKS, Flow, FlowSpec, scratch_folder, volume_history, written  # noqa: E402
 from workloads.tables import EVENT_ORDERS, customers, event_orders  # noqa: E402
@@ -93,6 +95,10 @@ def main() -> None:
         history = volume_history(grown.ledger())
         result["checks, one action"] = timed(lambda: audit(clean, RETAIL_CHECKS, history, people).collect())
         result["checks, one action each"] = timed(lambda: one_action_per_check(clean, people))
+        parsed = parse_time(source(spark), EVENT_ORDERS)
+        unstaged = latest_per_key(valid_rows(parsed, EVENT_ORDERS.rules), ["order_id"], "order_ts")
+        result["checks, one action each, batch not staged"] = timed(
+            lambda: one_action_per_check(unstaged, people))
 
         days = written(spark.createDataFrame([(LAST_DAY,)], "order_date date"), f"{scratch_folder(spark)}/days")
         bounded = current_rows(clean, days, LAST_DAY, EVENT_ORDERS)
