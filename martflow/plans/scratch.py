@@ -17,8 +17,7 @@ def scratch_folder(spark: SparkSession) -> str:
     Only a local session without that setting falls back to a temporary folder;
     executors of a cluster could not see it.
     """
-    conf = spark.sparkContext.getConf()
-    root = spark.conf.get(CHECKPOINT_SETTING, None) or conf.get(CHECKPOINT_SETTING)
+    root = spark.conf.get(CHECKPOINT_SETTING, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")

@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from martflow.plans.scratch import CHECKPOINT_SETTING  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -15,9 +17,10 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    if not session.conf.get(CHECKPOINT_SETTING, None):
+        session.conf.set(CHECKPOINT_SETTING, str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()

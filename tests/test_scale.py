@@ -165,7 +165,7 @@ def test_a_rebuild_reads_no_partition_before_its_first_day(spark, tmp_path):
 
 
 def test_scratch_folder_follows_the_session(spark):
-    root = spark.sparkContext.getConf().get(scratch.CHECKPOINT_SETTING)
+    root = spark.conf.get(scratch.CHECKPOINT_SETTING)
     one, two = scratch.scratch_folder(spark), scratch.scratch_folder(spark)
     assert one.startswith(root) and two.startswith(root) and one != two
 
