@@ -1,7 +1,7 @@
 """Column expressions.  Nothing here starts a Spark job."""
 
 from .money import AMOUNT_LIMIT, amount, cents, cents_ratio, from_cents
-from .timestamps import event_time, time_literal, time_text, time_type
+from .timestamps import event_time, parsed_type, time_literal, time_text, time_type
 
 __all__ = [
     "AMOUNT_LIMIT",
@@ -10,6 +10,7 @@ __all__ = [
     "cents_ratio",
     "event_time",
     "from_cents",
+    "parsed_type",
     "time_literal",
     "time_text",
     "time_type",

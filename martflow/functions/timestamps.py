@@ -14,10 +14,14 @@ from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampTyp
 _TIME_TYPES = (DateType, TimestampNTZType, TimestampType)
 
 
+def parsed_type(kind: DataType) -> DataType:
+    """What a column of type ``kind`` becomes when parsed: text a zoneless timestamp."""
+    return kind if isinstance(kind, _TIME_TYPES) else TimestampNTZType()
+
+
 def time_type(df: DataFrame, column: str) -> DataType:
-    """The type ``event_time`` gives ``column``; text becomes a zoneless timestamp."""
-    found = df.schema[column].dataType
-    return found if isinstance(found, _TIME_TYPES) else TimestampNTZType()
+    """The type ``event_time`` gives ``column``."""
+    return parsed_type(df.schema[column].dataType)
 
 
 def event_time(df: DataFrame, column: str) -> Column:

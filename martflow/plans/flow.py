@@ -93,6 +93,10 @@ class Flow:
     """Runs a ``FlowSpec`` and reads what it published.  One writer at a time."""
 
     def __init__(self, spark: SparkSession, spec: FlowSpec):
+        if spec.mart_spec.day != spec.contract.day or spec.contract.day not in spec.mart_spec.grain:
+            raise ValueError(f"the mart must be grouped by the contract's day, {spec.contract.day}")
+        if spec.dimension is None and (spec.checks.reference or spec.mart_spec.lookup):
+            raise ValueError("a reference check or a lookup needs a dimension")
         self.spark = spark
         self.spec = spec
 
@@ -209,14 +213,14 @@ class Flow:
         contract = self.spec.contract
         row = new.agg(
             F.count(F.lit(1)).alias("read"),
-            F.count_if(is_rejected(contract.rules)).alias("rejected"),
+            F.count_if(is_rejected(contract.validity)).alias("rejected"),
             high_mark(new, contract.time, cursor).alias("high"),
         ).first()
         return row["read"], row["rejected"], row["high"]
 
     def _write_batch(self, batch_rows: DataFrame, epoch: int, batch: int) -> None:
         contract = self.spec.contract
-        valid = valid_rows(batch_rows, contract.rules).select(*contract.clean_schema.names)
+        valid = valid_rows(batch_rows, contract.validity).select(*contract.clean_schema.names)
         clean = latest_per_key(
             valid, contract.key, contract.time,
             contract.tiebreak or [c for c in contract.schema.names if c not in contract.key],
@@ -225,7 +229,7 @@ class Flow:
 
     def _write_rejects(self, new: DataFrame, epoch: int, batch: int) -> None:
         (
-            rejected_rows(new, self.spec.contract.rules)
+            rejected_rows(new, self.spec.contract.validity)
             .write.mode("overwrite")
             .parquet(f"{self.spec.rejects}/{publish.EPOCH}={epoch}/{publish.BATCH}={batch}")
         )

@@ -7,18 +7,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DataType,
     DateType,
     DoubleType,
     IntegerType,
     StringType,
     StructField,
     StructType,
-    TimestampNTZType,
-    TimestampType,
 )
 
-from ..functions import AMOUNT_LIMIT
+from ..functions import AMOUNT_LIMIT, parsed_type
 
 
 @dataclass(frozen=True)
@@ -53,6 +50,13 @@ class Contract:
     day: str = "order_date"
     day_of: str = ""
 
+    @property
+    def validity(self) -> tuple[Rule, ...]:
+        """The rules, completed: a row always needs its key and its time."""
+        stated = {rule.predicate for rule in self.rules}
+        needed = (Rule(f"{c}_present", f"{c} IS NOT NULL") for c in (*self.key, self.time))
+        return (*self.rules, *(rule for rule in needed if rule.predicate not in stated))
+
     @property
     def day_expression(self) -> str:
         return self.day_of or f"to_date({self.time})"
@@ -61,16 +65,12 @@ class Contract:
     def clean_schema(self) -> StructType:
         """Schema of the fact layer: times parsed, the day column last."""
         fields = [
-            StructField(f.name, _parsed(f.dataType) if f.name == self.time else f.dataType)
+            StructField(f.name, parsed_type(f.dataType) if f.name == self.time else f.dataType)
             for f in self.schema
         ]
         return StructType([*fields, StructField(self.day, DateType())])
 
 
-def _parsed(kind: DataType) -> DataType:
-    return kind if isinstance(kind, TimestampType) else TimestampNTZType()
-
-
 # Column names and types of the two raw tables.
 ORDERS_SCHEMA = StructType(
     [
