@@ -62,7 +62,7 @@ def current_rows(
     listed = days.filter(F.col(day) >= F.lit(first_day)).select(day)
 
     best = latest_per_key(
-        recent.join(listed, day, "left_semi"), key, contract.time, contract.tiebreak
+        recent.join(listed, day, "left_semi"), key, contract.time, contract.ties
     )
     newest_elsewhere = (
         recent.select(*key, day)

@@ -108,9 +108,7 @@ class Flow:
     def versions(self) -> DataFrame:
         """All confirmed fact rows, every version, with the batch each came in."""
         state = runs.ledger_state(self.ledger())
-        return publish.read_batches(
-            self.spark, self.spec.clean, state.epoch, 1, state.last_batch, self.spec.contract
-        )
+        return self._batches(state.epoch, state.last_batch)
 
     def clean(self) -> DataFrame:
         """All confirmed fact rows, every version."""
@@ -119,7 +117,7 @@ class Flow:
     def current(self) -> DataFrame:
         """The latest version of each key over all confirmed batches."""
         contract = self.spec.contract
-        return latest_per_key(self.clean(), contract.key, contract.time, contract.tiebreak)
+        return latest_per_key(self.clean(), contract.key, contract.time, contract.ties)
 
     def mart(self) -> DataFrame:
         """The published mart in grain order."""
@@ -170,7 +168,7 @@ class Flow:
         self._write_batch(rows_after(new, None, contract.time, upto=high), epoch, batch)
         if spec.rejects:
             self._write_rejects(new, epoch, batch)
-        staged = self._batches(epoch, batch, batch)
+        staged = publish.read_batch(self.spark, spec.clean, epoch, batch, contract)
 
         rows, results = self._audit(staged, accept_volume, first)
         gate(results)
@@ -194,10 +192,8 @@ class Flow:
 
     # -- steps -------------------------------------------------------------
 
-    def _batches(self, epoch: int, first: int, last: int) -> DataFrame:
-        return publish.read_batches(
-            self.spark, self.spec.clean, epoch, first, last, self.spec.contract
-        ).drop(publish.BATCH)
+    def _batches(self, epoch: int, last: int) -> DataFrame:
+        return publish.read_batches(self.spark, self.spec.clean, epoch, last, self.spec.contract)
 
     def _mart_schema(self) -> StructType:
         empty = self.spark.createDataFrame([], self.spec.contract.clean_schema)
@@ -221,10 +217,7 @@ class Flow:
     def _write_batch(self, batch_rows: DataFrame, epoch: int, batch: int) -> None:
         contract = self.spec.contract
         valid = valid_rows(batch_rows, contract.validity).select(*contract.clean_schema.names)
-        clean = latest_per_key(
-            valid, contract.key, contract.time,
-            contract.tiebreak or [c for c in contract.schema.names if c not in contract.key],
-        )
+        clean = latest_per_key(valid, contract.key, contract.time, contract.ties)
         publish.write_batch(clean, self.spec.clean, epoch, batch, contract)
 
     def _write_rejects(self, new: DataFrame, epoch: int, batch: int) -> None:
@@ -256,13 +249,14 @@ class Flow:
         if first:
             days, rows = None, staged  # one batch, already one row per key
         else:
-            earlier = self._batches(epoch, 1, batch - 1)
+            versions = self._batches(epoch, batch)
+            earlier = versions.filter(F.col(publish.BATCH) < batch)
             days = written(
                 affected_days(staged, earlier, contract).coalesce(1), f"{scratch}/days"
             )
             first_day = days.agg(F.min(contract.day)).first()[0]
             if first_day is None:
                 return  # no valid row in the batch
-            rows = current_rows(self._batches(epoch, 1, batch), days, first_day, contract)
+            rows = current_rows(versions.drop(publish.BATCH), days, first_day, contract)
         fresh = written(self._mart_of(rows), f"{scratch}/mart")
         publish.replace_days(fresh, days, self.spec.mart, contract.day, mart.grain)

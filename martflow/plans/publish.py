@@ -46,15 +46,23 @@ def write_batch(df: DataFrame, root: str, epoch: int, batch: int, contract: Cont
 
 
 def read_batches(
-    spark: SparkSession, root: str, epoch: int, first: int, last: int, contract: Contract
+    spark: SparkSession, root: str, epoch: int, last: int, contract: Contract
 ) -> DataFrame:
-    """Fact rows of batches ``first`` to ``last`` of an epoch, with their batch number.
+    """Fact rows of an epoch up to batch ``last``, with their batch number.
 
     A batch that no ledger row confirms has a higher number and stays unread.
     """
     schema = StructType([*contract.clean_schema, StructField(BATCH, LongType())])
     rows = read_if_present(spark, epoch_folder(root, epoch), schema, "parquet")
-    return rows.filter(F.col(BATCH).between(first, last))
+    return rows.filter(F.col(BATCH) <= last)
+
+
+def read_batch(
+    spark: SparkSession, root: str, epoch: int, batch: int, contract: Contract
+) -> DataFrame:
+    """Fact rows of one batch; lists that batch's folder only."""
+    folder = f"{epoch_folder(root, epoch)}/{BATCH}={batch}"
+    return read_if_present(spark, folder, contract.clean_schema, "parquet")
 
 
 def retire_epoch(spark: SparkSession, root: str, epoch: int, contract: Contract) -> None:

@@ -57,6 +57,13 @@ class Contract:
         needed = (Rule(f"{c}_present", f"{c} IS NOT NULL") for c in (*self.key, self.time))
         return (*self.rules, *(rule for rule in needed if rule.predicate not in stated))
 
+    @property
+    def ties(self) -> tuple[str, ...]:
+        """Columns that settle versions with the same time."""
+        return self.tiebreak or tuple(
+            c for c in self.schema.names if c != self.time and c not in self.key
+        )
+
     @property
     def day_expression(self) -> str:
         return self.day_of or f"to_date({self.time})"

@@ -79,8 +79,7 @@ def _valid(spark: SparkSession, folder: str) -> DataFrame:
 
 def _clean(spark: SparkSession, folder: str) -> DataFrame:
     return latest_per_key(
-        _valid(spark, folder), ["order_id"], "order_ts",
-        ["customer_id", "category", "quantity", "unit_price"],
+        _valid(spark, folder), EVENT_ORDERS.key, EVENT_ORDERS.time, EVENT_ORDERS.ties
     )
 
 
@@ -237,7 +236,7 @@ def orphans_anti(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return latest_per_key(_valid_lines(spark, folder), LINES.key, LINES.time, LINES.tiebreak)
+    return latest_per_key(_valid_lines(spark, folder), LINES.key, LINES.time, LINES.ties)
 
 
 def latest_across_batches(spark: SparkSession, folder: str) -> DataFrame:
