@@ -23,6 +23,8 @@ def affected_days(batch: DataFrame, history: DataFrame, contract: Contract) -> D
     """Days of the batch, and the days where its keys already have versions.
 
     A correction may move a key to another day; the day it leaves changes too.
+    ``batch`` has one row per key and should be a written table: adaptive execution
+    can then split a key with very many versions on the history side.
     The history scan reads the key columns only, and only where Parquet statistics
     allow for a key in the batch's range; with keys that grow over time that leaves
     little to read.  Its join turns into a map-side lookup when the batch's keys
@@ -54,8 +56,7 @@ def current_rows(
 
     Other days from ``first_day`` on can hold a newer version.  They contribute
     their keys and partition value only, reduced to one row per key before the
-    shuffle.  Where ``days`` are the most recent ones, there are no such
-    partitions and that branch reads nothing.
+    shuffle.  Where ``days`` are the most recent ones, that branch shuffles nothing.
     """
     key, day = [*contract.key], contract.day
     recent = history.filter(F.col(day) >= F.lit(first_day))

@@ -167,10 +167,13 @@ SELECT * FROM valid WHERE order_date IN (
       PARTITION BY category ORDER BY unit_price DESC, order_id DESC) AS r FROM valid)
   WHERE r = 1)""",
     "affected_days": f"""
-WITH {LINES}
-SELECT DISTINCT ship_month FROM lines l
-WHERE EXISTS (SELECT 1 FROM lines b WHERE b.l_shipdate > TIMESTAMP '{LINE_CURSOR}'
-              AND b.l_orderkey = l.l_orderkey AND b.l_linenumber = l.l_linenumber)""",
+WITH {LINES}, late AS (
+  SELECT l_orderkey, l_linenumber, max(ship_month) AS ship_month
+  FROM lines WHERE l_shipdate > TIMESTAMP '{LINE_CURSOR}' GROUP BY l_orderkey, l_linenumber)
+SELECT ship_month FROM late
+UNION
+SELECT l.ship_month FROM lines l JOIN late USING (l_orderkey, l_linenumber)
+WHERE l.l_shipdate <= TIMESTAMP '{LINE_CURSOR}'""",
     "rebuild_affected": f"""
 WITH {LINES}, peaks AS (
   SELECT l_returnflag, year(ship_month) AS y, ship_month, count(*) AS n FROM lines GROUP BY ALL)

@@ -185,7 +185,9 @@ def touched_days_filter(spark: SparkSession, folder: str) -> DataFrame:
 def affected(spark: SparkSession, folder: str) -> DataFrame:
     """Months a late batch of order lines touches, through corrections too."""
     rows = _valid_lines(spark, folder)
-    batch = rows_after(rows, LINE_CURSOR, "l_shipdate")
+    late = rows_after(rows, LINE_CURSOR, "l_shipdate")
+    batch = latest_per_key(late, LINES.key, LINES.time, LINES.ties)
+    batch = written(batch, f"{scratch_folder(spark)}/batch")
     return affected_days(batch, rows_after(rows, None, "l_shipdate", upto=LINE_CURSOR), LINES)
 
 
