@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions import time_literal, time_type
 from ..operators import (
     DAILY_CATEGORY_MART,
     CheckPlan,
@@ -162,12 +163,13 @@ class Flow:
                 rows_rejected=rejected, rows_in_batch=0, watermark_after=cursor,
             )
 
+        scratch = scratch_folder(self.spark)
         epoch = state.epoch + 1 if first else state.epoch
         batch = 1 if first else state.last_batch + 1
         # A source that grows while the run reads it must not change the batch.
         self._write_batch(rows_after(new, None, contract.time, upto=high), epoch, batch)
         if spec.rejects:
-            self._write_rejects(new, epoch, batch)
+            self._write_rejects(new, high, epoch, batch)
         staged = publish.read_batch(self.spark, spec.clean, epoch, batch, contract)
 
         rows, results = self._audit(staged, accept_volume, first)
@@ -180,7 +182,7 @@ class Flow:
                 epoch=epoch, batch_id=batch, status=runs.PUBLISHING, rows_read=read,
                 rows_rejected=rejected, rows_in_batch=rows, watermark_after=high,
             )
-        self._publish_mart(staged, epoch, batch, first)
+        self._publish_mart(staged, epoch, batch, first, scratch)
         done = record(
             epoch=epoch, batch_id=batch, status=runs.SUCCESS, rows_read=read,
             rows_rejected=rejected, rows_in_batch=rows,
@@ -220,9 +222,11 @@ class Flow:
         clean = latest_per_key(valid, contract.key, contract.time, contract.ties)
         publish.write_batch(clean, self.spec.clean, epoch, batch, contract)
 
-    def _write_rejects(self, new: DataFrame, epoch: int, batch: int) -> None:
+    def _write_rejects(self, new: DataFrame, high: str, epoch: int, batch: int) -> None:
+        contract = self.spec.contract
+        upto = F.col(contract.time) <= time_literal(time_type(new, contract.time), high)
         (
-            rejected_rows(new, self.spec.contract.validity)
+            rejected_rows(new.filter(F.coalesce(upto, F.lit(True))), contract.validity)
             .write.mode("overwrite")
             .parquet(f"{self.spec.rejects}/{publish.EPOCH}={epoch}/{publish.BATCH}={batch}")
         )
@@ -243,9 +247,10 @@ class Flow:
             ]
         return row["rows"], results
 
-    def _publish_mart(self, staged: DataFrame, epoch: int, batch: int, first: bool) -> None:
+    def _publish_mart(
+        self, staged: DataFrame, epoch: int, batch: int, first: bool, scratch: str
+    ) -> None:
         contract, mart = self.spec.contract, self.spec.mart_spec
-        scratch = scratch_folder(self.spark)
         if first:
             days, rows = None, staged  # one batch, already one row per key
         else:

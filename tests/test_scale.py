@@ -172,6 +172,15 @@ def test_scratch_folder_follows_the_session(spark):
     assert one.startswith(root) and two.startswith(root) and one != two
 
 
+def test_a_cluster_without_a_shared_scratch_folder_is_refused():
+    class Cluster:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.scratch_folder(Cluster)
+
+
 def test_composite_keys_keep_every_version_apart(spark):
     rows = lines(spark, FOLDER)
     latest = latest_per_key(rows, LINES.key, LINES.time, LINES.tiebreak)
