@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import connect, differences
+from workloads.expected_sql import EXPECTED
+from workloads.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -14,12 +16,12 @@ def db():
 
 
 def test_each_query_has_expected_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(EXPECTED)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, db, name):
-    assert differences(queries()[name](spark, FOLDER), db, oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, FOLDER), db, EXPECTED[name]) == []
 
 
 def test_entry_returns_the_mart(spark):
