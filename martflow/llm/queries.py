@@ -5,16 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id
+from ..plans.scratch import scratch_folder
+from . import language_id, quality
 from .common import in_held_out, table, utf8
+from .decontamination import find_leaks
 from .exact_dedup import exact_duplicates
+from .licenses import scan_licenses
+from .line_dedup import drop_repeated_runs
 from .packing import pack_documents
 from .sharding import assign_shards
 from .simhash import near_duplicates
+from .warc import read_archives, write_archives
 
 SHARDS = 8
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without later copies of repeated runs of lines."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    counted = docs.select("doc_id", "text", F.size(F.split(text, "\n")).cast("long").alias("lines"))
+    left = drop_repeated_runs(counted)
+    cut = F.size(F.split(text, "\n")).cast("long")
+    return left.select(
+        "doc_id",
+        "lines",
+        F.when(F.octet_length(text) == 0, F.lit(0).cast("long")).otherwise(cut).alias("lines_left"),
+        F.sha2(text.cast("binary"), 256).alias("text_sha256"),
+    )
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -27,6 +47,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = utf8(F.col("text"))
     rows = table(spark, sf_dir, "documents").select(
@@ -38,6 +62,24 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(rows, "doc_id", [1.0] * SHARDS, [1.0] * (SHARDS + 1))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = f"{scratch_folder(spark)}/archives"
+    write_archives(table(spark, sf_dir, "pages"), archives)
+    return read_archives(spark, archives)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = in_held_out(F.col("doc_id"))
+    labels = table(spark, sf_dir, "labels").filter(~held_out)
+    scored = quality.score_documents(docs, quality.train(docs.filter(~held_out), labels))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -48,10 +90,54 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_exact_dedup, op3_language_id, op5_sharding, op9_packing, op10_simhash)
-}
+    for f in (
+        op1_line_dedup, op2_exact_dedup, op3_language_id, op4_license_scan, op5_sharding,
+        op6_decontamination, op7_warc, op8_quality, op9_packing, op10_simhash,
+    )
+}
 
 EXPECTED = {
+    "op1_line_dedup": r"""
+        WITH split AS (
+            SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+        ), lines AS (
+            SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS line_no FROM split
+        ), worded AS (
+            SELECT *, row_number() OVER w AS idx, sum(words) OVER w AS total
+            FROM (
+                SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM lines
+            )
+            WHERE words > 0
+            WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)
+        ), runs AS (
+            SELECT a.doc_id, a.idx AS first, b.idx AS last
+            FROM worded a JOIN worded b ON a.doc_id = b.doc_id AND a.idx <= b.idx
+            WHERE b.total - a.total + a.words >= 50
+              AND (b.total - b.words - a.total + a.words < 50 OR b.total - a.total < 50)
+        ), content AS (
+            SELECT r.doc_id, r.first, r.last, string_agg(w.line, chr(10) ORDER BY w.idx) AS text,
+                   min(w.line_no) AS first_line, max(w.line_no) AS last_line
+            FROM runs r JOIN worded w ON w.doc_id = r.doc_id AND w.idx BETWEEN r.first AND r.last
+            GROUP BY ALL
+        ), later AS (
+            SELECT doc_id, first_line, last_line
+            FROM content
+            QUALIFY (doc_id, first) > min((doc_id, first)) OVER (PARTITION BY text)
+        ), gone AS (
+            SELECT DISTINCT l.doc_id, l.line_no
+            FROM lines l JOIN later r
+              ON l.doc_id = r.doc_id AND l.line_no BETWEEN r.first_line AND r.last_line
+        ), kept AS (
+            SELECT l.doc_id, coalesce(string_agg(l.line, chr(10) ORDER BY l.line_no), '') AS text,
+                   count(*) AS lines_left
+            FROM lines l ANTI JOIN gone g ON l.doc_id = g.doc_id AND l.line_no = g.line_no
+            GROUP BY l.doc_id
+        )
+        SELECT s.doc_id, len(s.parts)::BIGINT AS lines,
+               CASE WHEN coalesce(k.text, '') = '' THEN 0 ELSE k.lines_left END::BIGINT AS lines_left,
+               sha256(coalesce(k.text, '')) AS text_sha256
+        FROM split s LEFT JOIN kept k USING (doc_id)
+    """,
     "op2_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id,
@@ -65,4 +151,23 @@ EXPECTED = {
                sha256(norm) AS text_sha256
         FROM n
     """,
+    "op7_warc": r"""
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS payload,
+                   min(page_id) OVER (PARTITION BY coalesce(html, '')) AS holder
+            FROM pages
+        ), bits AS (
+            SELECT *, sha1(payload) AS hex FROM p
+        )
+        SELECT page_id,
+               strlen(payload)::BIGINT AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                       1 + (((('0x' || substr(hex, 1 + 10 * (i // 8), 10))::BIGINT
+                             >> (35 - 5 * (i % 8))) & 31))::INTEGER, 1)), '') AS payload_digest,
+               CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = holder THEN NULL ELSE holder END AS refers_to,
+               true AS whole
+        FROM bits
+    """,
 }
