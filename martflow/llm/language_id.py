@@ -24,7 +24,7 @@ UNKNOWN = "und"
 DIMENSIONS = 1 << 12
 CENTROIDS = 4
 SAMPLE_PER_LANGUAGE = 1000  # bound of the rows that k-means sees, on average
-REACH_QUANTILE, REACH_SHARE = 0.001, 0.5
+REACH_QUANTILE, REACH_SHARE = 0.001, 0.2
 ROWS_AT_ONCE, BYTES_AT_ONCE = 256, 1 << 20
 
 #: Upper-case letters as lower-case ones, digits as one sign, other ASCII signs as space.
