@@ -126,7 +126,7 @@ def repeated_runs(
 
     Line numbers count from 0.  Every line belongs to a run of at least ``min_words``
     words that also stands at a smaller place.  Lines without a word never count, and go
-    only between two deleted lines.  Runs that overlap their own copy leave one period.
+    just where the lines with words around them both go.  Runs that overlap their own copy leave one period.
     Rows that repeat an id and a text are one document.  A null id stands for the
     smallest number and so comes before others.
     Null and empty texts have no runs.

@@ -115,18 +115,23 @@ EXPECTED = {
             WHERE b.total - a.total + a.words >= 50
               AND (b.total - b.words - a.total + a.words < 50 OR b.total - a.total < 50)
         ), content AS (
-            SELECT r.doc_id, r.first, r.last, string_agg(w.line, chr(10) ORDER BY w.idx) AS text,
-                   min(w.line_no) AS first_line, max(w.line_no) AS last_line
+            SELECT r.doc_id, r.first, r.last, string_agg(w.line, chr(10) ORDER BY w.idx) AS text
             FROM runs r JOIN worded w ON w.doc_id = r.doc_id AND w.idx BETWEEN r.first AND r.last
             GROUP BY ALL
         ), later AS (
-            SELECT doc_id, first_line, last_line
+            SELECT doc_id, first, last
             FROM content
             QUALIFY (doc_id, first) > min((doc_id, first)) OVER (PARTITION BY text)
+        ), worded_gone AS (
+            SELECT DISTINCT w.doc_id, w.idx, w.line_no
+            FROM worded w JOIN later r ON w.doc_id = r.doc_id AND w.idx BETWEEN r.first AND r.last
         ), gone AS (
-            SELECT DISTINCT l.doc_id, l.line_no
-            FROM lines l JOIN later r
-              ON l.doc_id = r.doc_id AND l.line_no BETWEEN r.first_line AND r.last_line
+            SELECT doc_id, line_no FROM worded_gone
+            UNION ALL  -- lines without a word go between two lines that go
+            SELECT l.doc_id, l.line_no
+            FROM worded_gone a
+            JOIN worded_gone b ON a.doc_id = b.doc_id AND b.idx = a.idx + 1
+            JOIN lines l ON l.doc_id = a.doc_id AND l.line_no > a.line_no AND l.line_no < b.line_no
         ), kept AS (
             SELECT l.doc_id, coalesce(string_agg(l.line, chr(10) ORDER BY l.line_no), '') AS text,
                    count(*) AS lines_left

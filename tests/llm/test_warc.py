@@ -1,0 +1,106 @@
+"""Archives: exact round trips of records, segments and chunks."""
+
+import gzip
+import hashlib
+from base64 import b32encode
+from pathlib import Path
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from martflow.llm import warc
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.binary(max_size=300), st.integers(1, 50), st.integers(20, 400))
+def test_chunks_and_segments_round_trip(payload, size, segment):
+    assert warc.dechunked(warc.chunked(payload, size)) == payload
+    records = warc.response_records("n", "1", None, payload, segment)
+    parsed = list(warc.parse(b"".join(r + b"\r\n\r\n" for r in records)))
+    assert len(parsed) == len(records)
+    block = b"".join(b for _, b in parsed)
+    assert warc.payload_of(block) == payload
+    if len(parsed) > 1:
+        assert int(parsed[-1][0]["warc-segment-total-length"]) == len(block)
+
+
+def pages(spark):
+    big = "<p>großer Text</p>\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n" * 900
+    given = [
+        (1, "http://a/", "<html>one</html>", 5),
+        (2, "http://b/", big, 5),
+        (3, None, big, 5),
+        (4, "http://c/\r\nX: y", "", 5),
+        (5, "http://d/", None, 5),
+        (6, "http://e/", "\r\n0\r\n\r\n", 5),
+        (7, "http://f/", "same row", 5),
+        (7, "http://f/", "same row", 5),
+        (7, "http://f/", "other payload, same id", 5),
+        (None, "http://g/", "no id", 5),
+        (None, "http://g/", "<html>one</html>", 5),
+    ]
+    return spark.createDataFrame(given, "page_id long, url string, html string, segment long")
+
+
+def expected(given: list, least: int = 0) -> list:
+    holders: dict = {}
+    for r in given:
+        if r["page_id"] is not None:
+            text = r["html"] or ""
+            holders[text] = min(holders.get(text, r["page_id"]), r["page_id"])
+    found = []
+    for r in given:
+        data = (r["html"] or "").encode()
+        holder = holders.get(r["html"] or "")
+        own = holder is None or holder == r["page_id"] or len(data) < least
+        digest = b32encode(hashlib.sha1(data).digest()).decode()
+        found.append(
+            (r["page_id"], len(data), digest, "response" if own else "revisit", None if own else holder, True)
+        )
+    return sorted(found, key=str)
+
+
+@pytest.mark.parametrize(("segment", "least"), [(16384, 0), (100, 0), (700, 30)])
+def test_archives_round_trip(spark, tmp_path, segment, least):
+    path = str(tmp_path / "archives")
+    warc.write_archives(pages(spark), path, segment_bytes=segment, least_revisit_bytes=least)
+    found = sorted((tuple(r) for r in warc.read_archives(spark, path).collect()), key=str)
+    assert found == expected(pages(spark).collect(), least)
+
+
+def test_files_are_plain_archives(spark, tmp_path):
+    path = tmp_path / "archives"
+    warc.write_archives(pages(spark), str(path), segment_bytes=2000)
+    kinds = [h["warc-type"] for f in Path(path).glob("part-*") for h, _ in warc.parse(f.read_bytes())]
+    assert kinds.count("revisit") == 3 and kinds.count("continuation") > 10
+    assert all(gzip.decompress(f.read_bytes()).startswith(b"WARC/1.1\r\n") for f in Path(path).glob("part-*") if f.stat().st_size > 40)
+
+
+def test_a_record_with_a_lost_segment_is_not_whole(spark):
+    payload = b"y" * 5000
+    rows = []
+    for n, r in enumerate(warc.response_records("9", "9", None, payload, 1000)):
+        for head, block in warc.parse(r + b"\r\n\r\n"):
+            if n != 2:
+                rows.append(warc._described(head, block))
+    short = spark.createDataFrame(rows, warc.PARSED)
+    found = warc.reassembled(short).collect()
+    assert [(r["length"], r["whole"]) for r in found] == [(None, False)]
+
+
+def test_no_pages(spark, tmp_path):
+    path = str(tmp_path / "none")
+    warc.write_archives(pages(spark).limit(0), path)
+    assert warc.read_archives(spark, path).count() == 0
+
+
+def test_broken_archives_are_refused():
+    good = warc.record({"WARC-Type": "response", "WARC-Record-ID": "<a>"}, b"abc") + b"\r\n\r\n"
+    assert [b for _, b in warc.parse(good * 2)] == [b"abc", b"abc"]
+    with pytest.raises(ValueError):
+        list(warc.parse(good + b"junk"))
+    with pytest.raises(ValueError):
+        list(warc.parse(good[:-6]))
+    with pytest.raises(ValueError):
+        warc.dechunked(b"5\r\nabc\r\n0\r\n\r\n")
