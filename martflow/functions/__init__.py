@@ -1,16 +1,26 @@
 """Column expressions.  Nothing here starts a Spark job."""
 
-from .money import AMOUNT_LIMIT, amount, cents, cents_ratio, from_cents
+from .money import (
+    amount,
+    cents_parts,
+    cents_total,
+    exact_ratio,
+    from_cents,
+    is_finite,
+    rounded,
+)
 from .timestamps import event_time, parsed_type, time_literal, time_text, time_type
 
 __all__ = [
-    "AMOUNT_LIMIT",
     "amount",
-    "cents",
-    "cents_ratio",
+    "cents_parts",
+    "cents_total",
     "event_time",
+    "exact_ratio",
     "from_cents",
+    "is_finite",
     "parsed_type",
+    "rounded",
     "time_literal",
     "time_text",
     "time_type",

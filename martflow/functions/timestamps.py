@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampType
 
 _TIME_TYPES = (DateType, TimestampNTZType, TimestampType)
+#: A zone after a time of day: an offset, Z or a name.
+_OFFSET = r"\d:\d\d(:\d\d(\.\d+)?)?\s*([+-]|Z|[A-Za-z])"
 
 
 def parsed_type(kind: DataType) -> DataType:
@@ -28,11 +30,15 @@ def event_time(df: DataFrame, column: str) -> Column:
     """``column`` as a time value; text that is not a timestamp becomes null.
 
     A column that already holds a time is passed on untouched, so that a filter
-    on it still reaches the Parquet scan.
+    on it still reaches the Parquet scan.  Text is read as the clock shows it, in a gap of
+    summer time too.  Text with an offset names an instant, and becomes what the clock of
+    the session's zone shows then.
     """
     if isinstance(df.schema[column].dataType, _TIME_TYPES):
         return F.col(column)
-    return F.try_to_timestamp(F.col(column)).cast(TimestampNTZType())
+    text = F.col(column)
+    instant = F.try_to_timestamp(text).cast(TimestampNTZType())
+    return F.when(text.rlike(_OFFSET), instant).otherwise(text.try_cast(TimestampNTZType()))
 
 
 def time_literal(kind: DataType, text: str) -> Column:

@@ -14,7 +14,7 @@ from .aggregate import (
 from .checks import (
     CheckPlan,
     CheckResult,
-    DataQualityError,
+    BatchRejected,
     Reference,
     audit,
     collect_results,
@@ -25,7 +25,7 @@ from .checks import (
     volume_check,
     volume_verdict,
 )
-from .cursor import batch_high, high_mark, rows_after
+from .cursor import batch_high, high_mark, not_known, rows_after
 from .days import affected_days, current_rows, rows_on_days, touched_days
 from .latest import latest_per_key
 from .lookup import lookup, one_row_per_key, orphan_keys
@@ -36,7 +36,7 @@ __all__ = [
     "CheckResult",
     "CountDistinct",
     "DAILY_CATEGORY_MART",
-    "DataQualityError",
+    "BatchRejected",
     "FAILED_RULES",
     "Lookup",
     "MartSpec",
@@ -56,6 +56,7 @@ __all__ = [
     "is_rejected",
     "latest_per_key",
     "lookup",
+    "not_known",
     "one_row_per_key",
     "orphan_keys",
     "parse_time",

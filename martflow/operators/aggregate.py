@@ -8,7 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import amount, cents_ratio, from_cents
+from pyspark.sql.types import DataType, DoubleType, FloatType
+
+from ..functions import amount, cents_parts, cents_total, exact_ratio, from_cents
 from .lookup import lookup
 
 
@@ -20,7 +22,10 @@ class Sum:
 
 @dataclass(frozen=True)
 class Money(Sum):
-    """Sum of a column of whole cents, reported in currency units."""
+    """Exact sum of amounts, reported in currency units.
+
+    A column of integers holds whole cents, one of doubles or decimals currency units.
+    """
 
 
 @dataclass(frozen=True)
@@ -31,7 +36,10 @@ class CountDistinct:
 
 @dataclass(frozen=True)
 class Ratio:
-    """A ``Money`` measure over another measure, null where the divisor is zero."""
+    """One measure over another, rounded half-up; null where the divisor is zero or null.
+
+    Money, counts and sums of whole numbers are divided exactly, sums of doubles as such.
+    """
 
     name: str
     numerator: str
@@ -39,6 +47,9 @@ class Ratio:
     scale: int = 2
 
 
+Measure = Sum | CountDistinct | Ratio
+
+
 @dataclass(frozen=True)
 class Lookup:
     """A dimension whose ``columns`` are part of the grain."""
@@ -52,9 +63,17 @@ class Lookup:
 class MartSpec:
     day: str
     grain: tuple[str, ...]
-    measures: tuple[Sum | CountDistinct | Ratio, ...]
+    measures: tuple[Measure, ...]
     derived: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
     lookup: Lookup | None = None
+    #: For a counted column, other columns that have one value for each of its values.
+    determines: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+
+    def __post_init__(self):
+        known = {m.name for m in self.measures if not isinstance(m, Ratio)}
+        for m in self.measures:
+            if isinstance(m, Ratio) and not {m.numerator, m.denominator} <= known:
+                raise ValueError(f"{m.name} divides something that is not a sum or count here")
 
     @property
     def columns(self) -> list[str]:
@@ -70,51 +89,99 @@ def build_mart(
     spec: MartSpec,
     unique_on: tuple[str, ...] = (),
     dimension: DataFrame | None = None,
+    reduced: bool = False,
 ) -> DataFrame:
     """Aggregate ``rows`` to ``spec.grain``.
 
     ``unique_on`` states a key that ``rows`` is already unique on.  A distinct
-    count of that key is then a plain count.  With one distinct count left, Spark
-    aggregates in map tasks by (grain, counted value) and needs no row expansion;
-    a hot group is spread over its counted values.
+    count of that key is then a plain count.  Where a counted column determines the
+    other counted ones, rows are first reduced to one for each of its values, and it is
+    counted plainly too.  With one distinct count left, Spark aggregates in map tasks by
+    (grain, counted value) and needs no row expansion; a hot group is spread over its
+    counted values.
 
     With a lookup, facts are first reduced to (fact grain, lookup key, counted
-    values).  Only that reduced set meets the dimension.
+    values).  Only that reduced set meets the dimension.  ``reduced`` states that the
+    dimension has one row per key; written first, it lets a hot lookup key be split.
     """
     rows = with_derived(rows, spec)
-    sums = [m for m in spec.measures if isinstance(m, Sum)]
+    kinds = {f.name: f.dataType for f in rows.schema}
+    parts = {name: e for m in spec.measures if isinstance(m, Sum) for name, e in _parts(m, kinds)}
     distinct = [m for m in spec.measures if isinstance(m, CountDistinct)]
     plain = [m for m in distinct if unique_on == (m.column,)]
     exact = [m for m in distinct if m not in plain]
+    sums = [F.sum(e).alias(name) for name, e in parts.items()]
     counts = [F.count(m.column).alias(m.name) for m in plain]
+    merged = [F.sum(name).alias(name) for name in [*parts, *(m.name for m in plain)]]
 
-    if spec.lookup is None:
-        merged = [F.sum(m.column).alias(m.name) for m in sums] + counts
-    else:
+    if spec.lookup is not None:
         if dimension is None:
             raise ValueError("this mart looks up a dimension, but none was given")
         brought = spec.lookup.columns
         held = [c for c in spec.grain if c not in brought]
-        by = dict.fromkeys([*held, spec.lookup.fact_key, *(m.column for m in exact)])
-        reduced = rows.groupBy(*by).agg(
-            *(F.sum(m.column).alias(m.name) for m in sums), *counts
-        ) if sums or counts else rows.select(*by).distinct()
-        rows = lookup(reduced, dimension, spec.lookup.fact_key, spec.lookup.dim_key, brought)
-        merged = [F.sum(m.name).alias(m.name) for m in [*sums, *plain]]
+        rows = _reduced(rows, [*held, spec.lookup.fact_key, *(m.column for m in exact)], [*sums, *counts])
+        rows = lookup(rows, dimension, spec.lookup.fact_key, spec.lookup.dim_key, brought, reduced)
+    elif lead := _determining(exact, spec):
+        rows = _reduced(rows, [*spec.grain, *(m.column for m in exact)], [*sums, *counts])
+        merged += [F.count(lead.column).alias(lead.name)]
+        exact = [m for m in exact if m is not lead]
+    else:
+        merged = [*sums, *counts]
 
     grouped = rows.groupBy(*spec.grain).agg(
         *merged, *(F.count_distinct(m.column).alias(m.name) for m in exact)
     )
-    return grouped.select(
-        *spec.grain, *(_report(m).alias(m.name) for m in spec.measures)
+    by_name = {m.name: m for m in spec.measures}
+    return grouped.select(*spec.grain, *(_report(m, by_name, kinds).alias(m.name) for m in spec.measures))
+
+
+def _parts(measure: Sum, kinds: Mapping[str, DataType]) -> list[tuple[str, Column]]:
+    """Named columns to sum for a measure."""
+    if not isinstance(measure, Money):
+        return [(measure.name, F.col(measure.column))]
+    parts = cents_parts(F.col(measure.column), kinds[measure.column])
+    return [(f"_{measure.name}_{k}", part) for k, part in enumerate(parts)]
+
+
+def _reduced(rows: DataFrame, by: list[str], aggregates: list[Column]) -> DataFrame:
+    unique = dict.fromkeys(by)
+    return rows.groupBy(*unique).agg(*aggregates) if aggregates else rows.select(*unique).distinct()
+
+
+def _determining(counted: list[CountDistinct], spec: MartSpec) -> CountDistinct | None:
+    """The counted column that determines all the others, if two or more are counted."""
+    for m in counted:
+        others = {o.column for o in counted if o is not m}
+        if others and others <= set(spec.determines.get(m.column, ())):
+            return m
+    return None
+
+
+def _cents(measure: Money, kinds: Mapping[str, DataType]) -> Column:
+    return cents_total([F.col(name) for name, _ in _parts(measure, kinds)])
+
+
+def _report(
+    measure: Measure, by_name: Mapping[str, Measure], kinds: Mapping[str, DataType]
+) -> Column:
+    if isinstance(measure, Money):
+        return from_cents(_cents(measure, kinds))
+    if not isinstance(measure, Ratio):
+        return F.col(measure.name)
+    over, under = by_name[measure.numerator], by_name[measure.denominator]
+    if any(_is_floating(m, kinds) for m in (over, under)):
+        top, bottom = (_report(m, by_name, kinds).cast("double") for m in (over, under))
+        return F.round(top / F.nullif(bottom, F.lit(0.0)), measure.scale)
+    top, bottom = (
+        _cents(m, kinds) if isinstance(m, Money) else F.col(m.name) for m in (over, under)
     )
+    shift = 2 * (isinstance(under, Money) - isinstance(over, Money))
+    return exact_ratio(top, bottom, measure.scale, shift)
 
 
-def _report(measure: Sum | CountDistinct | Ratio) -> Column:
-    if isinstance(measure, Ratio):
-        return cents_ratio(F.col(measure.numerator), F.col(measure.denominator), measure.scale)
-    value = F.col(measure.name)
-    return from_cents(value) if isinstance(measure, Money) else value
+def _is_floating(measure: Measure, kinds: Mapping[str, DataType]) -> bool:
+    plain_sum = isinstance(measure, Sum) and not isinstance(measure, Money)
+    return plain_sum and isinstance(kinds[measure.column], (DoubleType, FloatType))
 
 
 #: Revenue, orders, customers, units and average order value by day and category.

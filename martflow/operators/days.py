@@ -54,20 +54,21 @@ def current_rows(
     decides which version wins and the day follows from time, so a newer version
     is never on an earlier day.
 
-    Other days from ``first_day`` on can hold a newer version.  They contribute
-    their keys and partition value only, reduced to one row per key before the
-    shuffle.  Where ``days`` are the most recent ones, that branch shuffles nothing.
+    Other days from ``first_day`` on can hold a newer version.  Only the keys on ``days``
+    matter there, so these days are joined with those keys first: a lookup in the map
+    tasks where the keys are few, by measured size, and no aggregate of other keys in any
+    case.  They contribute keys and partition values only.
     """
     key, day = [*contract.key], contract.day
     recent = history.filter(F.col(day) >= F.lit(first_day))
     listed = days.filter(F.col(day) >= F.lit(first_day)).select(day)
 
-    best = latest_per_key(
-        recent.join(listed, day, "left_semi"), key, contract.time, contract.ties
-    )
+    on_days = recent.join(listed, day, "left_semi")
+    best = latest_per_key(on_days, key, contract.time, contract.ties)
     newest_elsewhere = (
         recent.select(*key, day)
         .join(listed, day, "left_anti")
+        .join(on_days.select(*key), key, "left_semi")
         .groupBy(*key)
         .agg(F.max(day).alias("_later"))
     )

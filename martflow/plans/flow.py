@@ -5,27 +5,34 @@ Order of a run, and why a run that breaks off anywhere can be repeated:
 1. One pass over the new source rows finds the next cursor and the counts.
 2. Valid, deduplicated rows go to the batch's own folder.  Nothing reads it yet.
 3. The checks read that folder; a failure stops here.
-4. The affected days of the mart are computed into a scratch table, then replaced.
-5. One ledger row is appended.  Only now does the batch count.
+4. A ledger row says that the mart is about to change.  The affected days are computed
+   into a scratch table, then replaced.
+5. One more ledger row is appended.  Only now does the batch count.
+
+A run that finds step 4 begun and step 5 missing first makes those days again what the
+confirmed batches say.  A rebuild that broke off is repeated; should its checks fail, the
+mart is made again what it was.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, DecimalType, IntegralType, StructType
 
 from ..functions import time_literal, time_type
 from ..operators import (
     DAILY_CATEGORY_MART,
+    BatchRejected,
     CheckPlan,
     CheckResult,
     MartSpec,
+    Money,
     Reference,
     affected_days,
     audit,
@@ -35,15 +42,17 @@ from ..operators import (
     high_mark,
     is_rejected,
     latest_per_key,
+    not_known,
+    one_row_per_key,
     parse_time,
     rejected_rows,
     rows_after,
     valid_rows,
 )
-from ..sources import CUSTOMERS_SCHEMA, ORDERS, Contract, read_contract
+from ..sources import CUSTOMERS_SCHEMA, ORDERS, Contract, FiniteRule, Rule, read_contract
 from . import ledger as runs
 from . import publish
-from .scratch import scratch_folder, written
+from .scratch import written
 
 Table = Callable[[SparkSession], DataFrame]
 
@@ -67,11 +76,26 @@ class FlowSpec:
     lookback: str | None = None
 
 
-def retail_spec(orders: str, customers: str, root: str, fmt: str = "csv", **changes) -> FlowSpec:
-    """The orders and customers flow over files, with its outputs under ``root``."""
+def retail_spec(
+    orders: str,
+    customers: str,
+    root: str,
+    fmt: str = "csv",
+    strict_header: bool = True,
+    options: Mapping[str, str] | None = None,
+    **changes,
+) -> FlowSpec:
+    """The orders and customers flow over files, with its outputs under ``root``.
+
+    ``strict_header`` and ``options`` are those of ``read_contract``.  Customers may lack
+    their sign-up date.
+    """
+    reading = dict(fmt=fmt, strict_header=strict_header, options=options)
     settings = dict(
-        source=lambda spark: read_contract(spark, orders, ORDERS.schema, fmt),
-        dimension=lambda spark: read_contract(spark, customers, CUSTOMERS_SCHEMA, fmt),
+        source=lambda spark: read_contract(spark, orders, ORDERS.schema, **reading),
+        dimension=lambda spark: read_contract(
+            spark, customers, CUSTOMERS_SCHEMA, optional=("signup_date",), **reading
+        ),
         clean=f"{root}/clean/orders",
         mart=f"{root}/curated/daily_category_revenue",
         ledger=f"{root}/ledger",
@@ -94,12 +118,18 @@ class Flow:
     """Runs a ``FlowSpec`` and reads what it published.  One writer at a time."""
 
     def __init__(self, spark: SparkSession, spec: FlowSpec):
-        if spec.mart_spec.day != spec.contract.day or spec.contract.day not in spec.mart_spec.grain:
-            raise ValueError(f"the mart must be grouped by the contract's day, {spec.contract.day}")
-        if spec.dimension is None and (spec.checks.reference or spec.mart_spec.lookup):
+        contract, mart = spec.contract, spec.mart_spec
+        if mart.day != contract.day or contract.day not in mart.grain:
+            raise ValueError(f"the mart must be grouped by the contract's day, {contract.day}")
+        if spec.dimension is None and (spec.checks.reference or mart.lookup):
             raise ValueError("a reference check or a lookup needs a dimension")
         self.spark = spark
         self.spec = spec
+        empty = spark.createDataFrame([], contract.schema)
+        kind = parse_time(empty, contract).schema[contract.day].dataType
+        if not isinstance(kind, DateType):
+            raise ValueError(f"{contract.day} must be a date, not {kind.simpleString()}")
+        self.rules = (*contract.validity, *_finite_amounts(contract, mart))
 
     # -- reading -----------------------------------------------------------
 
@@ -127,117 +157,161 @@ class Flow:
 
     # -- running -----------------------------------------------------------
 
-    def run(self, full_refresh: bool = False, accept_volume: bool = False) -> runs.RunRecord:
+    def run(
+        self, full_refresh: bool = False, accept_volume: bool = False, delivery: str | None = None
+    ) -> runs.RunRecord:
         """Process what is new, or rebuild from all of the source.
 
         ``accept_volume`` lets one unusual batch size pass, after someone has
-        looked at it.  A failed check raises ``DataQualityError`` and publishes
+        looked at it.  A failed check raises ``BatchRejected`` and publishes
         nothing; what was published before stays readable, also in a rebuild.
+
+        ``delivery`` names a source that holds new files only.  The cursor does not bound
+        it, so rows that arrive late count, and a name the ledger knows changes nothing.
         """
-        clock, started_at = time.monotonic(), datetime.now(timezone.utc).isoformat(timespec="seconds")
+        begun = time.perf_counter()
+        at = datetime.now(timezone.utc).replace(microsecond=0).isoformat()
         spec, contract = self.spec, self.spec.contract
-        state = runs.ledger_state(self.ledger())
-        refresh = full_refresh or (state.refresh_broke_off and state.epoch > 0)
+        state = runs.ledger_state(self.ledger(), delivery)
+        refresh = full_refresh or state.refresh_broke_off
         first = refresh or state.epoch == 0
         cursor = None if first else state.cursor
 
-        def record(**facts) -> runs.RunRecord:
+        def record(status: str, **facts) -> runs.RunRecord:
             done = runs.RunRecord(
                 run_seq=state.last_run + 1,
+                status=status,
                 mode=runs.FULL_REFRESH if refresh else runs.INCREMENTAL,
-                started_at=started_at,
-                duration_seconds=round(time.monotonic() - clock, 3),
+                started_at=at,
+                duration_seconds=round(time.perf_counter() - begun, 3),
                 watermark_before=cursor,
+                delivery=delivery,
                 **facts,
             )
             runs.append_run(self.spark, spec.ledger, done)
             return done
 
-        new = rows_after(
-            parse_time(spec.source(self.spark), contract), cursor, contract.time, spec.lookback
-        )
-        read, rejected, high = self._profile(new, cursor)
-        if high is None:
-            return record(
-                epoch=state.epoch, batch_id=None, status=runs.NO_NEW_DATA, rows_read=read,
-                rows_rejected=rejected, rows_in_batch=0, watermark_after=cursor,
-            )
+        if state.open_epoch is not None and not first:
+            self._restore(state)
+        nothing = dict(epoch=state.epoch, batch_id=None, rows_in_batch=0, watermark_after=cursor)
+        if state.delivered:
+            return record(runs.NO_NEW_DATA, rows_read=0, rows_rejected=0, **nothing)
+        new = self._new_rows(state, cursor, bounded=delivery is None)
+        counts = self._profile(new, cursor, placed=delivery is None and cursor is not None)
+        high = counts.pop("high")
+        if high is None and not (refresh and state.epoch):
+            return record(runs.NO_NEW_DATA, **counts, **nothing)
 
-        scratch = scratch_folder(self.spark)
         epoch = state.epoch + 1 if first else state.epoch
         batch = 1 if first else state.last_batch + 1
         # A source that grows while the run reads it must not change the batch.
-        self._write_batch(rows_after(new, None, contract.time, upto=high), epoch, batch)
+        seen = rows_after(new, None, contract.time, upto=high) if high else new.limit(0)
+        self._write_batch(seen, epoch, batch)
         if spec.rejects:
             self._write_rejects(new, high, epoch, batch)
         staged = publish.read_batch(self.spark, spec.clean, epoch, batch, contract)
 
-        rows, results = self._audit(staged, accept_volume, first)
-        gate(results)
-
-        replaced = state.epoch if refresh else 0
-        if replaced:
-            # Until the final row is in, the mart mixes two epochs.
-            record(
-                epoch=epoch, batch_id=batch, status=runs.PUBLISHING, rows_read=read,
-                rows_rejected=rejected, rows_in_batch=rows, watermark_after=high,
-            )
-        self._publish_mart(staged, epoch, batch, first, scratch)
-        done = record(
-            epoch=epoch, batch_id=batch, status=runs.SUCCESS, rows_read=read,
-            rows_rejected=rejected, rows_in_batch=rows,
-            watermark_after=high, checks=results,
-        )
-        if replaced:
-            publish.retire_epoch(self.spark, spec.clean, replaced, contract)
+        size, results = self._audit(staged, accept_volume, () if first else state.volumes)
+        try:
+            gate(results)
+        except BatchRejected:
+            if state.open_epoch is not None and first:
+                self._restore(state)
+            raise
+
+        facts = dict(epoch=epoch, batch_id=batch, rows_in_batch=size, watermark_after=high, **counts)
+        # Until the final row is in, the mart is ahead of the ledger.
+        record(runs.PUBLISHING, **facts)
+        self._publish_mart(staged, epoch, batch, first)
+        done = record(runs.SUCCESS, checks=results, **facts)
+        if refresh and state.epoch:
+            publish.retire_epoch(self.spark, spec.clean, state.epoch, contract)
         return done
 
     # -- steps -------------------------------------------------------------
 
+    def _scratch(self, name: str) -> str:
+        """A table of the running batch, beside the mart; each run writes over the last one's."""
+        return f"{self.spec.mart.rstrip('/')}.scratch/{name}"
+
     def _batches(self, epoch: int, last: int) -> DataFrame:
         return publish.read_batches(self.spark, self.spec.clean, epoch, last, self.spec.contract)
 
     def _mart_schema(self) -> StructType:
         empty = self.spark.createDataFrame([], self.spec.contract.clean_schema)
-        return self._mart_of(empty).schema
+        mart = self.spec.mart_spec
+        dimension = self.spec.dimension(self.spark) if mart.lookup else None
+        return build_mart(empty, mart, self.spec.contract.key, dimension).schema
 
     def _mart_of(self, rows: DataFrame) -> DataFrame:
-        spec = self.spec
-        needs_dimension = spec.mart_spec.lookup is not None
-        dimension = spec.dimension(self.spark) if needs_dimension else None
-        return build_mart(rows, spec.mart_spec, spec.contract.key, dimension)
-
-    def _profile(self, new: DataFrame, cursor: str | None) -> tuple[int, int, str | None]:
+        """The mart of current rows, written to scratch, as is the dimension it looks up."""
+        spec, brought = self.spec, self.spec.mart_spec.lookup
+        dimension = None
+        if brought:
+            unique = one_row_per_key(spec.dimension(self.spark), brought.dim_key, brought.columns)
+            dimension = written(unique, self._scratch("dimension"))
+        mart = build_mart(rows, spec.mart_spec, spec.contract.key, dimension, reduced=True)
+        return written(mart, self._scratch("mart"))
+
+    def _new_rows(self, state: runs.LedgerState, cursor: str | None, bounded: bool) -> DataFrame:
+        """Rows that no confirmed batch has dealt with, and those whose time is unreadable.
+
+        Rows up to the cursor, which a lookback or new files bring, count if they beat the
+        known versions of their key.  An invalid row of a lookback has been counted when
+        it was new, and is not counted again.
+        """
+        spec, contract = self.spec, self.spec.contract
+        rows = parse_time(spec.source(self.spark), contract)
+        if cursor is None:
+            return rows
+        if bounded:
+            rows = rows_after(rows, cursor, contract.time, spec.lookback, unreadable=True)
+            if not spec.lookback:
+                return rows
+            late = F.col(contract.time) <= time_literal(time_type(rows, contract.time), cursor)
+            rows = rows.filter(~(F.coalesce(late, F.lit(False)) & is_rejected(self.rules)))
+        known = self._batches(state.epoch, state.last_batch)
+        return not_known(rows, known, contract.key, contract.time, contract.ties, cursor)
+
+    def _profile(self, new: DataFrame, cursor: str | None, placed: bool) -> dict:
+        """Counts, and the next cursor.
+
+        With ``placed``, rows without a time come from all of the source and not from what
+        is new, so they are counted apart only.
+        """
         contract = self.spec.contract
-        row = new.agg(
-            F.count(F.lit(1)).alias("read"),
-            F.count_if(is_rejected(contract.validity)).alias("rejected"),
+        unreadable = F.col(contract.time).isNull()
+        counted = ~unreadable if placed else F.lit(True)
+        return new.agg(
+            F.count_if(counted).alias("rows_read"),
+            F.count_if(counted & is_rejected(self.rules)).alias("rows_rejected"),
+            F.count_if(unreadable).alias("rows_unreadable"),
             high_mark(new, contract.time, cursor).alias("high"),
-        ).first()
-        return row["read"], row["rejected"], row["high"]
+        ).first().asDict()
 
     def _write_batch(self, batch_rows: DataFrame, epoch: int, batch: int) -> None:
         contract = self.spec.contract
-        valid = valid_rows(batch_rows, contract.validity).select(*contract.clean_schema.names)
+        valid = valid_rows(batch_rows, self.rules).select(*contract.clean_schema.names)
         clean = latest_per_key(valid, contract.key, contract.time, contract.ties)
         publish.write_batch(clean, self.spec.clean, epoch, batch, contract)
 
-    def _write_rejects(self, new: DataFrame, high: str, epoch: int, batch: int) -> None:
+    def _write_rejects(self, new: DataFrame, high: str | None, epoch: int, batch: int) -> None:
         contract = self.spec.contract
         upto = F.col(contract.time) <= time_literal(time_type(new, contract.time), high)
         (
-            rejected_rows(new.filter(F.coalesce(upto, F.lit(True))), contract.validity)
+            rejected_rows(new.filter(F.coalesce(upto, F.lit(True))), self.rules)
             .write.mode("overwrite")
             .parquet(f"{self.spec.rejects}/{publish.EPOCH}={epoch}/{publish.BATCH}={batch}")
         )
 
     def _audit(
-        self, staged: DataFrame, accept_volume: bool, first: bool
+        self, staged: DataFrame, accept_volume: bool, volumes: tuple[int, ...]
     ) -> tuple[int, list[CheckResult]]:
         plan = self.spec.checks
-        history = runs.volume_history(self.ledger(), plan.history_lookback)
+        recent = volumes[-plan.history_lookback :] if plan.history_lookback else volumes
+        history = self.spark.createDataFrame([(v,) for v in recent], "rows_in_batch long")
         dimension = self.spec.dimension(self.spark) if plan.reference else None
-        row = audit(staged, plan, history.limit(0) if first else history, dimension).first()
+        row = audit(staged, plan, history, dimension).first()
         results = [CheckResult(**c.asDict()) for c in row["checks"]]
         if accept_volume:
             results = [
@@ -247,21 +321,48 @@ class Flow:
             ]
         return row["rows"], results
 
-    def _publish_mart(
-        self, staged: DataFrame, epoch: int, batch: int, first: bool, scratch: str
-    ) -> None:
-        contract, mart = self.spec.contract, self.spec.mart_spec
+    def _publish_mart(self, staged: DataFrame, epoch: int, batch: int, first: bool) -> None:
         if first:
-            days, rows = None, staged  # one batch, already one row per key
+            self._replace(staged, None)  # one batch, already one row per key
         else:
-            versions = self._batches(epoch, batch)
-            earlier = versions.filter(F.col(publish.BATCH) < batch)
-            days = written(
-                affected_days(staged, earlier, contract).coalesce(1), f"{scratch}/days"
+            self._replace_affected(staged, self._batches(epoch, batch - 1), self._batches(epoch, batch))
+
+    def _replace_affected(self, staged: DataFrame, earlier: DataFrame, versions: DataFrame) -> None:
+        """Replace the days that a batch affects by what ``versions`` say of them."""
+        contract = self.spec.contract
+        days = affected_days(staged, earlier, contract).coalesce(1)
+        days = written(days, self._scratch("days"))
+        first_day = days.agg(F.min(contract.day)).first()[0]
+        if first_day is not None:  # else no valid row in the batch
+            self._replace(current_rows(versions.drop(publish.BATCH), days, first_day, contract), days)
+
+    def _replace(self, rows: DataFrame, days: DataFrame | None) -> None:
+        spec = self.spec
+        publish.replace_days(
+            self._mart_of(rows), days, spec.mart, spec.contract.day, spec.mart_spec.grain
+        )
+
+    def _restore(self, state: runs.LedgerState) -> None:
+        """Make the mart what the confirmed batches say, after a run broke off in it."""
+        contract = self.spec.contract
+        confirmed = self._batches(state.epoch, state.last_batch)
+        if state.open_epoch == state.epoch:
+            staged = publish.read_batch(
+                self.spark, self.spec.clean, state.open_epoch, state.open_batch, contract
             )
-            first_day = days.agg(F.min(contract.day)).first()[0]
-            if first_day is None:
-                return  # no valid row in the batch
-            rows = current_rows(versions.drop(publish.BATCH), days, first_day, contract)
-        fresh = written(self._mart_of(rows), f"{scratch}/mart")
-        publish.replace_days(fresh, days, self.spec.mart, contract.day, mart.grain)
+            self._replace_affected(staged, confirmed, confirmed)
+        else:
+            rows = confirmed.drop(publish.BATCH)
+            self._replace(latest_per_key(rows, contract.key, contract.time, contract.ties), None)
+
+
+def _finite_amounts(contract: Contract, mart: MartSpec) -> list[Rule]:
+    """A rule for each money column that the contract has none for."""
+    stated = {rule.name for rule in contract.validity}
+    columns = dict.fromkeys(m.column for m in mart.measures if isinstance(m, Money))
+    kinds = {f.name: f.dataType for f in contract.schema}
+    return [
+        FiniteRule(f"{c}_finite", "", value=mart.derived.get(c, lambda c=c: F.col(c)))
+        for c in columns
+        if f"{c}_finite" not in stated and not isinstance(kinds.get(c), (IntegralType, DecimalType))
+    ]

@@ -31,8 +31,8 @@ NO_NEW_DATA = "no_new_data"
 INCREMENTAL = "incremental"
 FULL_REFRESH = "full_refresh"
 
-#: Written before a rebuild starts to replace the mart.  Without a later row for
-#: the same epoch, the rebuild broke off and the next run has to repeat it.
+#: Written before a run starts to replace mart days.  Without a finished row of the same
+#: number, the run broke off there, and the next one has to make good what it left.
 PUBLISHING = "publishing"
 
 CHECK_TYPE = StructType(
@@ -54,9 +54,11 @@ LEDGER_SCHEMA = StructType(
         StructField("duration_seconds", DoubleType()),
         StructField("rows_read", LongType()),
         StructField("rows_rejected", LongType()),
+        StructField("rows_unreadable", LongType()),
         StructField("rows_in_batch", LongType()),
         StructField("watermark_before", StringType()),
         StructField("watermark_after", StringType()),
+        StructField("delivery", StringType()),
         StructField("checks", ArrayType(CHECK_TYPE)),
     ]
 )
@@ -76,18 +78,33 @@ class RunRecord:
     rows_in_batch: int
     watermark_before: str | None
     watermark_after: str | None
+    #: Rows of the whole scan whose time cannot be read; no cursor can place them.
+    rows_unreadable: int = 0
+    #: What a stream calls the files it handed over, so that a second time is noticed.
+    delivery: str | None = None
     checks: Sequence[CheckResult] = ()
 
 
 @dataclass(frozen=True)
 class LedgerState:
-    """Where the next run starts.  ``epoch`` is 0 before the first successful run."""
+    """Where the next run starts.  ``epoch`` is 0 before the first successful run.
+
+    ``open_epoch`` and ``open_batch`` name a batch whose run broke off after it had begun
+    to replace mart days.  ``volumes`` are the batch sizes of the epoch, oldest first.
+    """
 
     epoch: int = 0
     last_batch: int = 0
     last_run: int = 0
     cursor: str | None = None
-    refresh_broke_off: bool = False
+    open_epoch: int | None = None
+    open_batch: int | None = None
+    volumes: tuple[int, ...] = ()
+    delivered: bool = False
+
+    @property
+    def refresh_broke_off(self) -> bool:
+        return self.epoch > 0 and (self.open_epoch or 0) > self.epoch
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -130,20 +147,29 @@ def last_run(runs: DataFrame) -> DataFrame:
     return runs.filter(F.col("status") != PUBLISHING).orderBy(F.desc("run_seq")).limit(1)
 
 
-def ledger_state(runs: DataFrame) -> LedgerState:
-    """The ledger reduced to one row."""
+def ledger_state(runs: DataFrame, delivery: str | None = None) -> LedgerState:
+    """The ledger reduced to one row, with one number for each successful run."""
     pair = F.when(_succeeded(), F.struct("epoch", "batch_id", "run_seq", "watermark_after"))
+    begun = F.when(F.col("status") == PUBLISHING, F.struct("run_seq", "epoch", "batch_id"))
+    size = F.when(_succeeded(), F.struct("epoch", "run_seq", "rows_in_batch"))
+    finished = F.col("status") != PUBLISHING
     row = runs.agg(
         F.max(pair).alias("newest"),
-        F.max(F.when(F.col("status") != PUBLISHING, F.col("run_seq"))).alias("last_run"),
-        F.max(F.when(F.col("status") == PUBLISHING, F.col("epoch"))).alias("begun_epoch"),
+        F.max(F.when(finished, F.col("run_seq"))).alias("last_run"),
+        F.max(begun).alias("begun"),
+        F.sort_array(F.collect_list(size)).alias("sizes"),
+        F.bool_or(finished & (F.col("delivery") == F.lit(delivery))).alias("delivered"),
     ).first()
-    newest = row["newest"]
+    newest, begun, last = row["newest"], row["begun"], row["last_run"] or 0
     epoch = newest["epoch"] if newest else 0
+    still_open = begun is not None and (begun["run_seq"] > last or begun["epoch"] > epoch)
     return LedgerState(
         epoch=epoch,
         last_batch=newest["batch_id"] if newest else 0,
-        last_run=row["last_run"] or 0,
+        last_run=last,
         cursor=newest["watermark_after"] if newest else None,
-        refresh_broke_off=(row["begun_epoch"] or 0) > epoch,
+        open_epoch=begun["epoch"] if still_open else None,
+        open_batch=begun["batch_id"] if still_open else None,
+        volumes=tuple(s["rows_in_batch"] for s in row["sizes"] if s["epoch"] == epoch),
+        delivered=bool(row["delivered"]),
     )

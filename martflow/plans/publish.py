@@ -6,6 +6,7 @@ The overwrite mode is set per write, never on the session.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from ..operators import touched_days
 from ..sources import Contract, read_if_present
 
 EPOCH, BATCH = "epoch", "batch_id"
+DAYS_AT_ONCE = 8
 
 
 def _laid_out(df: DataFrame, day: str, sort: Sequence[str]) -> DataFrame:
@@ -85,30 +87,32 @@ def replace_days(
 ) -> int:
     """Make ``path`` hold exactly ``fresh`` on ``days``, and leave all other days alone.
 
-    ``days=None`` means every day.  Days with rows are replaced by one dynamic
-    overwrite.  A listed day without rows left is overwritten with an empty
-    frame, because a dynamic overwrite never touches a day it has no row for.
-    ``fresh`` is read more than once and should be a written table.  Returns the
-    number of emptied days.
+    ``days=None`` means every day: one static overwrite.  Otherwise days with rows are
+    replaced by one dynamic overwrite.  A listed day without rows left is overwritten with
+    an empty frame, because a dynamic overwrite never touches a day it has no row for; a
+    few such days are written at a time.  ``fresh`` is read more than once and should be a
+    written table.  Returns the number of emptied days.
     """
     spark = fresh.sparkSession
-    present = touched_days(read_mart(spark, path, fresh.schema), day)
-    gone = present if days is None else days.select(day).join(present, day, "left_semi")
-    gone = gone.join(touched_days(fresh, day), day, "left_anti")
-    emptied = [row[day] for row in gone.collect()]  # at most one value per calendar day
-
+    mode = "static" if days is None else "dynamic"
+    emptied = []
+    if days is not None:
+        gone = days.select(day).join(touched_days(fresh, day), day, "left_anti")
+        emptied = [row[day] for row in gone.distinct().collect()]  # one value per calendar day
     (
         _laid_out(fresh, day, [c for c in sort if c != day])
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", mode)
         .partitionBy(day)
         .parquet(path)
     )
     empty = spark.createDataFrame([], StructType([f for f in fresh.schema if f.name != day]))
-    for value in emptied:
+
+    def clear(value) -> None:
         empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
             f"{path}/{day}={value}"
         )
-    return len(emptied)
-
 
+    with ThreadPoolExecutor(DAYS_AT_ONCE) as pool:
+        list(pool.map(clear, emptied))
+    return len(emptied)

@@ -2,26 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A fresh path under ``spark.checkpoint.dir``.
+    """A fresh path under ``spark.checkpoint.dir``, else under the session's warehouse.
 
-    Only a local session without that setting falls back to a temporary folder;
-    executors of a cluster could not see it.
+    Both are folders that all executors share.
     """
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="martflow-")
+        root = f"{spark.conf.get(WAREHOUSE_SETTING).rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/martflow-{uuid.uuid4().hex}"
 
 

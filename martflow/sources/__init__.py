@@ -6,17 +6,23 @@ from .contracts import (
     ORDERS,
     ORDERS_SCHEMA,
     Contract,
+    FiniteRule,
     Rule,
+    finite_rule,
 )
-from .readers import read_contract, read_if_present
+from .readers import HeaderError, read_contract, read_if_present, text_options
 
 __all__ = [
     "CUSTOMERS_SCHEMA",
     "Contract",
+    "FiniteRule",
+    "HeaderError",
     "ORDERS",
     "ORDERS_SCHEMA",
     "ORDER_RULES",
     "Rule",
+    "finite_rule",
     "read_contract",
     "read_if_present",
+    "text_options",
 ]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from ..functions import AMOUNT_LIMIT, parsed_type
+from ..functions import is_finite, parsed_type
 
 
 @dataclass(frozen=True)
@@ -29,6 +30,17 @@ class Rule:
         return F.expr(self.predicate)
 
 
+@dataclass(frozen=True)
+class FiniteRule(Rule):
+    """A computed amount has to be a number, or null.  Named after the amount's column."""
+
+    value: Callable[[], Column] = field(kw_only=True)
+
+    def holds(self) -> Column:
+        value = self.value()
+        return value.isNull() | is_finite(value)
+
+
 @dataclass(frozen=True)
 class Contract:
     """What a versioned fact table looks like.
@@ -38,8 +50,9 @@ class Contract:
     is used, so the choice never depends on the order in which rows arrive.
 
     ``day`` is the partition column.  ``day_of`` derives it from ``time`` and
-    has to be monotone: a later time never falls into an earlier partition.
-    The rebuild relies on that to leave earlier partitions unread.
+    has to be a date and monotone: a later time never falls into an earlier partition.
+    The rebuild relies on that to leave earlier partitions unread.  A flow refuses a
+    ``day_of`` that gives no date; that it is monotone is the contract's promise.
     """
 
     schema: StructType
@@ -97,15 +110,17 @@ CUSTOMERS_SCHEMA = StructType(
     ]
 )
 
-#: Spark orders NaN above every number, so the range rule turns NaN and infinity away too.
-_IN_RANGE = f"quantity * unit_price < {AMOUNT_LIMIT:e}D"
+def finite_rule(name: str, amount: str) -> Rule:
+    """Amounts have to be numbers.  Spark orders NaN above infinity; no number is too large."""
+    return Rule(name, f"abs({amount}) < double('infinity')")
+
 
 ORDER_RULES = (
     Rule("order_id_present", "order_id IS NOT NULL"),
     Rule("customer_id_present", "customer_id IS NOT NULL"),
     Rule("quantity_positive", "quantity > 0"),
     Rule("unit_price_positive", "unit_price > 0"),
-    Rule("amount_in_range", _IN_RANGE),
+    finite_rule("revenue_finite", "quantity * unit_price"),
     Rule("time_parsed", "order_ts IS NOT NULL"),
 )
 

@@ -1,0 +1,59 @@
+"""What the retail flow has to publish, computed from its rules in plain Python."""
+
+from __future__ import annotations
+
+import csv
+import datetime as dt
+import io
+from decimal import ROUND_HALF_UP, Decimal
+
+HEADER = "order_id,customer_id,order_ts,category,quantity,unit_price\n"
+
+
+def parsed(text: str) -> list[dict]:
+    rows = []
+    for r in csv.DictReader(io.StringIO(HEADER + text)):
+        r = {k: v or None for k, v in r.items()}
+        try:
+            r["order_ts"] = dt.datetime.fromisoformat(r["order_ts"])
+        except (TypeError, ValueError):
+            r["order_ts"] = None
+        r["quantity"] = int(r["quantity"]) if (r["quantity"] or "").lstrip("-").isdigit() else None
+        r["unit_price"] = Decimal(r["unit_price"]) if r["unit_price"] else None
+        rows.append(r)
+    return rows
+
+
+def is_valid(r: dict) -> bool:
+    return bool(
+        r["order_id"] and r["customer_id"] and r["order_ts"]
+        and r["quantity"] and r["quantity"] > 0 and r["unit_price"] and r["unit_price"] > 0
+        and r["unit_price"].is_finite()
+    )
+
+
+def newest(rows: list[dict]) -> list[dict]:
+    best: dict = {}
+    for r in filter(is_valid, rows):
+        if r["order_id"] not in best or r["order_ts"] > best[r["order_id"]]["order_ts"]:
+            best[r["order_id"]] = r
+    return [*best.values()]
+
+
+def cents(value: Decimal) -> Decimal:
+    return value.quantize(Decimal("0.01"), ROUND_HALF_UP)
+
+
+def mart(text: str) -> dict:
+    """(revenue, orders, customers, units, average) by day and category."""
+    groups: dict = {}
+    for r in newest(parsed(text)):
+        groups.setdefault((str(r["order_ts"].date()), r["category"]), []).append(r)
+    found = {}
+    for key, rows in groups.items():
+        total = sum(cents(r["quantity"] * r["unit_price"]) for r in rows)
+        found[key] = (
+            float(total), len(rows), len({r["customer_id"] for r in rows}),
+            sum(r["quantity"] for r in rows), float(cents(total / len(rows))),
+        )
+    return found

@@ -6,7 +6,6 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from martflow.operators import (
     DAILY_CATEGORY_MART,
     affected_days,
@@ -20,7 +19,7 @@ from martflow.operators import (
     valid_rows,
 )
 from martflow.plans import publish, scratch, written
-from workloads.queries import CURSOR, _clean
+from workloads.queries import CURSOR, QUERIES, _clean
 from workloads.tables import DAILY_COUNTRY_MART, EVENT_ORDERS, LINES, event_orders, lines
 
 FOLDER = "/root/testdata/sf0.01"
@@ -82,9 +81,9 @@ WRITING = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_no_query_needs_python_rows_or_pairs(spark, name):
-    text = plan(queries()[name](spark, FOLDER))
+    text = plan(QUERIES[name](spark, FOLDER))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert node not in text
 
@@ -172,13 +171,11 @@ def test_scratch_folder_follows_the_session(spark):
     assert one.startswith(root) and two.startswith(root) and one != two
 
 
-def test_a_cluster_without_a_shared_scratch_folder_is_refused():
-    class Cluster:
-        conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
-        sparkContext = type("Context", (), {"master": "yarn"})
+def test_without_a_checkpoint_folder_scratch_lies_in_the_warehouse():
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: {"spark.sql.warehouse.dir": "hdfs:/wh/"}.get(key, default))})
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch.scratch_folder(Cluster)
+    assert scratch.scratch_folder(Session).startswith("hdfs:/wh/_scratch/martflow-")
 
 
 def test_composite_keys_keep_every_version_apart(spark):

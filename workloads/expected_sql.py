@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import CURSOR, EVENT_CUTS, LINE_CURSOR
+from .queries import CURSOR, EVENT_CUTS, LINE_CURSOR, LINE_CUTS
 
 ORDERS = """
 raw AS (
@@ -13,7 +13,7 @@ parsed AS (SELECT *, CAST(order_ts AS DATE) AS order_date FROM raw),
 valid AS (
   SELECT * FROM parsed
   WHERE order_id IS NOT NULL AND customer_id IS NOT NULL AND quantity > 0 AND unit_price > 0
-    AND order_ts IS NOT NULL),
+    AND isfinite(quantity * unit_price) AND order_ts IS NOT NULL),
 clean AS (
   SELECT * EXCLUDE (v) FROM (
     SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_ts DESC NULLS LAST,
@@ -52,6 +52,12 @@ def _half_up_cents(total: str, count: str) -> str:
     return f"CAST((2 * {cents} + {count}) // (2 * {count}) AS DOUBLE) / 100"
 
 
+def _half_up(top: str, bottom: str, scale: int) -> str:
+    """A quotient of whole numbers, rounded half-up to ``scale`` places."""
+    power = 10**scale
+    return f"CAST((2 * CAST({top} AS HUGEINT) * {power} + {bottom}) // (2 * {bottom}) AS DOUBLE) / {power}"
+
+
 def _mart(source: str, grain: str, revenue: str, order_id: str, buyer: str, units: str, name: str) -> str:
     return f"""
   SELECT {grain}, CAST(sum({revenue}) AS DOUBLE) AS total_revenue,
@@ -149,7 +155,7 @@ SELECT *, concat_ws(',',
     CASE WHEN customer_id IS NULL THEN 'customer_id_present' END,
     CASE WHEN NOT coalesce(quantity > 0, false) THEN 'quantity_positive' END,
     CASE WHEN NOT coalesce(unit_price > 0, false) THEN 'unit_price_positive' END,
-    CASE WHEN NOT coalesce(quantity * unit_price < 1e13, false) THEN 'amount_in_range' END,
+    CASE WHEN NOT coalesce(isfinite(quantity * unit_price), false) THEN 'revenue_finite' END,
     CASE WHEN order_ts IS NULL THEN 'time_parsed' END) AS failed_rules
 FROM parsed WHERE NOT EXISTS (SELECT 1 FROM valid WHERE valid.order_id = parsed.order_id)""",
     "latest_per_key": f"WITH {LINES} SELECT * FROM newest",
@@ -228,11 +234,11 @@ FROM orders LEFT JOIN (
         "(SELECT DISTINCT nullif(l_quantity, 1) FROM lineitem)",
     ),
     "check_referential": _check(
-        "referential_integrity[o_orderkey->l_orderkey]", "count(*)", "orphan value(s)", f"({ORPHAN_ORDERS})"
+        "referential_integrity[o_orderkey->l_orderkey]", "count(*)", "key(s) without a match", f"({ORPHAN_ORDERS})"
     )
     + " UNION ALL "
     + _check(
-        "referential_integrity[l_orderkey->o_orderkey]", "count(*)", "orphan value(s)",
+        "referential_integrity[l_orderkey->o_orderkey]", "count(*)", "key(s) without a match",
         "(SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey IS NULL"
         " OR l_orderkey NOT IN (SELECT o_orderkey FROM orders))",
     ),
@@ -255,7 +261,7 @@ SELECT order_date, rows_in_batch, {_verdict("0.02")} FROM ({_running("7")})""",
     )
     + " UNION ALL "
     + _check(
-        "referential_integrity[o_orderkey->l_orderkey]", "count(*)", "orphan value(s)", f"({ORPHAN_ORDERS})"
+        "referential_integrity[o_orderkey->l_orderkey]", "count(*)", "key(s) without a match", f"({ORPHAN_ORDERS})"
     )
     + f" UNION ALL {NEWEST_DAY}",
     "first_load": BATCH_DAYS.format(batches=ONE_BATCH),
@@ -282,14 +288,91 @@ WITH {ORDERS}, {EVENT_BATCHES}, runs AS (
   SELECT run_seq, count(*) AS rows_read,
          count(*) FILTER (NOT (quantity > 0 AND unit_price > 0)) AS rows_rejected,
          CAST(max(order_ts) AS VARCHAR) AS watermark_after
-  FROM parsed JOIN batches ON order_ts > low AND order_ts <= high GROUP BY run_seq)
-SELECT runs.*, name, true AS passed
-FROM runs, (VALUES ('not_null[order_id]'), ('unique[order_id]'), ('non_negative[unit_price]'),
-  ('referential_integrity[customer_id->customer_id]'), ('volume_anomaly')) AS c(name)""",
+  FROM parsed JOIN batches ON order_ts > low AND order_ts <= high GROUP BY run_seq),
+batch AS (SELECT run_seq, clean.* FROM clean JOIN batches ON order_ts > low AND order_ts <= high),
+sizes AS (SELECT run_seq, count(*) AS n FROM batch GROUP BY run_seq),
+verdicts AS (
+  SELECT run_seq, 'not_null[order_id]' AS name, count(*) = count(order_id) AS passed FROM batch GROUP BY run_seq
+  UNION ALL
+  SELECT run_seq, 'unique[order_id]', count(*) = count(DISTINCT order_id) FROM batch GROUP BY run_seq
+  UNION ALL
+  SELECT run_seq, 'non_negative[unit_price]', min(unit_price) >= 0 FROM batch GROUP BY run_seq
+  UNION ALL
+  SELECT run_seq, 'referential_integrity[customer_id->customer_id]',
+         bool_and(customer_id IN (SELECT c_custkey FROM customer)) FROM batch GROUP BY run_seq
+  UNION ALL
+  SELECT s.run_seq, 'volume_anomaly', count(e.n) < 3 OR s.n BETWEEN median(e.n) * 0.5 AND median(e.n) * 1.5
+  FROM sizes s LEFT JOIN sizes e ON e.run_seq < s.run_seq GROUP BY s.run_seq, s.n)
+SELECT runs.*, name, passed FROM runs JOIN verdicts USING (run_seq)""",
     "latest_across_batches": f"WITH {LINES} SELECT * FROM newest",
     "incremental_mart": f"WITH {LINES} {MONTHLY}",
     "incremental_equals_full": f"""
 WITH {LINES}
 SELECT count(*) AS mart_groups, CAST(0 AS BIGINT) AS differing_groups
 FROM (SELECT DISTINCT ship_month, l_returnflag FROM newest)""",
+    "large_amounts": f"""
+WITH {LINES}
+SELECT l_returnflag, count(DISTINCT l_orderkey) AS orders,
+       CAST(CAST(sum(CAST(l_extendedprice * 1e9 AS DECIMAL(38,2))) AS VARCHAR) AS DOUBLE) AS total_revenue
+FROM lines GROUP BY l_returnflag""",
+    "ratio_measures": f"""
+WITH sums AS (
+  SELECT nullif(l_returnflag, 'N') AS flag, count(DISTINCT l_orderkey) AS orders,
+         sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS revenue,
+         sum(CAST(floor(l_extendedprice) AS BIGINT)) AS whole, sum(CAST(l_quantity AS BIGINT)) AS pieces
+  FROM lineitem GROUP BY 1)
+SELECT flag, CAST(revenue AS DOUBLE) AS revenue, CAST(whole AS DOUBLE) AS whole_revenue, orders,
+       CAST(pieces AS BIGINT) AS pieces, CAST(0 AS BIGINT) AS nothing,
+       {_half_up_cents("revenue", "orders")} AS per_order,
+       {_half_up("whole * 100", "CAST(revenue * 100 AS HUGEINT)", 6)} AS share,
+       {_half_up("pieces", "orders", 3)} AS pieces_per_order, CAST(NULL AS DOUBLE) AS per_nothing
+FROM sums""",
+    "customers_contract": f"""
+WITH {PEOPLE}
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, country, CAST(NULL AS VARCHAR) AS signup_date
+FROM people""",
+    "malformed_lines": f"""
+WITH {ORDERS}
+SELECT CAST(order_id AS VARCHAR) AS order_id, category,
+       CASE WHEN category = 'error' THEN NULL ELSE quantity END AS quantity,
+       CASE WHEN category = 'error' THEN 'about ' || quantity END AS quantity_text
+FROM raw""",
+    "gate_stops_run": f"""
+WITH {LINES}, early AS (SELECT * FROM lineitem WHERE l_shipdate <= TIMESTAMP '{LINE_CUTS[0]}'),
+known AS (SELECT * FROM lines WHERE l_shipdate <= TIMESTAMP '{LINE_CUTS[0]}'),
+kept AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS v FROM known QUALIFY v = 1),
+missing AS (
+  SELECT count(DISTINCT l_orderkey) AS n FROM lines
+  WHERE l_shipdate > TIMESTAMP '{LINE_CUTS[0]}' AND l_orderkey NOT IN (SELECT l_orderkey FROM early))
+SELECT CAST(1 AS BIGINT) AS runs,
+       (SELECT 'referential_integrity[l_orderkey->l_orderkey]: ' || n || ' key(s) without a match'
+        FROM missing) AS failures,
+       (SELECT count(*) FROM kept) AS clean_rows,
+       (SELECT count(*) FROM (SELECT DISTINCT ship_month, l_returnflag FROM kept)) AS mart_groups,
+       CAST((SELECT sum(n) FROM (SELECT count(DISTINCT l_orderkey) AS n FROM kept
+                                 GROUP BY ship_month, l_returnflag)) AS BIGINT) AS orders""",
+    "refresh_to_empty": f"""
+WITH {ORDERS}
+SELECT CAST(1 AS BIGINT) AS run_seq, 'incremental' AS mode, (SELECT count(*) FROM clean) AS rows_in_batch,
+       (SELECT CAST(max(order_ts) AS VARCHAR) FROM parsed) AS watermark_after, CAST(0 AS BIGINT) AS mart_groups
+UNION ALL
+SELECT CAST(2 AS BIGINT), 'full_refresh', CAST(0 AS BIGINT), NULL, CAST(0 AS BIGINT)""",
+    "lookback_runs": f"""
+WITH {ORDERS}, late AS (
+  SELECT * FROM parsed
+  WHERE order_id % 50 = 7 AND order_ts < (SELECT max(order_ts) FROM parsed)
+    AND order_ts > (SELECT max(order_ts) FROM parsed) - INTERVAL 36 HOUR),
+good AS (SELECT order_id FROM late SEMI JOIN valid USING (order_id)),
+newest AS (SELECT CAST(max(order_ts) AS VARCHAR) AS t FROM parsed)
+SELECT CAST(1 AS BIGINT) AS run_seq, 'success' AS status,
+       (SELECT count(*) FROM parsed) - (SELECT count(*) FROM late) AS rows_read,
+       (SELECT count(*) FROM clean) - (SELECT count(*) FROM good) AS rows_in_batch, t AS watermark_after
+FROM newest
+UNION ALL
+SELECT CAST(n AS BIGINT), 'no_new_data', CAST(0 AS BIGINT), CAST(0 AS BIGINT), t
+FROM newest, (VALUES (2), (3)) AS again(n)
+UNION ALL
+SELECT CAST(4 AS BIGINT), 'success', (SELECT count(*) FROM good), (SELECT count(*) FROM good), t FROM newest""",
 }

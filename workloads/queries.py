@@ -3,15 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.functions import from_cents
+from martflow.functions import rounded
 from martflow.operators import (
     DAILY_CATEGORY_MART,
     FAILED_RULES,
+    BatchRejected,
     CheckPlan,
+    CountDistinct,
+    MartSpec,
+    Money,
+    Ratio,
+    Reference,
+    Sum,
     affected_days,
     batch_high,
     build_mart,
@@ -43,7 +51,7 @@ from martflow.plans import (
     written,
 )
 from martflow.plans.publish import read_mart, replace_days
-from martflow.sources import ORDERS, read_contract
+from martflow.sources import CUSTOMERS_SCHEMA, ORDERS, read_contract
 
 from .tables import (
     DAILY_BRAND_MART,
@@ -204,7 +212,7 @@ def rebuild_affected(spark: SparkSession, folder: str) -> DataFrame:
 
 def revenue_projection(spark: SparkSession, folder: str) -> DataFrame:
     rows = with_derived(_valid(spark, folder), DAILY_CATEGORY_MART)
-    return rows.select("order_id", from_cents(F.col("revenue")).alias("revenue"))
+    return rows.select("order_id", rounded(F.col("revenue")).alias("revenue"))
 
 
 # -- joins ---------------------------------------------------------------------------
@@ -216,7 +224,7 @@ def enrich_left(spark: SparkSession, folder: str) -> DataFrame:
     people = written(people, f"{scratch_folder(spark)}/people")
     joined = lookup(rows, people, "customer_id", "customer_id", ["country"], reduced=True)
     return joined.select(
-        "order_id", "customer_id", from_cents(F.col("revenue")).alias("revenue"), "country"
+        "order_id", "customer_id", rounded(F.col("revenue")).alias("revenue"), "country"
     )
 
 
@@ -258,9 +266,9 @@ def daily_mart(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def country_mart(spark: SparkSession, folder: str) -> DataFrame:
-    return build_mart(
-        _clean(spark, folder), DAILY_COUNTRY_MART, EVENT_ORDERS.key, customers(spark, folder)
-    )
+    people = one_row_per_key(customers(spark, folder), "customer_id", ["country"])
+    people = written(people, f"{scratch_folder(spark)}/people")
+    return build_mart(_clean(spark, folder), DAILY_COUNTRY_MART, EVENT_ORDERS.key, people, reduced=True)
 
 
 def brand_mart(spark: SparkSession, folder: str) -> DataFrame:
@@ -422,6 +430,123 @@ def ledger_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# -- amounts, ratios and unusual runs ------------------------------------------------------------
+
+
+def large_amounts(spark: SparkSession, folder: str) -> DataFrame:
+    """Line prices a thousand million times as high, in valid rows, summed."""
+    rows = _valid_lines(spark, folder).withColumn("l_extendedprice", F.col("l_extendedprice") * 1e9)
+    spec = MartSpec(
+        "ship_month", ("l_returnflag",),
+        (Money("total_revenue", "l_extendedprice"), CountDistinct("orders", "l_orderkey")),
+    )
+    return build_mart(valid_rows(rows, LINES.rules), spec)
+
+
+def ratio_measures(spark: SparkSession, folder: str) -> DataFrame:
+    """Ratios of every kind, by a grain that is null for some rows, over a zero divisor too."""
+    rows = table(spark, folder, "lineitem").select(
+        F.nullif("l_returnflag", F.lit("N")).alias("flag"),
+        "l_orderkey",
+        "l_extendedprice",
+        F.floor("l_extendedprice").cast("double").alias("whole"),
+        F.col("l_quantity").cast("int").alias("pieces"),
+        F.lit(0).alias("nothing"),
+    )
+    spec = MartSpec(
+        "flag", ("flag",),
+        (
+            Money("revenue", "l_extendedprice"), Money("whole_revenue", "whole"),
+            CountDistinct("orders", "l_orderkey"), Sum("pieces", "pieces"), Sum("nothing", "nothing"),
+            Ratio("per_order", "revenue", "orders"), Ratio("share", "whole_revenue", "revenue", 6),
+            Ratio("pieces_per_order", "pieces", "orders", 3), Ratio("per_nothing", "revenue", "nothing"),
+        ),
+    )
+    return build_mart(rows, spec)
+
+
+def customers_contract(spark: SparkSession, folder: str) -> DataFrame:
+    """The customers as a file of two columns, read against the contract of three."""
+    path = f"{scratch_folder(spark)}/customers"
+    customers(spark, folder).write.option("header", True).csv(path)
+    return read_contract(spark, path, CUSTOMERS_SCHEMA, optional=("signup_date",))
+
+
+def malformed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as a file in which one category has words for quantities: what the text was."""
+    path = f"{scratch_folder(spark)}/orders"
+    words = F.when(F.col("category") == "error", F.concat(F.lit("about "), "quantity"))
+    raw = event_orders(spark, folder).withColumns({
+        "order_ts": F.col("order_ts").cast("string"),
+        "quantity": F.coalesce(words, F.col("quantity").cast("string")),
+    })
+    raw.write.option("header", True).csv(path)
+    rows = read_contract(spark, path, ORDERS.schema, malformed="line")
+    return rows.select(
+        "order_id", "category", "quantity", F.split_part("line", F.lit(","), F.lit(5)).alias("quantity_text")
+    )
+
+
+def gate_stops_run(spark: SparkSession, folder: str) -> DataFrame:
+    """A second batch of lines whose orders are missing: what the failed run leaves."""
+    root, cut = scratch_folder(spark), LINE_CUTS[0]
+    known = rows_after(lines(spark, folder), None, "l_shipdate", upto=cut).select("l_orderkey")
+
+    def flow(upto: str | None) -> Flow:
+        return Flow(spark, FlowSpec(
+            source=lambda s: rows_after(lines(s, folder), None, "l_shipdate", upto=upto),
+            clean=f"{root}/clean", mart=f"{root}/mart", ledger=f"{root}/ledger",
+            contract=LINES, mart_spec=MONTHLY_FLAG_MART, dimension=lambda s: known,
+            checks=CheckPlan(reference=Reference("l_orderkey", "l_orderkey")),
+        ))
+
+    flow(cut).run()
+    failures = []
+    try:
+        flow(None).run()
+    except BatchRejected as stopped:
+        failures = [f"{c.name}: {c.detail}" for c in stopped.failures]
+    done = flow(None)
+    finished = done.ledger().filter("status = 'success'").agg(F.count(F.lit(1)).alias("runs"))
+    groups = done.mart().agg(F.count(F.lit(1)).alias("mart_groups"), F.sum("orders").alias("orders"))
+    return finished.select(
+        "runs",
+        F.lit("; ".join(failures)).alias("failures"),
+        done.clean().agg(F.count(F.lit(1))).scalar().alias("clean_rows"),
+        groups.select("mart_groups").scalar().alias("mart_groups"),
+        groups.select("orders").scalar().alias("orders"),
+    )
+
+
+def refresh_to_empty(spark: SparkSession, folder: str) -> DataFrame:
+    """A mart, and then a refresh over a source that has lost all its rows."""
+    flow = _event_flow(spark, folder, cuts=())
+    emptied = replace(flow.spec, source=lambda s: event_orders(s, folder).limit(0))
+    Flow(spark, emptied).run(full_refresh=True)
+    left = flow.mart().agg(F.count(F.lit(1))).scalar()
+    return flow.ledger().filter("status = 'success'").select(
+        "run_seq", "mode", "rows_in_batch", "watermark_after", left.alias("mart_groups")
+    )
+
+
+def lookback_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Three runs over an unchanged source, and a fourth to which late rows have come."""
+    root = scratch_folder(spark)
+    rows = event_orders(spark, folder)
+    newest = rows.agg(F.max("order_ts")).scalar()
+    near = (F.col("order_ts") > newest - F.expr("INTERVAL 36 HOURS")) & (F.col("order_ts") < newest)
+    late = near & (F.col("order_id") % 50 == 7)
+    for source in [rows.filter(~late)] * 3 + [rows]:
+        flow = Flow(spark, FlowSpec(
+            source=lambda s, source=source: source,
+            clean=f"{root}/clean", mart=f"{root}/mart", ledger=f"{root}/ledger", lookback="2 days",
+            contract=EVENT_ORDERS, mart_spec=DAILY_CATEGORY_MART, checks=CheckPlan(),
+        ))
+        flow.run()
+    finished = flow.ledger().filter("status <> 'publishing'")
+    return finished.select("run_seq", "status", "rows_read", "rows_in_batch", "watermark_after")
+
+
 QUERIES: dict[str, Query] = {
     "daily_mart": daily_mart,
     "scan_contract": scan_contract,
@@ -465,4 +590,11 @@ QUERIES: dict[str, Query] = {
     "latest_across_batches": latest_across_batches,
     "incremental_mart": incremental_mart,
     "incremental_equals_full": incremental_equals_full,
+    "large_amounts": large_amounts,
+    "ratio_measures": ratio_measures,
+    "customers_contract": customers_contract,
+    "malformed_lines": malformed_lines,
+    "gate_stops_run": gate_stops_run,
+    "refresh_to_empty": refresh_to_empty,
+    "lookback_runs": lookback_runs,
 }

@@ -16,7 +16,6 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from martflow.functions import cents
 from martflow.operators import (
     DAILY_CATEGORY_MART,
     CountDistinct,
@@ -26,7 +25,7 @@ from martflow.operators import (
     Ratio,
     Sum,
 )
-from martflow.sources import ORDER_RULES, Contract, Rule, read_contract
+from martflow.sources import ORDER_RULES, Contract, Rule, finite_rule, read_contract
 
 EVENT_FILE = StructType(
     [
@@ -80,7 +79,7 @@ LINES = Contract(
         Rule("line_present", "l_linenumber IS NOT NULL"),
         Rule("quantity_positive", "l_quantity > 0"),
         Rule("price_positive", "l_extendedprice > 0"),
-        Rule("price_in_range", "l_extendedprice < 1e13D"),
+        finite_rule("revenue_finite", "l_extendedprice"),
         Rule("time_present", "l_shipdate IS NOT NULL"),
     ),
 )
@@ -95,7 +94,7 @@ MONTHLY_FLAG_MART = MartSpec(
         Sum("units", "l_quantity"),
         Ratio("avg_order_value", "total_revenue", "orders"),
     ),
-    derived={"revenue": lambda: cents(F.col("l_extendedprice"))},
+    derived={"revenue": lambda: F.col("l_extendedprice")},
 )
 
 DAILY_BRAND_MART = MartSpec(
@@ -109,6 +108,7 @@ DAILY_BRAND_MART = MartSpec(
         Ratio("avg_order_value", "total_revenue", "orders"),
     ),
     derived=MONTHLY_FLAG_MART.derived,
+    determines={"l_orderkey": ("o_custkey",)},
 )
 
 DAILY_COUNTRY_MART = replace(
