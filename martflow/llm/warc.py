@@ -21,10 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.scratch import scratch_folder, written
 from .common import ship_package, utf8
 
 SEGMENT_BYTES = 16 * 1024
 CHUNK_BYTES = 4 * 1024
+PAGES_AT_ONCE = 128
+BLOCKS_AT_ONCE = 4 << 20  # bytes of segments that are passed on together
 DATE = "2024-01-01T00:00:00Z"
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -45,6 +48,10 @@ def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def hex_to_base32(digest: str) -> str:
+    return base64.b32encode(bytes.fromhex(digest)).decode()
+
+
 def chunked(payload: bytes, size: int = CHUNK_BYTES) -> bytes:
     """Payload in chunked transfer framing."""
     parts = [payload[at : at + size] for at in range(0, len(payload), size)]
@@ -79,7 +86,7 @@ def clean(value: str | int) -> str:
 
 
 def response_records(
-    name: str, page: str, url: str | None, payload: bytes, segment_bytes: int
+    name: str, page: str, url: str | None, payload: bytes, segment_bytes: int, digest: str | None = None
 ) -> list[bytes]:
     """The response for a page: one record, or a first segment and its continuations."""
     block = HTTP_HEAD + chunked(payload)
@@ -91,7 +98,7 @@ def response_records(
         "WARC-Target-URI": url,
         "Page-ID": page,
         "Content-Type": "application/http; msgtype=response",
-        "WARC-Payload-Digest": f"sha1:{sha1_base32(payload)}",
+        "WARC-Payload-Digest": f"sha1:{digest or sha1_base32(payload)}",
         "WARC-Segment-Number": 1 if len(parts) > 1 else None,
     }
     found = [record(own, parts[0])]
@@ -139,19 +146,14 @@ def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = start + length + 4
 
 
-# -- writing -------------------------------------------------------------------
+def _sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Small parts of batches, so that few copies of payloads are held at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
-def _sha1_base32(payload: Column) -> Column:
-    """Base32 of the SHA-1 of a binary column: 32 signs, from four numbers of 40 bits."""
-    digest, signs = F.sha1(payload), "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-    parts = []
-    for at in range(1, 41, 10):
-        number = F.conv(F.substring(digest, at, 10), 16, 10).cast("long")
-        for shift in range(35, -1, -5):
-            place = F.shiftright(number, shift).bitwiseAND(F.lit(31).cast("long")).cast("int")
-            parts.append(F.substring(F.lit(signs), place + 1, F.lit(1)))
-    return F.concat(*parts)
+# -- writing -------------------------------------------------------------------
 
 
 def _resolved(pages: DataFrame, id_col: str, url_col: str, payload_col: str, least: int) -> DataFrame:
@@ -161,14 +163,16 @@ def _resolved(pages: DataFrame, id_col: str, url_col: str, payload_col: str, lea
         F.col(id_col).cast("long").alias("page_id"),
         F.col(url_col).cast("string").alias("url"),
         payload.alias("payload"),
-        _sha1_base32(payload).alias("digest"),
+        F.sha1(payload).alias("digest"),
         F.octet_length(payload).alias("size"),
         F.crc32(payload).alias("crc"),
     )
     same = ["digest", "size", "crc"]
-    # Digests alone are shuffled, and one row a digest comes back.
+    # Only digests are grouped; the join takes those of payloads that occur twice.
     groups = rows.groupBy(*same).agg(F.min("page_id").alias("holder"), F.count(F.lit(1)).alias("copies"))
     shared = groups.filter((F.col("copies") > 1) & (F.col("size") >= least)).select(*same, "holder")
+    # Written, so that the join can split a payload that a large part of all pages have.
+    shared = written(shared, f"{scratch_folder(pages.sparkSession)}/shared")
     return rows.join(shared, same, "left").withColumn(
         "refers",
         F.when(~F.col("page_id").eqNullSafe(F.col("holder")) & F.col("holder").isNotNull(), F.col("holder")),
@@ -195,23 +199,21 @@ def write_archives(
     ship_package(pages.sparkSession)
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches, PAGES_AT_ONCE):
             records: list[bytes] = []
-            for page, name, url, payload, digest, refers in zip(
-                *(batch.column(c).to_pylist() for c in range(6))
-            ):
-                text = "" if page is None else str(page)
+            for page, url, payload, sha1, refers in zip(*(c.to_pylist() for c in batch.columns)):
+                text, digest = "" if page is None else str(page), hex_to_base32(sha1)
+                name = f"{text or 'none'}:{digest}"
                 if refers is not None:
                     records.append(revisit_record(name, text, url, digest, f"{refers}:{digest}"))
                 else:
-                    records += response_records(name, text, url, payload, segment_bytes)
+                    records += response_records(name, text, url, payload, segment_bytes, digest)
             yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], ["record"])
 
     rows = _resolved(pages, id_col, url_col, payload_col, least_revisit_bytes)
-    # A record's name is its page and payload; rows that repeat both are the same record.
+    # A record's name is its page and payload: rows that repeat both are the same record.
     rows = rows.select(
         "page_id",
-        F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), "digest").alias("name"),
         "url",
         F.when(F.col("refers").isNull(), F.col("payload")).alias("payload"),
         "digest",
@@ -247,7 +249,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                     row = _described(head, block)
                     rows.append(row)
                     size += len(row[-1] or b"")
-                    if len(rows) >= 2000 or size > 16 << 20:
+                    if len(rows) >= 2000 or size > BLOCKS_AT_ONCE:
                         yield _records(rows)
                         rows, size = [], 0
                 if rows:
@@ -291,8 +293,9 @@ def payload_of(block: bytes) -> bytes:
 def _joined(numbers: pa.Array, totals: pa.Array, blocks: pa.Array) -> pa.Array:
     """Length and digest of each segmented record's payload; None where it is not whole."""
     found = []
-    for order, total, parts in zip(numbers.to_pylist(), totals.to_pylist(), blocks.to_pylist()):
-        block = b"".join(parts)
+    for row in range(len(numbers)):
+        order, total = numbers[row].as_py(), totals[row].as_py()
+        block = b"".join(blocks[row].as_py())
         if order != list(range(1, len(order) + 1)) or total != len(block):
             found.append(None)
             continue
