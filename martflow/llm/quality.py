@@ -20,14 +20,16 @@ from .common import ship_package, unit_hash, utf8
 
 POSITIVES, UNLABELLED = 6000, 12000  # bounds, on average, of the rows that the fit sees
 THRESHOLD = 0.3
+RARE = 0.03  # keeps signs that hardly ever occur from weighing much
 BLOCK = 1 << 20
 
-#: Kinds of bytes: control, new line, space, digit, upper, lower, non-ASCII, then signs.
-SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Kinds of bytes: control, new line, space, digit, upper, lower, non-ASCII, then groups of signs.
+SIGNS = (".,;:", "!?", "|", "#$%&*@^~+=<>", "'\"()[]{}`-_/\\")
 KIND = np.zeros(256, np.uint8)
 KIND[10], KIND[[9, 32]] = 1, 2
 KIND[48:58], KIND[65:91], KIND[97:123], KIND[128:] = 3, 4, 5, 6
-KIND[[ord(c) for c in SIGNS]] = np.arange(7, 7 + len(SIGNS))
+for _group, _signs in enumerate(SIGNS, 7):
+    KIND[[ord(c) for c in _signs]] = _group
 KINDS = 7 + len(SIGNS)
 FEATURES = KINDS * KINDS + 256 + 8
 
@@ -76,17 +78,17 @@ def fit_positive_unlabelled(
     positive: np.ndarray,
     unlabelled: np.ndarray,
     prior: float,
-    epochs: int = 60,
+    epochs: int = 150,
     batches: int = 12,
-    rate: float = 0.01,
-    decay: float = 1e-4,
+    rate: float = 0.03,
+    decay: float = 1e-3,
     seed: int = 7,
 ) -> QualityModel:
     """Minimise the non-negative risk of a linear scorer in mini-batches (Adam)."""
     both = np.concatenate([positive, unlabelled])
-    mean, spread = both.mean(0), both.std(0) + 1e-3
+    mean, spread = both.mean(0), both.std(0) + RARE
     p, u = (positive - mean) / spread, (unlabelled - mean) / spread
-    w = np.zeros(both.shape[1] + 1)
+    w = np.zeros(both.shape[1] + 1, np.float32)
     first, second, turn = np.zeros_like(w), np.zeros_like(w), 0
     random = np.random.default_rng(seed)
     one = lambda x: np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1)
@@ -105,7 +107,8 @@ def fit_positive_unlabelled(
             turn += 1
             first = 0.9 * first + 0.1 * grad
             second = 0.999 * second + 0.001 * grad**2
-            w -= rate * (first / (1 - 0.9**turn)) / (np.sqrt(second / (1 - 0.999**turn)) + 1e-8)
+            step = rate * (first / (1 - 0.9**turn)) / (np.sqrt(second / (1 - 0.999**turn)) + 1e-8)
+            w -= step.astype(np.float32)
     return QualityModel(mean, spread, w[:-1], float(w[-1]), prior)
 
 
@@ -114,9 +117,9 @@ def _as_bytes(texts: pa.Array) -> pa.Array:
 
 
 def _sample(rows: DataFrame, bound: int, salt: str) -> DataFrame:
-    """About ``bound`` rows, chosen by a hash of the id; all rows if there are fewer."""
+    """About ``bound`` rows, chosen by a hash of all columns; all rows if there are fewer."""
     count = rows.count()
-    luck = unit_hash(F.col("doc_id").cast("string"), F.lit(salt))
+    luck = unit_hash(*rows.columns, F.lit(salt))
     return rows.filter(luck < bound / max(count, 1))
 
 
