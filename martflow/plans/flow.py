@@ -20,6 +20,7 @@ import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from statistics import median
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -228,6 +229,32 @@ class Flow:
             publish.retire_epoch(self.spark, spec.clean, state.epoch, contract)
         return done
 
+    def compact(self) -> bool:
+        """Merge the folders of all confirmed batches into one; False if there is nothing to do.
+
+        Every version is kept, so nothing that is published changes.  Readers stay with
+        the old folders until the ledger row is in.  A run that broke off while publishing
+        has to be followed by another run first.
+        """
+        spec, contract = self.spec, self.spec.contract
+        state = runs.ledger_state(self.ledger())
+        if state.last_batch < 2 or state.open_epoch is not None:
+            return False
+        begun, epoch = time.perf_counter(), state.epoch + 1
+        rows = self._batches(state.epoch, state.last_batch).drop(publish.BATCH)
+        publish.retire_epoch(self.spark, spec.clean, epoch, contract)  # what a failed refresh left
+        publish.write_batch(rows, spec.clean, epoch, state.last_batch, contract)
+        at = datetime.now(timezone.utc).replace(microsecond=0).isoformat()
+        done = runs.RunRecord(
+            epoch=epoch, run_seq=state.last_run + 1, batch_id=state.last_batch, status=runs.COMPACTED,
+            mode=runs.INCREMENTAL, started_at=at, duration_seconds=round(time.perf_counter() - begun, 3),
+            rows_read=0, rows_rejected=0, rows_in_batch=0,
+            watermark_before=state.cursor, watermark_after=state.cursor,
+        )
+        runs.append_run(self.spark, spec.ledger, done)
+        publish.retire_epoch(self.spark, spec.clean, state.epoch, contract)
+        return True
+
     # -- steps -------------------------------------------------------------
 
     def _scratch(self, name: str) -> str:
@@ -309,9 +336,9 @@ class Flow:
     ) -> tuple[int, list[CheckResult]]:
         plan = self.spec.checks
         recent = volumes[-plan.history_lookback :] if plan.history_lookback else volumes
-        history = self.spark.createDataFrame([(v,) for v in recent], "rows_in_batch long")
+        earlier = (len(recent), median(recent) if recent else None)
         dimension = self.spec.dimension(self.spark) if plan.reference else None
-        row = audit(staged, plan, history, dimension).first()
+        row = audit(staged, plan, earlier, dimension).first()
         results = [CheckResult(**c.asDict()) for c in row["checks"]]
         if accept_volume:
             results = [
@@ -332,11 +359,12 @@ class Flow:
         contract = self.spec.contract
         days = affected_days(staged, earlier, contract).coalesce(1)
         days = written(days, self._scratch("days"))
-        first_day = days.agg(F.min(contract.day)).first()[0]
-        if first_day is not None:  # else no valid row in the batch
-            self._replace(current_rows(versions.drop(publish.BATCH), days, first_day, contract), days)
+        values = [row[0] for row in days.select(contract.day).collect()]  # one a calendar day
+        if values:  # else no valid row in the batch
+            rows = current_rows(versions.drop(publish.BATCH), days, min(values), contract)
+            self._replace(rows, values)
 
-    def _replace(self, rows: DataFrame, days: DataFrame | None) -> None:
+    def _replace(self, rows: DataFrame, days: list | None) -> None:
         spec = self.spec
         publish.replace_days(
             self._mart_of(rows), days, spec.mart, spec.contract.day, spec.mart_spec.grain

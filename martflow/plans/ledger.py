@@ -35,6 +35,9 @@ FULL_REFRESH = "full_refresh"
 #: number, the run broke off there, and the next one has to make good what it left.
 PUBLISHING = "publishing"
 
+#: All batches so far have been merged into one folder of a new epoch.
+COMPACTED = "compacted"
+
 CHECK_TYPE = StructType(
     [
         StructField("name", StringType()),
@@ -123,10 +126,10 @@ def _succeeded() -> Column:
 
 
 def current_runs(runs: DataFrame) -> DataFrame:
-    """Successful runs since the last full rebuild."""
+    """Successful runs since the last full rebuild, that one included."""
     done = runs.filter(_succeeded())
-    newest = done.agg(F.max("epoch").alias("epoch"))
-    return done.join(newest, "epoch", "left_semi")
+    rebuilt = F.max(F.when(F.col("mode") == FULL_REFRESH, F.col("run_seq")))
+    return done.filter(F.col("run_seq") >= F.coalesce(done.agg(rebuilt).scalar(), F.lit(0)))
 
 
 def stored_cursor(runs: DataFrame) -> DataFrame:
@@ -144,20 +147,23 @@ def volume_history(runs: DataFrame, lookback: int | None = None) -> DataFrame:
 
 def last_run(runs: DataFrame) -> DataFrame:
     """The newest finished run; no row before the first."""
-    return runs.filter(F.col("status") != PUBLISHING).orderBy(F.desc("run_seq")).limit(1)
+    return runs.filter(~F.col("status").isin(PUBLISHING, COMPACTED)).orderBy(F.desc("run_seq")).limit(1)
 
 
 def ledger_state(runs: DataFrame, delivery: str | None = None) -> LedgerState:
     """The ledger reduced to one row, with one number for each successful run."""
-    pair = F.when(_succeeded(), F.struct("epoch", "batch_id", "run_seq", "watermark_after"))
+    confirmed = F.col("status").isin(SUCCESS, COMPACTED)
+    pair = F.when(confirmed, F.struct("epoch", "batch_id", "run_seq", "watermark_after"))
     begun = F.when(F.col("status") == PUBLISHING, F.struct("run_seq", "epoch", "batch_id"))
-    size = F.when(_succeeded(), F.struct("epoch", "run_seq", "rows_in_batch"))
+    rebuilt = F.max(F.when(_succeeded() & (F.col("mode") == FULL_REFRESH), F.col("run_seq")))
+    size = F.when(_succeeded(), F.struct("run_seq", "rows_in_batch"))
     finished = F.col("status") != PUBLISHING
     row = runs.agg(
         F.max(pair).alias("newest"),
         F.max(F.when(finished, F.col("run_seq"))).alias("last_run"),
         F.max(begun).alias("begun"),
         F.sort_array(F.collect_list(size)).alias("sizes"),
+        rebuilt.alias("rebuilt"),
         F.bool_or(finished & (F.col("delivery") == F.lit(delivery))).alias("delivered"),
     ).first()
     newest, begun, last = row["newest"], row["begun"], row["last_run"] or 0
@@ -170,6 +176,8 @@ def ledger_state(runs: DataFrame, delivery: str | None = None) -> LedgerState:
         cursor=newest["watermark_after"] if newest else None,
         open_epoch=begun["epoch"] if still_open else None,
         open_batch=begun["batch_id"] if still_open else None,
-        volumes=tuple(s["rows_in_batch"] for s in row["sizes"] if s["epoch"] == epoch),
+        volumes=tuple(
+            s["rows_in_batch"] for s in row["sizes"] if s["run_seq"] >= (row["rebuilt"] or 0)
+        ),
         delivered=bool(row["delivered"]),
     )

@@ -83,7 +83,7 @@ def read_mart(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def replace_days(
-    fresh: DataFrame, days: DataFrame | None, path: str, day: str, sort: Sequence[str]
+    fresh: DataFrame, days: Sequence | None, path: str, day: str, sort: Sequence[str]
 ) -> int:
     """Make ``path`` hold exactly ``fresh`` on ``days``, and leave all other days alone.
 
@@ -97,8 +97,8 @@ def replace_days(
     mode = "static" if days is None else "dynamic"
     emptied = []
     if days is not None:
-        gone = days.select(day).join(touched_days(fresh, day), day, "left_anti")
-        emptied = [row[day] for row in gone.distinct().collect()]  # one value per calendar day
+        filled = {row[day] for row in touched_days(fresh, day).collect()}  # one a calendar day
+        emptied = [value for value in dict.fromkeys(days) if value not in filled]
     (
         _laid_out(fresh, day, [c for c in sort if c != day])
         .write.mode("overwrite")

@@ -77,7 +77,8 @@ def hot_orders(spark, n=60_000):
 WRITING = {
     "append_batches", "clean_layer_roundtrip", "csv_contract", "dynamic_overwrite", "emptied_days",
     "first_load", "full_refresh_rebuild", "incremental_equals_full", "incremental_mart",
-    "latest_across_batches", "ledger_last_run", "ledger_runs", "ledger_volumes", "ledger_watermark",
+    "customers_contract", "gate_stops_run", "latest_across_batches", "ledger_last_run", "ledger_runs", "ledger_volumes", "ledger_watermark", "lookback_runs",
+    "malformed_lines", "merged_batches", "refresh_to_empty",
 }
 
 

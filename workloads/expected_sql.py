@@ -375,4 +375,7 @@ SELECT CAST(n AS BIGINT), 'no_new_data', CAST(0 AS BIGINT), CAST(0 AS BIGINT), t
 FROM newest, (VALUES (2), (3)) AS again(n)
 UNION ALL
 SELECT CAST(4 AS BIGINT), 'success', (SELECT count(*) FROM good), (SELECT count(*) FROM good), t FROM newest""",
+    "merged_batches": f"""
+WITH {ORDERS}, {EVENT_BATCHES}
+SELECT (SELECT max(run_seq) FROM batches) AS batch_id, order_date, count(*) AS n FROM clean GROUP BY order_date""",
 }

@@ -357,6 +357,13 @@ def append_batches(spark: SparkSession, folder: str) -> DataFrame:
     return flow.versions().groupBy("batch_id", "order_date").agg(F.count(F.lit(1)).alias("n"))
 
 
+def merged_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact layer after four batches have been merged into one folder."""
+    flow = _event_flow(spark, folder)
+    flow.compact()
+    return flow.versions().groupBy("batch_id", "order_date").agg(F.count(F.lit(1)).alias("n"))
+
+
 def incremental_mart(spark: SparkSession, folder: str) -> DataFrame:
     return _line_flow(spark, folder).mart()
 
@@ -376,7 +383,8 @@ def dynamic_overwrite(spark: SparkSession, folder: str) -> DataFrame:
         mart.filter(F.weekday("order_date") == 0).withColumn("units", -F.col("units")),
         f"{root}/mondays",
     )
-    replace_days(mondays, touched_days(mondays, "order_date"), f"{root}/mart", "order_date", [])
+    days = [r[0] for r in touched_days(mondays, "order_date").collect()]
+    replace_days(mondays, days, f"{root}/mart", "order_date", [])
     return read_mart(spark, f"{root}/mart", mart.schema)
 
 
@@ -386,9 +394,8 @@ def emptied_days(spark: SparkSession, folder: str) -> DataFrame:
     mart = written(daily_mart(spark, folder), f"{root}/fresh")
     replace_days(mart, None, f"{root}/mart", "order_date", ["category"])
     mondays = mart.filter(F.weekday("order_date") == 0)
-    replace_days(
-        mart.limit(0), touched_days(mondays, "order_date"), f"{root}/mart", "order_date", []
-    )
+    days = [r[0] for r in touched_days(mondays, "order_date").collect()]
+    replace_days(mart.limit(0), days, f"{root}/mart", "order_date", [])
     return read_mart(spark, f"{root}/mart", mart.schema)
 
 
@@ -597,4 +604,5 @@ QUERIES: dict[str, Query] = {
     "gate_stops_run": gate_stops_run,
     "refresh_to_empty": refresh_to_empty,
     "lookback_runs": lookback_runs,
+    "merged_batches": merged_batches,
 }
