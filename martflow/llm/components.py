@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from ..plans.scratch import scratch_folder, written
 
 
-def _starred(edges: DataFrame, larger_only: bool) -> DataFrame:
+def _starred(edges: DataFrame, larger_only: bool, path: str) -> DataFrame:
     """Link neighbours of each node to the smallest one around it.
 
     ``larger_only`` is the large star: only neighbours above the node are linked.
-    Otherwise, the small star, only neighbours below it are.
+    Otherwise, the small star, only neighbours below it are.  The smallest ones are written
+    to ``path`` first: the join then reads two shuffles, and adaptive execution can split
+    a node that a large part of all edges meet.
     """
     both = edges if not larger_only else edges.unionByName(
         edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
@@ -20,7 +22,7 @@ def _starred(edges: DataFrame, larger_only: bool) -> DataFrame:
     # ``a`` is the centre and ``b`` its neighbour.
     if not larger_only:
         both = both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    lowest = both.groupBy("a").agg(F.min("b").alias("low"))
+    lowest = written(both.groupBy("a").agg(F.min("b").alias("low")), path)
     linked = both.join(lowest, "a")
     if larger_only:
         low = F.least("low", "a")
@@ -45,8 +47,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     current, before, turn = written(edges.select("a", "b").filter("a <> b"), f"{folder}/0"), None, 0
     while True:
         turn += 1
-        stars = _starred(_starred(current, True), False)
-        current = written(stars, f"{folder}/{turn}")
+        large = written(_starred(current, True, f"{folder}/{turn}-low"), f"{folder}/{turn}-large")
+        current = written(_starred(large, False, f"{folder}/{turn}-lower"), f"{folder}/{turn}")
         after = current.agg(
             F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 1000003)
         ).first()

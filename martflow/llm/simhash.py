@@ -95,7 +95,7 @@ def close_codes(codes: DataFrame, distance: int = 4) -> DataFrame:
     """``a, b`` with a < b for all distinct ``code`` values at most ``distance`` bits apart."""
     if not 1 <= distance <= 15:
         raise ValueError("the distance must be 1 to 15 bits")
-    segments = _segments(distance + 1)
+    segments = _segments(max(distance + 1, 3))
     count = len(segments)
     plain, varied = [], []
     for s in range(count):
@@ -104,7 +104,7 @@ def close_codes(codes: DataFrame, distance: int = 4) -> DataFrame:
         start = F.lit(s << START_BIT).cast("long")
         key = high.bitwiseOR(_bits(F.col("code"), second)).bitwiseOR(start)
         plain.append(key)
-        # The first two segments together may differ in floor(2t / (t + 1)) = 1 bit.
+        # The first two segments together may differ in floor(2t / (t + 1)) = 1 bit at most.
         varied.append(key)
         varied += [key.bitwiseXOR(F.lit(1 << k).cast("long")) for k in range(second[1])]
     left = codes.select(F.col("code").alias("a"), F.explode(F.array(*plain)).alias("key"))
@@ -155,6 +155,8 @@ def near_duplicates(
         F.coalesce("merged", "lowest").alias("component_id"),
         F.coalesce("degree", F.lit(0)).alias("links"),
     )
+    # Written, so that the join can split a code that a large part of all rows share.
+    labels = written(labels, f"{folder}/labels")
     return rows.join(labels, "code").select(
         "doc_id",
         F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"),
