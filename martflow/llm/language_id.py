@@ -23,6 +23,7 @@ from .common import ship_package, unit_hash, utf8
 UNKNOWN = "und"
 DIMENSIONS = 1 << 12
 CENTROIDS = 4
+MOST_LANGUAGES = 1000  # bound of the model; more labels than that are refused
 SAMPLE_PER_LANGUAGE = 1000  # bound of the rows that k-means sees, on average
 REACH_QUANTILE, REACH_SHARE = 0.001, 0.2
 ROWS_AT_ONCE, BYTES_AT_ONCE = 256, 1 << 20
@@ -125,15 +126,17 @@ def train(
     rows = docs.filter(F.col(lang_col).isNotNull() & has_letter(F.col(text_col))).select(
         F.col(lang_col).cast("string").alias("lang"),
         utf8(F.col(text_col)).alias("text"),
-        unit_hash(F.col(id_col).cast("string"), F.lit("language sample")).alias("luck"),
+        unit_hash(F.col(id_col).cast("string"), F.col(text_col), F.lit("language sample")).alias("luck"),
     )
-    sizes = rows.groupBy("lang").count()
     total, frequency = _document_frequencies(rows.select("text"))
     if not total:
         return None
     idf = (np.log((1 + total) / (1 + frequency)) + 1).astype(np.float32)
-    share = F.broadcast(sizes.select("lang", (sample / F.col("count")).alias("share")))
-    chosen = rows.join(share, "lang").filter("luck < share").select("lang", "text")
+    sizes = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MOST_LANGUAGES} values")
+    share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], sample / r["count"])))
+    chosen = rows.filter(F.col("luck") < F.element_at(share, F.col("lang"))).select("lang", "text")
 
     def clustered(group: pd.DataFrame) -> pd.DataFrame:
         vectors = unit_vectors([bytes(t) for t in group["text"]], idf)
