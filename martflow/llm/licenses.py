@@ -209,7 +209,8 @@ def wording(text: str, own: Template) -> Wording:
             if kind in ("insert", "replace") and 0 < turn < len(codes) - 1:
                 added += part[c:d]
         allowed = len(wanted) * MISSING_SHARE
-        ok = len(missing) <= allowed and len(added) <= allowed and not own.telling & set(missing)
+        telling = own.telling | {w for w in wanted if any(c.isdigit() for c in w)}
+        ok = len(missing) <= allowed and len(added) <= allowed and not telling & set(missing)
         results.append((not ok, len(missing) + len(added), Wording(ok, tuple(missing), tuple(added))))
     return min(results, key=lambda r: r[:2])[2]
 
