@@ -102,8 +102,12 @@ def _shortest_runs(min_words: int):
     return runs
 
 
-def _later_copies(level: DataFrame, runs: DataFrame, k: int) -> DataFrame:
-    """The runs of 2^k to 2^(k+1) - 1 lines that occur at an earlier place too."""
+def _later_copies(level: DataFrame, runs: DataFrame, k: int, folder: str) -> DataFrame:
+    """The runs of 2^k to 2^(k+1) - 1 lines that occur at an earlier place too.
+
+    Both sides of the last join are written tables, so that adaptive execution can split
+    the interval of a run that a large part of all documents has.
+    """
     own = runs.filter(f"length >= {1 << k} AND length < {2 << k}")
     head = level.select(*DOC, F.col("idx").alias("start"), F.col("rank").alias("head"))
     keyed = own.join(head, [*DOC, "start"])
@@ -115,7 +119,9 @@ def _later_copies(level: DataFrame, runs: DataFrame, k: int) -> DataFrame:
         keyed = keyed.withColumn("tail", F.col("head"))
     place = F.struct("doc_id", "text_key", "start")
     interval = ["length", "head", "tail"]
+    keyed = written(keyed.select(*DOC, "start", *interval), f"{folder}/keyed{k}")
     first = keyed.groupBy(*interval).agg(F.min(place).alias("first"))
+    first = written(first, f"{folder}/first{k}")
     return keyed.join(first, interval).filter(place > F.col("first")).select(*DOC, "start", "length")
 
 
@@ -151,7 +157,7 @@ def repeated_runs(
     runs = written(runs, f"{folder}/runs")
     places = level.select(*DOC, "idx", "line_no")
     longest = runs.agg(F.max("length")).first()[0] or 0
-    later, k = [_later_copies(level, runs, 0)], 0
+    later, k = [_later_copies(level, runs, 0, folder)], 0
     while (2 << k) <= longest:
         on = Window.partitionBy(*DOC).orderBy("idx").rangeBetween(1 << k, 1 << k)
         pairs = level.select(*DOC, "idx", "rank", F.max("rank").over(on).alias("next"))
@@ -163,7 +169,7 @@ def repeated_runs(
             pairs.join(numbers, ["rank", "next"]).select(*DOC, "idx", F.col("number").alias("rank")),
             f"{folder}/level{k}",
         )
-        later.append(_later_copies(level, runs, k))
+        later.append(_later_copies(level, runs, k, folder))
     copies = later[0]
     for more in later[1:]:
         copies = copies.unionByName(more)
@@ -197,13 +203,14 @@ def drop_repeated_runs(
         F.sort_array(F.collect_list(F.struct("first_line", "last_line"))).alias("spans")
     )
     own_id, key, cut = free_names(docs.columns, "cut_id", "cut_key", "cut_spans")
-    spans = spans.toDF(own_id, key, cut)
+    spans = written(spans.toDF(own_id, key, cut), f"{scratch_folder(docs.sparkSession)}/spans")
     same = (_doc_key(F.col(id_col)) == F.col(own_id)) & (_text_key(F.col(text_col)) == F.col(key))
     text = F.when(F.col(cut).isNull(), F.col(text_col)).otherwise(
         _without(F.split(F.col(text_col), "\n"), F.col(cut))
     )
     names = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    return docs.join(spans, same, "left").select(*names)
+    # The spans grow with the documents, so the join does not wait to see if they can be broadcast.
+    return docs.join(spans.hint("merge"), same, "left").select(*names)
 
 
 def _without(lines: Column, spans: Column) -> Column:
