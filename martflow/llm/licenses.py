@@ -25,6 +25,7 @@ from .common import ship_package
 
 LEVEL = 9
 BEFORE, AFTER = 300, 1200  # characters of a block around its first license word
+WIDTHS = 24, 64, 160  # characters on both sides of a license word; a notice is most of one of these pieces
 LEAST_GAIN = 0.15
 RANKED = 3
 MISSING_SHARE = 0.15
@@ -164,9 +165,29 @@ def _compressors(templates: tuple[Template, ...]):
 
 
 def around(text: str) -> list[str]:
-    """The sentences of a block that hold a license word, and all of the block."""
+    """The lines of a block that hold a license word, pieces of each width around the words, and all of it."""
     pieces = [p for p in re.split(r"\n+", text) if ANCHORS.search(p)]
-    return [*pieces, text] if pieces != [text] else pieces
+    for found in ANCHORS.finditer(text):
+        pieces += [text[max(0, found.start() - w) : found.end() + w] for w in WIDTHS]
+    return list(dict.fromkeys([*pieces, text]))
+
+
+def near(text: str, own: Template) -> list[str]:
+    """Pieces of a block around each license word, wide enough for the notices of a template; and all of it."""
+    reach = longest((own,))
+    places = [(max(0, found.start() - reach), found.end() + reach) for found in ANCHORS.finditer(text)]
+    return list(dict.fromkeys([*(text[low:high] for low, high in places), text]))
+
+
+def longest(templates: tuple[Template, ...]) -> int:
+    """Characters that a notice may take, with some more for changes and spaces."""
+    return max((len(notice) * 3 // 2 for own in templates for notice in own.notices), default=0)
+
+
+def checked(text: str, own: Template) -> Wording:
+    """The wording of a block where it is nearest to a notice of a template."""
+    results = [wording(piece, own) for piece in near(text, own)]
+    return min(results, key=lambda r: (not r.confirmed, len(r.missing) + len(r.added)))
 
 
 def ranked(text: str, templates: tuple[Template, ...] = TEMPLATES) -> list[tuple[float, int]]:
@@ -235,13 +256,13 @@ def notices(text: str, templates: tuple[Template, ...] = TEMPLATES) -> list[tupl
             own = templates[k]
             if own.name in named or (turn >= RANKED and named):
                 continue
-            result = wording(block, own)
+            result = checked(block, own)
             if result.confirmed:
                 named.add(own.name)
                 found.append((own.name, start, gain, True, result.missing, result.added))
         if best and not named:
             gain, k = best[0]
-            result = wording(block, templates[k])
+            result = checked(block, templates[k])
             found.append((templates[k].name, start, gain, False, result.missing, result.added))
     return found
 

@@ -61,3 +61,17 @@ def test_awkward_rows(spark):
     assert scan_licenses(empty(spark)).count() == 0
     twice = spark.createDataFrame([(None, "Released under the MIT License.")] * 2, "doc_id long, text string")
     assert scan_licenses(twice).filter("confirmed").count() == 2
+
+
+PROSE = "The river ran past the old mill while people of the town spoke about weather and bread. " * 12
+NOTICES = [(own.name, notice) for own in TEMPLATES for notice in own.notices]
+
+
+@pytest.mark.parametrize("before", [0, 150, 300, 1000])
+def test_notices_inside_a_long_line(before):
+    lost = []
+    for name, notice in NOTICES:
+        text = f"{PROSE[:before]} {notice} {PROSE + PROSE}"[:2000]
+        if name not in [n[0] for n in notices(text) if n[3]]:
+            lost.append(notice)
+    assert not lost
