@@ -2,7 +2,7 @@
 
 Blocks of text around license words are compressed with each license's template as a raw
 zstandard dictionary.  The reduction against compression without one measures how much of
-the block the template already says, and ranks the licenses.  The best ones are confirmed
+the block the template already says, and ranks the licenses.  Those it shortens are confirmed
 by the exact differences in wording: every word of one notice of the template must stand
 in the block in order, but for a small part that holds none of the words that tell the
 license from others (its name and version).
@@ -27,7 +27,6 @@ LEVEL = 9
 BEFORE, AFTER = 300, 1200  # characters of a block around its first license word
 WIDTHS = 24, 64, 160  # characters on both sides of a license word; a notice is most of one of these pieces
 LEAST_GAIN = 0.15
-RANKED = 3
 MISSING_SHARE = 0.15
 
 
@@ -246,15 +245,15 @@ def notices(text: str, templates: tuple[Template, ...] = TEMPLATES) -> list[tupl
     """(license, start, gain, confirmed, missing, added) of each notice in a text.
 
     A block that a template shortens but no wording confirms is reported once, with its
-    best template, as not confirmed.
+    best template, as not confirmed.  All templates that shorten it are checked.
     """
     found: list[tuple] = []
     for start, block in blocks(text):
         named: set[str] = set()
         best = ranked(block, templates)
-        for turn, (gain, k) in enumerate(best):
+        for gain, k in best:
             own = templates[k]
-            if own.name in named or (turn >= RANKED and named):
+            if own.name in named:
                 continue
             result = checked(block, own)
             if result.confirmed:

@@ -75,3 +75,12 @@ def test_notices_inside_a_long_line(before):
         if name not in [n[0] for n in notices(text) if n[3]]:
             lost.append(notice)
     assert not lost
+
+
+def test_every_license_of_a_list_is_found():
+    for name, notice in NOTICES:
+        for other, second in NOTICES:
+            found = {n[0] for n in notices(f"{notice}\n{second}") if n[3]}
+            assert {name, other} <= found, (notice, second)
+    listed = notices("\n".join(notice for _, notice in NOTICES))
+    assert {n[0] for n in listed if n[3]} == {own.name for own in TEMPLATES}
