@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from difflib import SequenceMatcher
 from functools import lru_cache
 
@@ -137,13 +137,18 @@ def words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def blocks(text: str) -> Iterator[tuple[int, str]]:
-    """(first character, block) around license words; together they cover every such word."""
+def blocks(text: str, reach: int | None = None) -> Iterator[tuple[int, str]]:
+    """(first character, block) around license words; a notice of ``reach`` characters is whole in one of them.
+
+    A block goes on for ``reach`` behind each license word that opens no block of its own.
+    """
+    reach = longest(TEMPLATES) if reach is None else reach
+    before, after = max(BEFORE, reach), max(AFTER, 2 * reach)
     done = -1
     for found in ANCHORS.finditer(text):
-        if found.end() <= done:
+        if min(found.end() + reach, len(text)) <= done:
             continue
-        start, done = max(0, found.start() - BEFORE), min(len(text), found.start() + AFTER)
+        start, done = max(0, found.start() - before), min(len(text), found.start() + after)
         yield start, text[start:done]
 
 
@@ -171,11 +176,11 @@ def around(text: str) -> list[str]:
     return list(dict.fromkeys([*pieces, text]))
 
 
-def near(text: str, own: Template) -> list[str]:
-    """Pieces of a block around each license word, wide enough for the notices of a template; and all of it."""
+def near(text: str, own: Template) -> list[tuple[int, str]]:
+    """(first character, piece): pieces of a block around each license word, wide enough for the notices of a template; and all of it."""
     reach = longest((own,))
     places = [(max(0, found.start() - reach), found.end() + reach) for found in ANCHORS.finditer(text)]
-    return list(dict.fromkeys([*(text[low:high] for low, high in places), text]))
+    return list(dict.fromkeys([*((low, text[low:high]) for low, high in places), (0, text)]))
 
 
 def longest(templates: tuple[Template, ...]) -> int:
@@ -183,10 +188,13 @@ def longest(templates: tuple[Template, ...]) -> int:
     return max((len(notice) * 3 // 2 for own in templates for notice in own.notices), default=0)
 
 
-def checked(text: str, own: Template) -> Wording:
-    """The wording of a block where it is nearest to a notice of a template."""
-    results = [wording(piece, own) for piece in near(text, own)]
-    return min(results, key=lambda r: (not r.confirmed, len(r.missing) + len(r.added)))
+def checked(text: str, own: Template, done: int = 0) -> Wording:
+    """The wording of a block where it is nearest to a notice of a template, if possible behind ``done``."""
+    results = []
+    for low, piece in near(text, own):
+        result = wording(piece, own)
+        results.append(replace(result, place=(low + result.place[0], low + result.place[1])))
+    return min(results, key=lambda r: (not r.confirmed, r.place[0] < done, len(r.missing) + len(r.added)))
 
 
 def ranked(text: str, templates: tuple[Template, ...] = TEMPLATES) -> list[tuple[float, int]]:
@@ -207,16 +215,18 @@ class Wording:
     confirmed: bool
     missing: tuple[str, ...]
     added: tuple[str, ...]
+    place: tuple[int, int] = field(default=(0, 0), compare=False)  # characters of the notice
 
 
 def wording(text: str, own: Template) -> Wording:
     """The exact differences between a block and the nearest notice of a template."""
+    spans = [m.span() for m in WORD.finditer(text.lower())]
     found = words(text)
     results = []
     for notice in own.notices:
         wanted = words(notice)
         if found == wanted:
-            return Wording(True, (), ())
+            return Wording(True, (), (), (spans[0][0], spans[-1][1]))
         matcher = SequenceMatcher(None, wanted, found, autojunk=False)
         longest = matcher.find_longest_match()
         low = max(0, longest.b - longest.a - len(wanted) // 4)
@@ -231,7 +241,9 @@ def wording(text: str, own: Template) -> Wording:
         allowed = len(wanted) * MISSING_SHARE
         telling = own.telling | {w for w in wanted if any(c.isdigit() for c in w)}
         ok = len(missing) <= allowed and len(added) <= allowed and not telling & set(missing)
-        results.append((not ok, len(missing) + len(added), Wording(ok, tuple(missing), tuple(added))))
+        same = [(c, d) for kind, _, _, c, d in codes if kind == "equal"]
+        place = (spans[low + same[0][0]][0], spans[low + same[-1][1] - 1][1]) if same else (0, 0)
+        results.append((not ok, len(missing) + len(added), Wording(ok, tuple(missing), tuple(added), place)))
     return min(results, key=lambda r: r[:2])[2]
 
 
@@ -248,16 +260,22 @@ def notices(text: str, templates: tuple[Template, ...] = TEMPLATES) -> list[tupl
     best template, as not confirmed.  All templates that shorten it are checked.
     """
     found: list[tuple] = []
-    for start, block in blocks(text):
+    ends: dict[str, int] = {}  # where the last notice of each license ends
+    for start, block in blocks(text, longest(templates)):
         named: set[str] = set()
         best = ranked(block, templates)
         for gain, k in best:
             own = templates[k]
             if own.name in named:
                 continue
-            result = checked(block, own)
+            done = ends.get(own.name, 0)
+            result = checked(block, own, done - start)
             if result.confirmed:
                 named.add(own.name)
+                low, high = start + result.place[0], start + result.place[1]
+                if low < done:
+                    continue  # the block before holds this notice too
+                ends[own.name] = high
                 found.append((own.name, start, gain, True, result.missing, result.added))
         if best and not named:
             gain, k = best[0]

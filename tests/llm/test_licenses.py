@@ -84,3 +84,16 @@ def test_every_license_of_a_list_is_found():
             assert {name, other} <= found, (notice, second)
     listed = notices("\n".join(notice for _, notice in NOTICES))
     assert {n[0] for n in listed if n[3]} == {own.name for own in TEMPLATES}
+
+
+@pytest.mark.parametrize("name, notice", NOTICES)
+def test_notices_at_the_border_of_a_block(name, notice):
+    for at in range(1000, 1250, 10):
+        text = "The license of the car. ".ljust(24) + (PROSE * 2)[: at - 24] + "\n" + notice + "\n" + PROSE
+        assert [n[0] for n in notices(text) if n[3]].count(name) == 1, at
+
+
+def test_a_second_notice_in_an_overlapping_block():
+    mit = "Released under the MIT License."
+    text = f"The license of the car. {PROSE[:1000]}\n{mit}\n{PROSE[:800]}\n{mit}\n"
+    assert [n[0] for n in notices(text) if n[3]] == ["MIT", "MIT"]
