@@ -4,7 +4,7 @@ A text becomes a vector of hashed byte 2- and 3-grams, letters in lower case, da
 counts times inverse document frequency, length one.  Each language has several centroids
 from spherical k-means, so its kinds of text need not share one.  The nearest centroid by
 cosine gives the language.  A text whose distance to it is beyond the reach of that
-language's own training texts is rejected.
+language's own training texts, and pieces of them, with about as many n-grams is rejected.
 """
 
 from __future__ import annotations
@@ -25,7 +25,11 @@ DIMENSIONS = 1 << 12
 CENTROIDS = 4
 MOST_LANGUAGES = 1000  # bound of the model; more labels than that are refused
 SAMPLE_PER_LANGUAGE = 1000  # bound of the rows that k-means sees, on average
-REACH_QUANTILE, REACH_SHARE = 0.001, 0.2
+FALSE_REJECTIONS = 0.004  # share of training texts and pieces of any length that the reach leaves out
+PIECES = 10, 20, 40, 80, 160, 320, 640, 1280  # bytes; two pieces of each from every sampled text
+KINDS = np.array([12, 24, 48, 96, 192, 384])  # different n-grams at which the next reach begins
+#: Part of that cosine which is the reach: longer texts of a language are far nearer than foreign ones.
+SHARES = np.array([1, 1, 1, 1, 1, 0.5, 0.5])
 ROWS_AT_ONCE, BYTES_AT_ONCE = 256, 1 << 20
 
 #: Upper-case letters as lower-case ones, digits as one sign, other ASCII signs as space.
@@ -76,18 +80,51 @@ def spherical_kmeans(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
+def pieces_of(texts: list[bytes]) -> list[bytes]:
+    """The texts, and from each longer one the beginning and the middle of every length."""
+    pieces = list(texts)
+    for size in PIECES:
+        for text in texts:
+            if len(text) > size:
+                pieces += [text[:size], text[(len(text) - size) // 2 :][:size]]
+    return pieces
+
+
+def kind_of(vectors: np.ndarray) -> np.ndarray:
+    """Which reach applies to each text, by the number of its different n-grams."""
+    return np.searchsorted(KINDS, np.count_nonzero(vectors, axis=1), side="right")
+
+
+def reaches(texts: list[bytes], centres: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The least cosine to accept for each kind, from the training texts of a language."""
+    kinds, cosines, pieces = [], [], pieces_of(texts)
+    for at in range(0, len(pieces), ROWS_AT_ONCE):
+        vectors = unit_vectors(pieces[at : at + ROWS_AT_ONCE], idf)
+        kinds.append(kind_of(vectors))
+        cosines.append((vectors @ centres.T).max(1))
+    kinds, cosines = np.concatenate(kinds), np.concatenate(cosines)
+    reach = np.zeros(len(KINDS) + 1)
+    for kind in range(len(reach)):
+        own = cosines[kinds == kind]
+        # Longer texts are nearer, so a kind without examples may use the reach before it.
+        reach[kind] = np.quantile(own, FALSE_REJECTIONS) if len(own) else reach[max(kind - 1, 0)]
+    return np.maximum.accumulate(reach * SHARES)
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     languages: tuple[str, ...]  # of each centroid
     centroids: np.ndarray
-    reach: np.ndarray  # least cosine that each centroid accepts
+    reach: np.ndarray  # least cosine that each centroid accepts, by kind
     idf: np.ndarray
 
-    def nearest(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Centroid and cosine for each text."""
-        cosine = unit_vectors(texts, self.idf) @ self.centroids.T
+    def nearest(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Centroid and cosine for each text, and whether it is beyond the centroid's reach."""
+        vectors = unit_vectors(texts, self.idf)
+        cosine = vectors @ self.centroids.T
         best = np.argmax(cosine, axis=1)
-        return best, np.clip(cosine[np.arange(len(best)), best], 0, 1)
+        cosine = np.clip(cosine[np.arange(len(best)), best], 0, 1)
+        return best, cosine, cosine < self.reach[best, kind_of(vectors)]
 
 
 def _document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
@@ -139,20 +176,20 @@ def train(
     chosen = rows.filter(F.col("luck") < F.element_at(share, F.col("lang"))).select("lang", "text")
 
     def clustered(group: pd.DataFrame) -> pd.DataFrame:
-        vectors = unit_vectors([bytes(t) for t in group["text"]], idf)
-        centres = spherical_kmeans(vectors, centroids)
-        reach = np.quantile((vectors @ centres.T).max(1), REACH_QUANTILE) * REACH_SHARE
+        texts = [bytes(t) for t in group["text"]]
+        centres = spherical_kmeans(unit_vectors(texts, idf), centroids).astype(np.float32)
+        reach = reaches(texts, centres, idf)
         return pd.DataFrame({
             "lang": group["lang"].iloc[0],
             "part": range(len(centres)),
-            "centre": [c.astype(np.float32).tobytes() for c in centres],
-            "reach": float(reach),
+            "centre": [c.tobytes() for c in centres],
+            "reach": [reach.tobytes()] * len(centres),
         })
 
     # A few centroids for each language come back, whatever the number of documents.
     found = (
         chosen.groupBy("lang")
-        .applyInPandas(clustered, "lang string, part int, centre binary, reach double")
+        .applyInPandas(clustered, "lang string, part int, centre binary, reach binary")
         .collect()
     )
     found = sorted(found, key=lambda r: (r["lang"], r["part"]))
@@ -161,7 +198,7 @@ def train(
     return LanguageModel(
         tuple(r["lang"] for r in found),
         np.stack([np.frombuffer(r["centre"], np.float32) for r in found]),
-        np.array([r["reach"] for r in found]),
+        np.stack([np.frombuffer(r["reach"]) for r in found]),
         idf,
     )
 
@@ -188,9 +225,8 @@ def language_column(spark: SparkSession, model: LanguageModel | None, text: Colu
         readable = [k for k, t in enumerate(texts) if t is not None and known is not None]
         for at in range(0, len(readable), ROWS_AT_ONCE):
             some = readable[at : at + ROWS_AT_ONCE]
-            for k, best, cosine in zip(some, *known.nearest([texts[k] for k in some])):
-                langs[k], scores[k] = known.languages[best], float(cosine)
-                out[k] = bool(cosine < known.reach[best])
+            for k, best, cosine, beyond in zip(some, *known.nearest([texts[k] for k in some])):
+                langs[k], scores[k], out[k] = known.languages[best], float(cosine), bool(beyond)
         return pa.StructArray.from_arrays(
             [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(out, pa.bool_())],
             ["lang_pred", "score", "rejected"],

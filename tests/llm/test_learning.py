@@ -102,3 +102,30 @@ def test_only_labels_of_the_learning_folds_are_read(spark):
     import zlib
 
     assert all(r["held"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in folds)
+
+
+FOREIGN = (
+    "Wczoraj wieczorem poszliśmy z przyjaciółmi do teatru, żeby obejrzeć nową sztukę o życiu w małym miasteczku.",
+    "Eilen illalla menimme ystävien kanssa teatteriin katsomaan uutta näytelmää pienen kaupungin elämästä.",
+    "Dün akşam arkadaşlarla küçük bir kasabadaki yaşamı anlatan yeni oyunu izlemek için tiyatroya gittik.",
+    "Tegnap este a barátainkkal színházba mentünk, hogy megnézzük az új darabot a kisváros életéről.",
+    "aGVsbG8gd29ybGQgdGhpcyBpcyBhIHRlc3Qgb2YgYmFzZTY0IGVuY29kaW5nIHdpdGggc29tZSBsZW5ndGg9PQ8xZk3QpLz",
+)
+
+
+def test_latin_and_encoded_texts_of_any_length_are_rejected(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    model = language_id.train(docs.filter("doc_id % 5 <> 0"))
+    texts = [t for text in FOREIGN for t in (text[:60], text, f"{text} {text[::-1]} " * 20)]
+    other = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = language_id.identify_languages(other, model)
+    assert [r["text"] for r in found.filter("NOT rejected").join(other, "doc_id").collect()] == []
+
+
+def test_rejections_of_held_out_texts_are_few_at_any_length(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").filter("length(text) > 100")
+    model = language_id.train(docs.filter("doc_id % 5 <> 0"))
+    held = docs.filter("doc_id % 5 = 0")
+    for size in (60, 200, 1000, 1 << 30):
+        found = language_id.identify_languages(held.withColumn("text", F.substring("text", 20, size)), model)
+        assert found.filter("rejected").count() <= 0.02 * found.count()
