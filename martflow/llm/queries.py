@@ -10,6 +10,7 @@ from . import language_id, quality
 from .common import in_held_out, table, utf8
 from .decontamination import find_leaks
 from .exact_dedup import exact_duplicates
+from .filter_audit import audit_filters
 from .licenses import scan_licenses
 from .line_dedup import drop_repeated_runs
 from .packing import pack_documents
@@ -88,11 +89,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words_in_shingle=4, distance=4)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_exact_dedup, op3_language_id, op4_license_scan, op5_sharding,
-        op6_decontamination, op7_warc, op8_quality, op9_packing, op10_simhash,
+        op6_decontamination, op7_warc, op8_quality, op9_packing, op10_simhash, op11_filter_audit,
     )
 }
 
@@ -175,4 +180,50 @@ EXPECTED = {
                true AS whole
         FROM bits
     """,
+    "op11_filter_audit": r"""
+        WITH text_of AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+        ), marked AS (
+            SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+            FROM labels GROUP BY doc_id
+        ), judged AS (
+            SELECT part, good, toxic, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+                   100 * len(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * len(t) AS c,
+                   regexp_matches(t, '[#$%&*|]') AS d,
+                   doc_id > min(doc_id) OVER (PARTITION BY t) AS e
+            FROM text_of LEFT JOIN marked USING (doc_id)
+        ), patterns AS (
+            SELECT part,
+                   (len(words) < 50)::INT + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::INT
+                   + 4 * c::INT + 8 * d::INT + 16 * e::INT AS failed,
+                   count(*) AS docs, count_if(good) AS good, count_if(toxic) AS toxic
+            FROM judged GROUP BY ALL
+        ), letters AS (
+            SELECT substr('ABCDE', i, 1) AS letter, (1 << (i - 1))::INT AS bit FROM range(1, 6) r(i)
+        ), steps AS (
+            SELECT concat(v.letter, w.letter, x.letter, y.letter, z.letter) AS filter_order, step::INT AS step,
+                   [v.letter, w.letter, x.letter, y.letter, z.letter][step] AS filter,
+                   [v.bit, w.bit, x.bit, y.bit, z.bit][step] AS own,
+                   list_sum([0, v.bit, w.bit, x.bit, y.bit, z.bit][1:step])::INT AS before
+            FROM letters v, letters w, letters x, letters y, letters z, range(1, 6) r(step)
+            WHERE v.bit + w.bit + x.bit + y.bit + z.bit = 31
+              AND v.bit | w.bit | x.bit | y.bit | z.bit = 31
+        ), counted AS (
+            SELECT part, filter_order, step, filter,
+                   sum(docs) FILTER (failed & (before | own) = 0) AS kept,
+                   sum(docs) FILTER (failed & own > 0 AND failed & before = 0) AS removed,
+                   sum(docs) FILTER (failed & own > 0 AND failed & before > 0) AS redundant,
+                   sum(docs) FILTER (failed = own) AS unique_fails,
+                   sum(good) FILTER (failed & own > 0 AND failed & before = 0) AS good_lost,
+                   sum(toxic) FILTER (failed & own > 0 AND failed & before = 0) AS toxic_lost
+            FROM patterns, steps GROUP BY ALL
+        )
+        SELECT part, filter_order, step, filter,
+               coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+               coalesce(redundant, 0)::BIGINT AS redundant,
+               coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+               coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+               coalesce(sum(removed) OVER (PARTITION BY part, filter), 0)::BIGINT AS shapley
+        FROM counted
+    """,
 }
