@@ -16,6 +16,7 @@ from .line_dedup import drop_repeated_runs
 from .packing import pack_documents
 from .sharding import assign_shards
 from .simhash import near_duplicates
+from .vector_codes import compress_vectors
 from .warc import read_archives, write_archives
 
 SHARDS = 8
@@ -93,14 +94,67 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_exact_dedup, op3_language_id, op4_license_scan, op5_sharding,
         op6_decontamination, op7_warc, op8_quality, op9_packing, op10_simhash, op11_filter_audit,
+        op12_vector_codes,
     )
 }
 
+
+
+def _expected_codes(parts: int = 8, width: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The codes of ``op12_vector_codes`` by comparing every entry in every round."""
+    means = ", ".join(f"(sum(cells[{j}]) - (sum(cells[{j}]) % count(*) + count(*)) % count(*)) // count(*)" for j in range(1, width + 1))
+    ctes = [
+        f"""cells AS MATERIALIZED (
+            SELECT vec_id, label, part::INT AS part,
+                   list_transform(embedding[part * {width} + 1 : part * {width} + {width}], lambda x: floor(4096 * x)::BIGINT) AS cells
+            FROM embeddings, range({parts}) r(part)
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        )""",
+        f"""book0 AS MATERIALIZED (
+            SELECT part, row_number() OVER w - 1 AS entry, cells AS e FROM cells
+            WINDOW w AS (PARTITION BY part ORDER BY vec_id) QUALIFY entry < {entries}
+        )""",
+    ]
+    for turn in range(rounds + 1):
+        ctes.append(
+            f"""near{turn} AS MATERIALIZED (
+            SELECT vec_id, part, any_value(label) AS label, any_value(cells) AS cells,
+                   min({{'d': list_sum(list_transform(range(1, {width + 1}),
+                       lambda j: (cells[j] - e[j]) * (cells[j] - e[j])))::BIGINT, 'k': entry}}) AS best
+            FROM cells JOIN book{turn} USING (part) GROUP BY vec_id, part
+        )"""
+        )
+        if turn < rounds:
+            ctes.append(
+                f"""book{turn + 1} AS MATERIALIZED (
+            SELECT b.part, b.entry, coalesce(n.e, b.e) AS e
+            FROM book{turn} b LEFT JOIN (
+                SELECT part, best.k AS entry, [{means}] AS e FROM near{turn} GROUP BY part, best.k
+            ) n ON n.part = b.part AND n.entry = b.entry
+        )"""
+            )
+    return f"""
+        WITH {", ".join(ctes)}, coded AS (
+            SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', best.k), '' ORDER BY part) AS code,
+                   sum(best.d)::BIGINT AS error
+            FROM near{rounds} GROUP BY vec_id
+        )
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+               (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM book{rounds}) AS codebooks_sha256
+        FROM coded
+    """
+
+
 EXPECTED = {
     "op1_line_dedup": r"""
         WITH split AS (
@@ -226,4 +280,5 @@ EXPECTED = {
                coalesce(sum(removed) OVER (PARTITION BY part, filter), 0)::BIGINT AS shapley
         FROM counted
     """,
+    "op12_vector_codes": _expected_codes(),
 }
