@@ -11,6 +11,7 @@ from .common import in_held_out, table, utf8
 from .decontamination import find_leaks
 from .exact_dedup import exact_duplicates
 from .filter_audit import audit_filters
+from .jaccard_join import similar_documents
 from .licenses import scan_licenses
 from .line_dedup import drop_repeated_runs
 from .packing import pack_documents
@@ -98,12 +99,16 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"), words_in_shingle=3, percent=90)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_exact_dedup, op3_language_id, op4_license_scan, op5_sharding,
         op6_decontamination, op7_warc, op8_quality, op9_packing, op10_simhash, op11_filter_audit,
-        op12_vector_codes,
+        op12_vector_codes, op13_jaccard_join,
     )
 }
 
@@ -281,4 +286,34 @@ EXPECTED = {
         FROM counted
     """,
     "op12_vector_codes": _expected_codes(),
+    "op13_jaccard_join": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), sets AS MATERIALIZED (
+            SELECT doc_id, list_distinct(CASE
+                WHEN len(w) = 0 THEN []
+                WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 1), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2]))
+            END) AS shingles
+            FROM worded
+        ), elements AS MATERIALIZED (
+            SELECT doc_id, len(shingles) AS size, unnest(shingles) AS shingle FROM sets
+        ), pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.size + b.size) - count(*) AS either, count(*) AS both
+            FROM elements a JOIN elements b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+        ), links AS MATERIALIZED (
+            SELECT a, b FROM pairs WHERE 100 * both >= 90 * either
+            UNION ALL SELECT b, a FROM pairs WHERE 100 * both >= 90 * either
+        ), reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM sets
+            UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        ), lowest AS (
+            SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+        )
+        SELECT doc_id, len(shingles)::BIGINT AS n_shingles, component_id FROM sets JOIN lowest USING (doc_id)
+    """,
 }

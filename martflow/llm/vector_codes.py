@@ -28,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from ..plans.scratch import scratch_folder, written
 from .common import ship_package
@@ -36,15 +35,8 @@ from .common import ship_package
 WIDER = 1e-12  # by how much a bound is moved outwards, relative to its size
 SLICE = 4096  # rows whose distances are computed at once
 
-_STATE = [
-    ("assigned", pa.list_(pa.int32()), ArrayType(IntegerType())),
-    ("upper", pa.list_(pa.float64()), ArrayType(DoubleType())),
-    ("near", pa.list_(pa.int32()), ArrayType(IntegerType())),
-    ("lower", pa.list_(pa.float64()), ArrayType(DoubleType())),
-    ("outer", pa.list_(pa.float64()), ArrayType(DoubleType())),
-    ("depth", pa.list_(pa.int32()), ArrayType(IntegerType())),
-    ("error", pa.int64(), LongType()),
-]
+#: Columns of a round's table besides those of the vector: packed numbers, one value a row.
+STATE = "cells binary, bounds binary, assigned binary, error long"
 
 
 def _up(value: np.ndarray) -> np.ndarray:
@@ -153,54 +145,67 @@ class Round:
     keep: tuple[int, ...]  # bounds to go on with
 
 
-def _arrays(column: pa.ListArray, kind: type) -> np.ndarray:
-    rows = len(column)
-    return column.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False).reshape(rows, -1)
+def _layout(parts: int, keep: tuple[int, ...]) -> np.dtype:
+    """The bounds of one row, with ``keep`` ordered ones for each part."""
+    return np.dtype([
+        ("upper", "<f8", (parts,)), ("outer", "<f8", (parts,)), ("lower", "<f8", (sum(keep),)),
+        ("near", "<i2", (sum(keep),)), ("depth", "<i2", (parts,)),
+    ])
 
 
-def _lists(values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
-    rows, width = values.shape
-    offsets = pa.array(np.arange(0, rows * width + 1, width or 1)[: rows + 1] if width else np.zeros(rows + 1), pa.int32())
-    return pa.ListArray.from_arrays(offsets, pa.array(values.ravel(), kind))
+def _unpacked(column: pa.BinaryArray, kind: np.dtype | str, *shape: int) -> np.ndarray:
+    """Binary values of one length as rows of numbers."""
+    found = np.frombuffer(b"".join(column.to_pylist()), kind)
+    return found.reshape(len(column), *shape) if shape else found
+
+
+def _packed(rows: np.ndarray) -> pa.BinaryArray:
+    rows = np.ascontiguousarray(rows)
+    width = rows.nbytes // max(1, len(rows))
+    offsets = np.arange(len(rows) + 1, dtype=np.int64) * width
+    if offsets[-1] >= 1 << 31:
+        raise ValueError("a slice of rows does not fit one batch")
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(rows.tobytes())]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(rows), buffers)
 
 
 def _pass(batch: pa.RecordBatch, now: Round) -> pa.RecordBatch:
-    """One round over some rows."""
+    """One round over some rows.  The first one gets components as lists, the others packed."""
     parts, entries, width = now.codebooks.shape
-    points = _arrays(batch.column("cells"), np.int64).reshape(-1, parts, width)
-    rows = len(points)
-    if now.movement is not None:
-        state = {n: _arrays(batch.column(n), np.float64 if n in ("upper", "lower", "outer") else np.int32)
-                 for n in ("assigned", "upper", "near", "lower", "outer")}
-    error, after, first = np.zeros(rows, np.int64), [], 0
+    rows, cells = len(batch), batch.column("cells")
+    if now.movement is None:
+        points = cells.flatten().to_numpy(zero_copy_only=False).astype("<i8").reshape(rows, parts, width)
+    else:
+        points = _unpacked(cells, "<i8", parts, width)
+        known = _unpacked(batch.column("bounds"), _layout(parts, now.stored))
+        assigned = _unpacked(batch.column("assigned"), "u1", parts).astype(np.int64)
+    error, codes = np.zeros(rows, np.int64), np.zeros((rows, parts), "u1")
+    after = np.zeros(rows, _layout(parts, now.keep))
+    read = kept = 0
     for p in range(parts):
         own, book = points[:, p], now.codebooks[p]
         if now.movement is None:
             bounds = compared_with_all(own, book, now.keep[p])
         else:
-            last = first + now.stored[p]
-            known = Bounds(
-                state["assigned"][:, p], state["upper"][:, p], state["near"][:, first:last],
-                state["lower"][:, first:last], state["outer"][:, p],
+            stored = slice(read, read + now.stored[p])
+            bounds = Bounds(
+                assigned[:, p], known["upper"][:, p], known["near"][:, stored].astype(np.int64),
+                known["lower"][:, stored], known["outer"][:, p],
             )
-            first = last
-            bounds = reassigned(own, book, fewer(moved(known, now.movement[p]), now.keep[p]))
+            read = stored.stop
+            bounds = reassigned(own, book, fewer(moved(bounds, now.movement[p]), now.keep[p]))
         gap = own - book[bounds.assigned]
         error += np.einsum("nd,nd->n", gap, gap)
-        after.append(bounds)
-    columns = {
-        "assigned": np.column_stack([b.assigned for b in after]),
-        "upper": np.column_stack([b.upper for b in after]),
-        "near": np.column_stack([b.near for b in after]),
-        "lower": np.column_stack([b.lower for b in after]),
-        "outer": np.column_stack([b.outer for b in after]),
-        "depth": np.column_stack([b.depth for b in after]),
-    }
-    arrays = [_lists(columns[n], kind.value_type) if n in columns else pa.array(error) for n, kind, _ in _STATE]
-    kept = [c for c in batch.schema.names if c not in {n for n, *_ in _STATE}]
-    return pa.RecordBatch.from_arrays(
-        [*(batch.column(c) for c in kept), *arrays], names=[*kept, *(n for n, *_ in _STATE)]
-    )
+        codes[:, p] = bounds.assigned
+        ordered = slice(kept, kept + now.keep[p])
+        kept = ordered.stop
+        after["near"][:, ordered], after["lower"][:, ordered] = bounds.near, bounds.lower
+        for name in ("upper", "outer", "depth"):
+            after[name][:, p] = getattr(bounds, name)
+    return pa.RecordBatch.from_pydict({
+        "vec_id": batch.column("vec_id"), "label": batch.column("label"), "cells": _packed(points),
+        "bounds": _packed(after), "assigned": _packed(codes), "error": pa.array(error),
+    })
 
 
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,23 +214,23 @@ def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, SLICE)
 
 
-def _sums(batches: Iterator[pa.RecordBatch], parts: int, entries: int, width: int) -> Iterator[pa.RecordBatch]:
+def _sums(batches: Iterator[pa.RecordBatch], now: Round) -> Iterator[pa.RecordBatch]:
     """Rows by entry, sums of their components, and the deepest bound used, of one task."""
+    parts, entries, width = now.codebooks.shape
     counts, sums = np.zeros(parts * entries, np.int64), np.zeros((parts * entries, width), np.int64)
     depth = np.zeros(parts, np.int64)
-    for batch in batches:
-        if not len(batch):
-            continue
-        cells = _arrays(batch.column("cells"), np.int64).reshape(-1, width)
-        at = _arrays(batch.column("assigned"), np.int64) + np.arange(parts) * entries
-        np.add.at(sums, at.ravel(), cells)
+    for batch in _sliced(batches):
+        cells = _unpacked(batch.column("cells"), "<i8", parts, width)
+        at = _unpacked(batch.column("assigned"), "u1", parts) + np.arange(parts) * entries
+        np.add.at(sums, at.ravel(), cells.reshape(-1, width))
         counts += np.bincount(at.ravel(), minlength=parts * entries)
-        depth = np.maximum(depth, _arrays(batch.column("depth"), np.int64).max(0, initial=0))
+        known = _unpacked(batch.column("bounds"), _layout(parts, now.keep))
+        depth = np.maximum(depth, known["depth"].max(0))
     place = np.arange(parts * entries)
     yield pa.RecordBatch.from_pydict({
         "part": np.repeat(place // entries, width), "entry": np.repeat(place % entries, width),
         "place": np.tile(np.arange(width), parts * entries), "rows": np.repeat(counts, width),
-        "total": sums.ravel(), "depth": np.repeat(depth, entries * width),
+        "total": sums.ravel(), "depth": np.repeat(np.repeat(depth, entries), width),
     })
 
 
@@ -289,7 +294,7 @@ def compress_vectors(
     first = rows.orderBy(F.asc_nulls_last("vec_id"), "cells").limit(entries).collect()
     width, size = length // parts, len(first)
     if not size or not length:
-        return _result(rows.withColumns({"assigned": F.array(*[F.lit(0)] * parts), "error": F.lit(0).cast("long")}), "")
+        return _result(rows.select("*", F.lit(bytes(parts)).alias("assigned"), F.lit(0).cast("long").alias("error")), hashlib.sha256(b"").hexdigest())
     start = np.array([r["cells"] for r in first], np.int64).reshape(size, parts, width)
     books = np.ascontiguousarray(start.transpose(1, 0, 2))
     least = min(max(1, size // 8), size - 1)
@@ -300,7 +305,7 @@ def compress_vectors(
         state = written(_assigned(rows, now), f"{folder}/state{turn % 2}")
         if turn == rounds:
             break
-        books, depth = _averaged(state, now.codebooks)
+        books, depth = _averaged(state, now)
         wanted = tuple(int(min(b, max(least, d))) for b, d in zip(now.keep, depth))
         now = Round(books, _movement(now.codebooks, books), now.keep, wanted)
         rows = state
@@ -313,26 +318,24 @@ def _assigned(rows: DataFrame, now: Round) -> DataFrame:
         for batch in _sliced(batches):
             yield _pass(batch, now)
 
-    kept = [f for f in rows.schema if f.name in ("vec_id", "label", "cells")]
-    schema = StructType([*kept, *(StructField(name, kind) for name, _, kind in _STATE)])
-    return rows.mapInArrow(passed, schema)
+    label = rows.schema["label"].dataType.simpleString()
+    return rows.mapInArrow(passed, f"vec_id long, label {label}, {STATE}")
 
 
-def _averaged(state: DataFrame, books: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _averaged(state: DataFrame, now: Round) -> tuple[np.ndarray, np.ndarray]:
     """The codebooks after a round, and the deepest bound each part position needed."""
-    parts, entries, width = books.shape
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _sums(batches, parts, entries, width)
+        return _sums(batches, now)
 
     kinds = "part long, entry long, place long, rows long, total long, depth long"
     sums = (
-        state.select("cells", "assigned", "depth")
+        state.select("cells", "assigned", "bounds")
         .mapInArrow(summed, kinds)
         .groupBy("part", "entry", "place")
         .agg(F.sum("rows").alias("rows"), F.sum("total").alias("total"), F.max("depth").alias("depth"))
     )
-    books, depth = books.copy(), np.zeros(parts, np.int64)
+    books, depth = now.codebooks.copy(), np.zeros(len(now.codebooks), np.int64)
     for r in sums.collect():  # parts x entries x components rows
         if r["rows"]:
             books[r["part"], r["entry"], r["place"]] = r["total"] // r["rows"]
@@ -342,9 +345,7 @@ def _averaged(state: DataFrame, books: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _result(state: DataFrame, digest: str) -> DataFrame:
     """Codes and errors; the totals by label are written, so that a hot label can be split."""
-    code = F.array_join(
-        F.transform("assigned", lambda x: F.lpad(F.lower(F.hex(x)), 2, "0")), ""
-    ).alias("code")
+    code = F.lower(F.hex("assigned")).alias("code")  # a byte a part
     totals = state.groupBy(F.col("label").alias("of_label")).agg(F.sum("error").alias("label_error"))
     totals = written(totals, f"{scratch_folder(state.sparkSession)}/labels")
     return state.join(totals, F.col("label").eqNullSafe(F.col("of_label")), "left").select(

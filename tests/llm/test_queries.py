@@ -18,7 +18,7 @@ def test_all_are_registered():
     assert set(EXPECTED) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("number", [2, 3, 5, 8, 10])
+@pytest.mark.parametrize("number", [2, 3, 5, 8, 10, 13])
 def test_one_row_for_each_document(spark, number):
     (name,) = [n for n in QUERIES if n.startswith(f"op{number}_")]
     found = sorted(r["doc_id"] for r in QUERIES[name](spark, MEDIUM).select("doc_id").collect())
