@@ -302,12 +302,12 @@ EXPECTED = {
         ), elements AS MATERIALIZED (
             SELECT doc_id, len(shingles) AS size, unnest(shingles) AS shingle FROM sets
         ), pairs AS (
-            SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.size + b.size) - count(*) AS either, count(*) AS both
+            SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.size + b.size) - count(*) AS all_of_both, count(*) AS shared
             FROM elements a JOIN elements b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
             GROUP BY a.doc_id, b.doc_id
         ), links AS MATERIALIZED (
-            SELECT a, b FROM pairs WHERE 100 * both >= 90 * either
-            UNION ALL SELECT b, a FROM pairs WHERE 100 * both >= 90 * either
+            SELECT a, b FROM pairs WHERE 100 * shared >= 90 * all_of_both
+            UNION ALL SELECT b, a FROM pairs WHERE 100 * shared >= 90 * all_of_both
         ), reach AS (
             SELECT doc_id AS a, doc_id AS b FROM sets
             UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
