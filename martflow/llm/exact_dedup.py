@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.scratch import scratch_folder, written
-from .common import shuffle_partitions, ship_package
+from .common import free_names, shuffle_partitions, ship_package
 
 PREFIX_CHARS = 32
 
@@ -132,9 +132,6 @@ def drop_exact_duplicates(
 
     Rows are matched by id, so rows that share an id stay or go together.
     """
-    kept = exact_duplicates(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("__kept_id")
-    )
-    return docs.join(
-        kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id")), "left_semi"
-    )
+    (own,) = free_names(docs.columns, "kept_id")
+    kept = exact_duplicates(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias(own))
+    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(own)), "left_semi")

@@ -1,11 +1,13 @@
 """Hierarchical packing of documents into windows of several lengths.
 
 Documents are cut into whole long windows as far as they reach.  What remains is routed
-to the shortest tier that holds it.  Pieces of the longest tier open a long window each;
-their gaps are filled with the best fitting pieces of the shorter tiers, and at last with
-the head of a cut piece, so no window has a gap while any piece waits.  The end of a
-partition is packed into one window of each shorter tier at most, all full, and one
-padded rest.  Windows are dealt into step groups of near equal attention cost.
+to the shortest tier that holds it.  Each shorter tier packs a share of its tokens into
+windows of its own: the longest piece opens one, the best fitting pieces of this and the
+shorter tiers follow, and the head of a cut piece fills it up.  Then pieces of the longest
+tier open a long window each; their gaps are filled from the shorter tiers in the same
+way, so no window has a gap while any piece waits.  The end of a partition is packed into
+full windows of the shorter tiers and one padded rest.  Windows are dealt into step groups
+that hold near equal numbers of windows of each tier, and near equal attention cost.
 
 A task tokenises and packs what it reads, with a bounded pool of waiting pieces.  There
 is no shuffle, no token leaves the task that made it, and the loss is one padded window a
@@ -27,11 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship_package
-from .tokens import token_ids
+from .tokens import token_array
 
 END_ID = 0
 TIERS = (1024, 512, 256, 128)
 POOL_PIECES, POOL_WINDOWS = 4096, 2048
+OWN_SHARE = 0.5  # of a shorter tier's waiting tokens, for windows of that tier
 STEP_WINDOWS = 64
 
 PIECES = (
@@ -99,6 +102,7 @@ class Packer:
     first_id: int = 0
     pool: int = POOL_PIECES
     step_windows: int = STEP_WINDOWS
+    own_share: float = OWN_SHARE
     windows: list[tuple[int, list[Piece]]] = field(default_factory=list)
     sequence: int = 0
     step: int = 0
@@ -124,13 +128,14 @@ class Packer:
             sum(map(len, self.waiting.values())) >= self.pool or len(self.windows) >= POOL_WINDOWS
         )
 
-    def _next(self, gap: int) -> Piece | None:
-        """A waiting piece for a gap: the best fit of any tier, else the head of one."""
-        for tier in self.tiers:
+    def _next(self, gap: int, longest: int | None = None) -> Piece | None:
+        """A waiting piece for a gap: the best fit of any tier up to ``longest``, else the head of one."""
+        tiers = [t for t in self.tiers if longest is None or t <= longest]
+        for tier in tiers:
             if tier // 2 < gap or tier == self.tiers[-1]:
                 if piece := self.waiting[tier].take_fitting(gap):
                     return piece
-        for tier in reversed(self.tiers):
+        for tier in reversed(tiers):
             if piece := self.waiting[tier].take_longest():
                 head, rest = piece.cut(gap)
                 self._route(rest)
@@ -139,6 +144,7 @@ class Packer:
 
     def pack(self, last: bool = False) -> Iterator[tuple]:
         """Rows of all windows that can be filled; with ``last`` of everything."""
+        self._pack_tiers()
         while True:
             tokens = sum(sum(w.lengths) for w in self.waiting.values())
             if tokens < self.long:
@@ -156,6 +162,23 @@ class Packer:
             self._pack_rest()
         yield from self._dealt()
 
+    def _pack_tiers(self) -> None:
+        """Full windows of each shorter tier, the shortest first, opened by its own pieces."""
+        for tier in reversed(self.tiers[1:]):
+            own = self.waiting[tier]
+            for _ in range(int(sum(own.lengths) * self.own_share) // tier):
+                window, gap = [], tier
+                if piece := own.take_longest():
+                    window, gap = [piece], gap - len(piece)
+                while gap and (piece := self._next(gap, tier)):
+                    window.append(piece)
+                    gap -= len(piece)
+                if gap:  # the tier and those below it are used up
+                    for piece in window:
+                        self._route(piece)
+                    break
+                self.windows.append((tier, window))
+
     def _pack_rest(self) -> None:
         """Less than a long window is left: full windows of shorter tiers, then a padded one."""
         for tier in self.tiers[1:]:
@@ -171,10 +194,10 @@ class Packer:
         self.waiting = {tier: Waiting() for tier in self.tiers}
 
     def _dealt(self) -> Iterator[tuple]:
-        """Number the windows and deal them to steps, the costly ones in turn there and back."""
+        """Number the windows and deal them to steps, tier by tier, the costly ones in turn there and back."""
         cost = [sum(len(p) ** 2 for p in pieces) for _, pieces in self.windows]
         steps = max(1, -(-len(cost) // self.step_windows))
-        order = sorted(range(len(cost)), key=lambda k: (-cost[k], k))
+        order = sorted(range(len(cost)), key=lambda k: (-self.windows[k][0], -cost[k], k))
         dealt = {}
         for turn, k in enumerate(order):
             lap, at = divmod(turn, steps)
@@ -218,9 +241,8 @@ def pack_documents(
         packer = Packer(tiers, TaskContext.get().partitionId() << 33)
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
-                ids = token_ids(text.as_py() or "", vocabulary)
-                ids.append(END_ID)
-                packer.add(doc_id.as_py(), np.array(ids, np.uint32))
+                ids = token_array(text.as_py() or "", vocabulary)
+                packer.add(doc_id.as_py(), np.append(ids, np.uint32(END_ID)))
                 if packer.full():
                     yield from _batches(packer.pack())
         yield from _batches(packer.pack(last=True))

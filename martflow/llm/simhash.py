@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.scratch import scratch_folder, written
-from .common import ship_package, utf8
+from .common import free_names, ship_package, utf8
 from .components import connected_components
 
 BITS = 64
@@ -176,11 +176,10 @@ def drop_near_duplicates(
 
     Rows that repeat that id all stay: they are one document to this operator.
     """
+    (own,) = free_names(docs.columns, "kept_id")
     kept = (
         near_duplicates(docs, words_in_shingle, distance, id_col, text_col)
         .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("__kept_id"))
-    )
-    return docs.join(
-        kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id")), "left_semi"
+        .select(F.col("doc_id").alias(own))
     )
+    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(own)), "left_semi")

@@ -9,6 +9,7 @@ SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 CLASHING = [
     "shard", "slot", "part", "order", "code", "rank", "idx", "score", "lang_pred", "kept",
     "leak_id", "cut_id", "cut_spans", "weight", "lines", "words", "text_key",
+    "kept_id", "_kept_id", "__kept_id", "component_id", "fingerprint", "node", "root", "keep_id",
 ]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -41,6 +42,8 @@ def awkward(spark):
         (None, passage, "de", "a", 3),
         (10, "x" * 300_000, None, "a", 3),
         (11, "1234 5678 !!", "es", "a", 3),
+        (13, "\n" * 1_100_000, None, "a", 3),
+        (14, " " * 1_100_000 + "end", None, "a", 3),
         (12, "L'été déjà là, naïve œuvre\r\nŒUVRE", "fr", "a", 3),
     ]
     docs = spark.createDataFrame(given, SCHEMA)

@@ -114,6 +114,22 @@ def test_packing_of_all_documents(spark, tokenizer):
     assert len(steps) > 10 and max(steps.values()) / min(steps.values()) < 1.15
 
 
+def test_each_tier_has_windows_of_its_own(spark):
+    pieces = op9_packing(spark, MEDIUM).collect()
+    by_window, tiers, steps = defaultdict(int), {}, defaultdict(Counter)
+    for p in pieces:
+        by_window[p["sequence_id"]] += p["length"]
+        tiers[p["sequence_id"]] = p["window"], p["step"]
+    found = Counter(tier for tier, _ in tiers.values())
+    assert set(found) == {1024, 512, 256, 128} and min(found.values()) >= 10
+    partial = [k for k, (tier, _) in tiers.items() if by_window[k] < tier]
+    assert len(partial) <= len({k >> 33 for k in tiers})  # the last one of a task
+    for tier, step in tiers.values():
+        steps[step][tier] += 1
+    for tier in found:  # steps hold near equal numbers of windows of each tier
+        assert max(s[tier] for s in steps.values()) - min(s[tier] for s in steps.values()) <= 1 + len({k >> 33 for k in tiers})
+
+
 def test_packing_of_awkward_rows(spark, tokenizer):
     docs = awkward(spark)
     apart = docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
@@ -143,6 +159,14 @@ def test_token_ids_of_any_text(text):
 OWN: list = []
 
 
+@pytest.mark.parametrize("text", [
+    " " * 2_000_000, "\n" * 2_000_000 + "word", "a" + " \t\u3000\xa0" * 300_000 + " b  c", "!-" * 1_000_000,
+    "\u6f22\u5b57" * 500_000, "x" * 1_000_000, "1" * 1_000_000, ("\r\n" * 20_000 + "it's \x1c ") * 30,
+])
+def test_token_ids_of_long_stretches(tokenizer, text):
+    assert token_ids(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_very_long_texts_are_cut_where_tokens_end():
     text = "Some plain words, 12 numbers and  gaps\n of text. " * 400
     parts = list(chunks(text, size=1000))
