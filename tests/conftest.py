@@ -2,6 +2,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
@@ -11,8 +12,11 @@ from martflow.plans.scratch import CHECKPOINT_SETTING  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    builder = SparkSession.builder
+    if not SparkConf().get(CHECKPOINT_SETTING):
+        builder = builder.config(CHECKPOINT_SETTING, str(tmp_path_factory.mktemp("scratch")))
     session = (
-        SparkSession.builder.master("local[4]")
+        builder.master("local[4]")
         .appName("martflow-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
@@ -20,7 +24,5 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get(CHECKPOINT_SETTING, None):
-        session.conf.set(CHECKPOINT_SETTING, str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()
