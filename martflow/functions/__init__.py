@@ -9,6 +9,7 @@ from .money import (
     is_finite,
     rounded,
 )
+from .names import free_names
 from .timestamps import event_time, parsed_type, time_literal, time_text, time_type
 
 __all__ = [
@@ -17,6 +18,7 @@ __all__ = [
     "cents_total",
     "event_time",
     "exact_ratio",
+    "free_names",
     "from_cents",
     "is_finite",
     "parsed_type",

@@ -27,6 +27,7 @@ from .checks import (
 )
 from .cursor import batch_high, high_mark, not_known, rows_after
 from .days import affected_days, current_rows, rows_on_days, touched_days
+from .dimension import days_of_keys, dimension_changes
 from .latest import latest_per_key
 from .lookup import lookup, one_row_per_key, orphan_keys
 from .validate import FAILED_RULES, is_rejected, parse_time, rejected_rows, valid_rows
@@ -51,6 +52,8 @@ __all__ = [
     "collect_results",
     "column_checks",
     "current_rows",
+    "days_of_keys",
+    "dimension_changes",
     "gate",
     "high_mark",
     "is_rejected",

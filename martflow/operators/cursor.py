@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import event_time, time_literal, time_text, time_type
+from ..functions import event_time, free_names, time_literal, time_text, time_type
 
 
 def rows_after(
@@ -50,13 +50,14 @@ def not_known(
     bound = time_literal(kind, cursor)
     oldest = rows.filter(time <= bound).agg(F.min(time)).scalar()
     order = [column, *ties]
+    best, *own = free_names(rows.columns, "_known", *(f"_known_{c}" for c in key))
     newest = (
         known.filter(time >= oldest)
-        .groupBy(*(F.col(c).alias(f"_known_{c}") for c in key))
-        .agg(F.max(F.struct(*order)).alias("_known"))
+        .groupBy(*(F.col(c).alias(name) for c, name in zip(key, own)))
+        .agg(F.max(F.struct(*order)).alias(best))
     )
-    same = reduce(and_, (F.col(c) == F.col(f"_known_{c}") for c in key))
-    beaten = (time <= bound) & F.col("_known").isNotNull() & (F.struct(*order) <= F.col("_known"))
+    same = reduce(and_, (F.col(c) == F.col(name) for c, name in zip(key, own)))
+    beaten = (time <= bound) & F.col(best).isNotNull() & (F.struct(*order) <= F.col(best))
     return rows.join(newest, same, "left").filter(~F.coalesce(beaten, F.lit(False))).select(*rows.columns)
 
 

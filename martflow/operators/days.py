@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import free_names
 from ..sources import Contract
 from .latest import latest_per_key
 
@@ -60,6 +61,7 @@ def current_rows(
     case.  They contribute keys and partition values only.
     """
     key, day = [*contract.key], contract.day
+    (later,) = free_names(history.columns, "_later")
     recent = history.filter(F.col(day) >= F.lit(first_day))
     listed = days.filter(F.col(day) >= F.lit(first_day)).select(day)
 
@@ -70,9 +72,9 @@ def current_rows(
         .join(listed, day, "left_anti")
         .join(on_days.select(*key), key, "left_semi")
         .groupBy(*key)
-        .agg(F.max(day).alias("_later"))
+        .agg(F.max(day).alias(later))
     )
     kept = best.join(newest_elsewhere, key, "left").filter(
-        F.col("_later").isNull() | (F.col("_later") < F.col(day))
+        F.col(later).isNull() | (F.col(later) < F.col(day))
     )
     return kept.select(*history.columns)

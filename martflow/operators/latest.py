@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import free_names
+
 
 def latest_per_key(
     df: DataFrame, key: Sequence[str], time: str, tiebreak: Sequence[str] = ()
@@ -23,4 +25,5 @@ def latest_per_key(
     settle = tiebreak or [c for c in df.columns if c not in (*key, time)]
     order = [F.desc_nulls_last(c) for c in (time, *settle)]
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
-    return df.withColumn("_version", rank).filter("_version = 1").drop("_version")
+    (version,) = free_names(df.columns, "_version")
+    return df.withColumn(version, rank).filter(F.col(version) == 1).drop(version)

@@ -7,14 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import free_names
+
 
 def one_row_per_key(dimension: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Dimension reduced to one row per key, so that a join cannot multiply facts.
 
     Of several rows with one key, the greatest by ``columns`` in order is kept.
     """
-    best = F.max(F.struct(*columns)).alias("_row")
-    return dimension.groupBy(key).agg(best).select(key, *(f"_row.{c}" for c in columns))
+    (row,) = free_names([key], "_row")
+    best = F.max(F.struct(*columns)).alias(row)
+    return dimension.groupBy(key).agg(best).select(key, *(F.col(row)[c].alias(c) for c in columns))
 
 
 def lookup(
@@ -37,8 +40,9 @@ def lookup(
     """
     if not reduced:
         dimension = one_row_per_key(dimension, dim_key, columns)
-    brought = dimension.select(F.col(dim_key).alias("_dim_key"), *columns)
-    return facts.join(brought, F.col(fact_key) == F.col("_dim_key"), "left").drop("_dim_key")
+    (own,) = free_names([*facts.columns, *columns], "_dim_key")
+    brought = dimension.select(F.col(dim_key).alias(own), *columns)
+    return facts.join(brought, F.col(fact_key) == F.col(own), "left").drop(own)
 
 
 def orphan_keys(facts: DataFrame, key: str, dimension: DataFrame, dim_key: str) -> DataFrame:
@@ -47,6 +51,7 @@ def orphan_keys(facts: DataFrame, key: str, dimension: DataFrame, dim_key: str)
     Both sides are made distinct first.  That happens in the map tasks, so a hot
     key is a single row by the time it is shuffled.
     """
-    known = dimension.select(F.col(dim_key).alias("_known")).distinct()
+    (own,) = free_names([key], "_known")
+    known = dimension.select(F.col(dim_key).alias(own)).distinct()
     wanted = facts.select(key).distinct()
-    return wanted.join(known, F.col(key) == F.col("_known"), "left_anti")
+    return wanted.join(known, F.col(key) == F.col(own), "left_anti")

@@ -10,15 +10,19 @@ Order of a run, and why a run that breaks off anywhere can be repeated:
 5. One more ledger row is appended.  Only now does the batch count.
 
 A run that finds step 4 begun and step 5 missing first makes those days again what the
-confirmed batches say.  A rebuild that broke off is repeated; should its checks fail, the
-mart is made again what it was.
+confirmed batches say, and notes that.  A rebuild that broke off is repeated; should its
+checks fail, the mart is made again what it was.
+
+A mart with a lookup shows a stored state of its dimension, which the ledger names.  Each run
+stores the dimension as it is now and compares; days with facts of changed keys are made
+again with the batch, or on their own where nothing else is new.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 from statistics import median
 
@@ -39,6 +43,8 @@ from ..operators import (
     audit,
     build_mart,
     current_rows,
+    days_of_keys,
+    dimension_changes,
     gate,
     high_mark,
     is_rejected,
@@ -48,12 +54,18 @@ from ..operators import (
     parse_time,
     rejected_rows,
     rows_after,
+    touched_days,
     valid_rows,
 )
 from ..sources import CUSTOMERS_SCHEMA, ORDERS, Contract, FiniteRule, Rule, read_contract
 from . import ledger as runs
 from . import publish
 from .scratch import written
+from .sides import days_in, key_days
+from .state import MartState
+
+#: Folders for stored dimensions: what the mart shows, what an open run showed, what is now.
+DIMENSIONS = 3
 
 Table = Callable[[SparkSession], DataFrame]
 
@@ -63,6 +75,12 @@ class FlowSpec:
     """Everything a flow needs: tables in, paths out, rules, checks, measures.
 
     Paths must be on storage that all executors share.
+
+    ``key_buckets`` keeps an index from keys to days beside the fact layer, in so many
+    buckets: a correction then reads the buckets of its keys and not the whole history.
+    ``differences`` maintains the mart by what a batch adds and supersedes; it needs the
+    index, and a mart without a lookup.  Both begin with a first load, a full refresh or
+    ``Flow.compact``; until then a flow works without them.
     """
 
     source: Table
@@ -75,6 +93,8 @@ class FlowSpec:
     dimension: Table | None = None
     rejects: str | None = None
     lookback: str | None = None
+    key_buckets: int | None = None
+    differences: bool = False
 
 
 def retail_spec(
@@ -131,6 +151,16 @@ class Flow:
         if not isinstance(kind, DateType):
             raise ValueError(f"{contract.day} must be a date, not {kind.simpleString()}")
         self.rules = (*contract.validity, *_finite_amounts(contract, mart))
+        self.keys = self.looked_up = self.state = None
+        if spec.key_buckets:
+            self.keys = self._key_days("key_days", contract.key)
+            if mart.lookup:
+                self.looked_up = self._key_days("lookup_days", (mart.lookup.fact_key,))
+        if spec.differences:
+            if mart.lookup or not spec.key_buckets:
+                raise ValueError("differences need a key index and a mart without a lookup")
+            facts = spark.createDataFrame([], contract.clean_schema)
+            self.state = MartState(spark, spec.mart, facts, mart, contract.key, spec.key_buckets)
 
     # -- reading -----------------------------------------------------------
 
@@ -192,16 +222,30 @@ class Flow:
             runs.append_run(self.spark, spec.ledger, done)
             return done
 
+        nothing = dict(epoch=state.epoch, batch_id=None, rows_in_batch=0, watermark_after=cursor)
+        unread = dict(rows_read=0, rows_rejected=0)
         if state.open_epoch is not None and not first:
             self._restore(state)
-        nothing = dict(epoch=state.epoch, batch_id=None, rows_in_batch=0, watermark_after=cursor)
+            record(runs.RESTORED, dimension=state.dimension, **unread, **nothing)
+            state = replace(
+                state, last_run=state.last_run + 1, open_epoch=None, open_batch=None, open_dimension=None
+            )
         if state.delivered:
-            return record(runs.NO_NEW_DATA, rows_read=0, rows_rejected=0, **nothing)
+            return record(runs.NO_NEW_DATA, dimension=state.dimension, **unread, **nothing)
+        shown = self._store_dimension(state)
+        changed = None if first else self._changed_keys(state.dimension, shown)
         new = self._new_rows(state, cursor, bounded=delivery is None)
         counts = self._profile(new, cursor, placed=delivery is None and cursor is not None)
         high = counts.pop("high")
         if high is None and not (refresh and state.epoch):
-            return record(runs.NO_NEW_DATA, **counts, **nothing)
+            dated = None if first else self._days_shown(changed, state, state.last_batch)
+            if dated is None or dated.isEmpty():
+                # The stored dimension may have changed all the same, in keys without facts.
+                return record(runs.NO_NEW_DATA, dimension=state.dimension if first else shown, **counts, **nothing)
+            facts = dict(nothing, dimension=shown, batch_id=state.last_batch, **counts)
+            record(runs.PUBLISHING, **facts)
+            self._replace_days(dated, self._batches(state.epoch, state.last_batch), shown)
+            return record(runs.DIMENSION_CHANGED, **facts)
 
         epoch = state.epoch + 1 if first else state.epoch
         batch = 1 if first else state.last_batch + 1
@@ -220,13 +264,23 @@ class Flow:
                 self._restore(state)
             raise
 
-        facts = dict(epoch=epoch, batch_id=batch, rows_in_batch=size, watermark_after=high, **counts)
+        state = replace(state, epoch=epoch, last_batch=batch - 1)
+        sides = self._write_sides(staged, state, epoch, batch, first)
+        facts = dict(
+            epoch=epoch, batch_id=batch, rows_in_batch=size, watermark_after=high, dimension=shown,
+            sides=[table.name for table in sides], **counts,
+        )
         # Until the final row is in, the mart is ahead of the ledger.
         record(runs.PUBLISHING, **facts)
-        self._publish_mart(staged, epoch, batch, first)
+        if first:
+            self._replace(staged, None, shown)  # one batch, already one row per key
+        elif self.state in sides:
+            self._replace_from_state(epoch, batch)
+        else:
+            self._replace_affected(staged, state, batch, shown, changed)
         done = record(runs.SUCCESS, checks=results, **facts)
-        if refresh and state.epoch:
-            publish.retire_epoch(self.spark, spec.clean, state.epoch, contract)
+        if refresh and state.epoch > 1:
+            self._retire(state.epoch - 1)
         return done
 
     def compact(self) -> bool:
@@ -242,17 +296,19 @@ class Flow:
             return False
         begun, epoch = time.perf_counter(), state.epoch + 1
         rows = self._batches(state.epoch, state.last_batch).drop(publish.BATCH)
-        publish.retire_epoch(self.spark, spec.clean, epoch, contract)  # what a failed refresh left
+        self._retire(epoch)  # what a failed refresh left
         publish.write_batch(rows, spec.clean, epoch, state.last_batch, contract)
+        merged = publish.read_batch(self.spark, spec.clean, epoch, state.last_batch, contract)
+        sides = self._write_sides(merged, state, epoch, state.last_batch, first=True)
         at = datetime.now(timezone.utc).replace(microsecond=0).isoformat()
         done = runs.RunRecord(
             epoch=epoch, run_seq=state.last_run + 1, batch_id=state.last_batch, status=runs.COMPACTED,
             mode=runs.INCREMENTAL, started_at=at, duration_seconds=round(time.perf_counter() - begun, 3),
-            rows_read=0, rows_rejected=0, rows_in_batch=0,
-            watermark_before=state.cursor, watermark_after=state.cursor,
+            rows_read=0, rows_rejected=0, rows_in_batch=0, dimension=state.dimension,
+            watermark_before=state.cursor, watermark_after=state.cursor, sides=[s.name for s in sides],
         )
         runs.append_run(self.spark, spec.ledger, done)
-        publish.retire_epoch(self.spark, spec.clean, state.epoch, contract)
+        self._retire(state.epoch)
         return True
 
     # -- steps -------------------------------------------------------------
@@ -270,16 +326,125 @@ class Flow:
         dimension = self.spec.dimension(self.spark) if mart.lookup else None
         return build_mart(empty, mart, self.spec.contract.key, dimension).schema
 
-    def _mart_of(self, rows: DataFrame) -> DataFrame:
-        """The mart of current rows, written to scratch, as is the dimension it looks up."""
-        spec, brought = self.spec, self.spec.mart_spec.lookup
-        dimension = None
-        if brought:
-            unique = one_row_per_key(spec.dimension(self.spark), brought.dim_key, brought.columns)
-            dimension = written(unique, self._scratch("dimension"))
+    def _key_days(self, what: str, columns: tuple[str, ...]):
+        spec, contract = self.spec, self.spec.contract
+        return key_days(
+            self.spark, spec.clean, what, contract.clean_schema, columns, contract.day, spec.key_buckets
+        )
+
+    # -- the dimension -------------------------------------------------------
+
+    def _stored_dimension(self, number: int | None) -> DataFrame | None:
+        """A stored state of the dimension, one row per key; the dimension as it is for none."""
+        brought = self.spec.mart_spec.lookup
+        if not brought:
+            return None
+        given = self.spec.dimension(self.spark)
+        unique = one_row_per_key(given, brought.dim_key, brought.columns)
+        if number is None:
+            return written(unique, self._scratch("dimension"))
+        return self.spark.read.schema(unique.schema).parquet(self._dimension_folder(number))
+
+    def _dimension_folder(self, number: int) -> str:
+        return f"{self.spec.mart.rstrip('/')}.dimension/{number}"
+
+    def _store_dimension(self, state: runs.LedgerState) -> int | None:
+        """Store the dimension as it is now, in a folder that no ledger row relies on."""
+        brought = self.spec.mart_spec.lookup
+        if not brought:
+            return None
+        used = (state.dimension, state.open_dimension)
+        number = next(n for n in range(DIMENSIONS) if n not in used)
+        unique = one_row_per_key(self.spec.dimension(self.spark), brought.dim_key, brought.columns)
+        written(unique, self._dimension_folder(number))
+        return number
+
+    def _changed_keys(self, before: int | None, after: int | None) -> DataFrame | None:
+        """Keys of the dimension that differ between two stored states; None if one is unknown."""
+        brought = self.spec.mart_spec.lookup
+        if not brought or before is None or after is None:
+            return None
+        states = [self._stored_dimension(number) for number in (before, after)]
+        changes = dimension_changes(*states, brought.dim_key, brought.columns)
+        return written(changes, self._scratch("changed"))
+
+    def _days_shown(
+        self, changed: DataFrame | None, state: runs.LedgerState, last: int
+    ) -> DataFrame | None:
+        """Days up to batch ``last`` whose looked-up columns may differ; None without a lookup.
+
+        Where no stored state is known, as for a mart from before they were kept, all days.
+        """
+        contract, brought = self.spec.contract, self.spec.mart_spec.lookup
+        if not brought:
+            return None
+        facts = self._batches(state.epoch, last)
+        if changed is None:
+            days = touched_days(facts, contract.day)
+        elif self.looked_up and self.looked_up.name in state.sides:
+            kind = contract.clean_schema[brought.fact_key].dataType  # buckets depend on the type
+            own = changed.select(F.col(brought.dim_key).cast(kind).alias(brought.fact_key))
+            days = days_in(self.looked_up, own, contract.day, state.epoch, last)
+        else:
+            days = days_of_keys(facts, brought.fact_key, changed, brought.dim_key, contract.day)
+        return written(days.coalesce(1), self._scratch("dated"))
+
+    def _mart_of(self, rows: DataFrame, shown: int | None) -> DataFrame:
+        """The mart of current rows, written to scratch, with the dimension as it was stored."""
+        spec = self.spec
+        dimension = self._stored_dimension(shown)
         mart = build_mart(rows, spec.mart_spec, spec.contract.key, dimension, reduced=True)
         return written(mart, self._scratch("mart"))
 
+    # -- side tables -----------------------------------------------------------
+
+    def _sides(self) -> list:
+        return [table for table in (self.keys, self.looked_up, self.state) if table]
+
+    def _write_sides(
+        self, staged: DataFrame, state: runs.LedgerState, epoch: int, batch: int, first: bool
+    ) -> list:
+        """Add a batch to the side tables that hold all batches before it, and return these."""
+        contract = self.spec.contract
+        held = [table for table in self._sides() if first or table.name in state.sides]
+        if self.state in held:
+            fresh = staged
+            if first:
+                superseded = staged.limit(0)
+                fresh = latest_per_key(staged, contract.key, contract.time, contract.ties)
+            else:
+                superseded = self._superseded(staged, state)
+            self.state.add(fresh, superseded, epoch, batch)
+        for table in held:
+            if table is not self.state:
+                pairs = staged.select(*table.schema.names).distinct()
+                table.add(pairs, epoch, batch)
+        return held
+
+    def _superseded(self, staged: DataFrame, state: runs.LedgerState) -> DataFrame:
+        """The current version of each of the batch's keys before the batch, where there was one."""
+        contract = self.spec.contract
+        keys = written(staged.select(*contract.key), self._scratch("keys"))
+        days = days_in(self.keys, keys, contract.day, state.epoch, state.last_batch)
+        days = [row[0] for row in days.collect()]  # one a calendar day
+        known = self._batches(state.epoch, state.last_batch).drop(publish.BATCH)
+        known = known.filter(F.col(contract.day).isin(days)).join(keys, [*contract.key], "left_semi")
+        return latest_per_key(known, contract.key, contract.time, contract.ties).select(*staged.columns)
+
+    def _replace_from_state(self, epoch: int, batch: int) -> None:
+        """Replace the days that the state says a batch has changed."""
+        spec, contract = self.spec, self.spec.contract
+        days = written(self.state.days(epoch, batch, contract.day), self._scratch("days"))
+        values = [row[0] for row in days.collect()]  # one a calendar day
+        if values:
+            mart = written(self.state.mart(days, epoch, batch), self._scratch("mart"))
+            publish.replace_days(mart, values, spec.mart, contract.day, spec.mart_spec.grain)
+
+    def _retire(self, epoch: int) -> None:
+        publish.retire_epoch(self.spark, self.spec.clean, epoch, self.spec.contract)
+        for table in self._sides():
+            table.retire(epoch)
+
     def _new_rows(self, state: runs.LedgerState, cursor: str | None, bounded: bool) -> DataFrame:
         """Rows that no confirmed batch has dealt with, and those whose time is unreadable.
 
@@ -348,40 +513,55 @@ class Flow:
             ]
         return row["rows"], results
 
-    def _publish_mart(self, staged: DataFrame, epoch: int, batch: int, first: bool) -> None:
-        if first:
-            self._replace(staged, None)  # one batch, already one row per key
+    def _replace_affected(
+        self,
+        staged: DataFrame,
+        state: runs.LedgerState,
+        last: int,
+        shown: int | None,
+        changed: DataFrame | None,
+    ) -> None:
+        """Replace the days that a batch or a changed dimension affects by what batches up to ``last`` say."""
+        contract = self.spec.contract
+        if self.keys and self.keys.name in state.sides:
+            moved = days_in(
+                self.keys, staged.select(*contract.key), contract.day, state.epoch, state.last_batch
+            )
+            days = touched_days(staged, contract.day).union(moved)
         else:
-            self._replace_affected(staged, self._batches(epoch, batch - 1), self._batches(epoch, batch))
-
-    def _replace_affected(self, staged: DataFrame, earlier: DataFrame, versions: DataFrame) -> None:
-        """Replace the days that a batch affects by what ``versions`` say of them."""
+            days = affected_days(staged, self._batches(state.epoch, state.last_batch), contract)
+        dated = self._days_shown(changed, state, last)
+        if dated is not None:
+            days = days.union(dated)
+        days = written(days.distinct().coalesce(1), self._scratch("days"))
+        self._replace_days(days, self._batches(state.epoch, last), shown)
+
+    def _replace_days(self, days: DataFrame, versions: DataFrame, shown: int | None) -> None:
         contract = self.spec.contract
-        days = affected_days(staged, earlier, contract).coalesce(1)
-        days = written(days, self._scratch("days"))
         values = [row[0] for row in days.select(contract.day).collect()]  # one a calendar day
         if values:  # else no valid row in the batch
             rows = current_rows(versions.drop(publish.BATCH), days, min(values), contract)
-            self._replace(rows, values)
+            self._replace(rows, values, shown)
 
-    def _replace(self, rows: DataFrame, days: list | None) -> None:
+    def _replace(self, rows: DataFrame, days: list | None, shown: int | None) -> None:
         spec = self.spec
         publish.replace_days(
-            self._mart_of(rows), days, spec.mart, spec.contract.day, spec.mart_spec.grain
+            self._mart_of(rows, shown), days, spec.mart, spec.contract.day, spec.mart_spec.grain
         )
 
     def _restore(self, state: runs.LedgerState) -> None:
-        """Make the mart what the confirmed batches say, after a run broke off in it."""
+        """Make the mart what the ledger confirms, batches and dimension, after a run broke off in it."""
         contract = self.spec.contract
-        confirmed = self._batches(state.epoch, state.last_batch)
         if state.open_epoch == state.epoch:
             staged = publish.read_batch(
                 self.spark, self.spec.clean, state.open_epoch, state.open_batch, contract
             )
-            self._replace_affected(staged, confirmed, confirmed)
+            changed = self._changed_keys(state.dimension, state.open_dimension)
+            self._replace_affected(staged, state, state.last_batch, state.dimension, changed)
         else:
-            rows = confirmed.drop(publish.BATCH)
-            self._replace(latest_per_key(rows, contract.key, contract.time, contract.ties), None)
+            rows = self._batches(state.epoch, state.last_batch).drop(publish.BATCH)
+            newest = latest_per_key(rows, contract.key, contract.time, contract.ties)
+            self._replace(newest, None, state.dimension)
 
 
 def _finite_amounts(contract: Contract, mart: MartSpec) -> list[Rule]:

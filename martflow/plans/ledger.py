@@ -38,6 +38,12 @@ PUBLISHING = "publishing"
 #: All batches so far have been merged into one folder of a new epoch.
 COMPACTED = "compacted"
 
+#: Days were made again because the looked-up dimension had changed; no batch came in.
+DIMENSION_CHANGED = "dimension_changed"
+
+#: The mart is again what it was before a run that broke off while it replaced days.
+RESTORED = "restored"
+
 CHECK_TYPE = StructType(
     [
         StructField("name", StringType()),
@@ -62,6 +68,8 @@ LEDGER_SCHEMA = StructType(
         StructField("watermark_before", StringType()),
         StructField("watermark_after", StringType()),
         StructField("delivery", StringType()),
+        StructField("dimension", LongType()),
+        StructField("sides", ArrayType(StringType())),
         StructField("checks", ArrayType(CHECK_TYPE)),
     ]
 )
@@ -85,6 +93,10 @@ class RunRecord:
     rows_unreadable: int = 0
     #: What a stream calls the files it handed over, so that a second time is noticed.
     delivery: str | None = None
+    #: The stored dimension that the mart's days show, once this row is in.
+    dimension: int | None = None
+    #: Side tables that hold this batch.
+    sides: Sequence[str] = ()
     checks: Sequence[CheckResult] = ()
 
 
@@ -104,6 +116,11 @@ class LedgerState:
     open_batch: int | None = None
     volumes: tuple[int, ...] = ()
     delivered: bool = False
+    #: The stored dimension that the mart shows, and the one that an open run was showing.
+    dimension: int | None = None
+    open_dimension: int | None = None
+    #: Side tables that hold every batch of the epoch.
+    sides: frozenset[str] = frozenset()
 
     @property
     def refresh_broke_off(self) -> bool:
@@ -147,14 +164,15 @@ def volume_history(runs: DataFrame, lookback: int | None = None) -> DataFrame:
 
 def last_run(runs: DataFrame) -> DataFrame:
     """The newest finished run; no row before the first."""
-    return runs.filter(~F.col("status").isin(PUBLISHING, COMPACTED)).orderBy(F.desc("run_seq")).limit(1)
+    own = F.col("status").isin(PUBLISHING, COMPACTED, RESTORED)
+    return runs.filter(~own).orderBy(F.desc("run_seq")).limit(1)
 
 
 def ledger_state(runs: DataFrame, delivery: str | None = None) -> LedgerState:
     """The ledger reduced to one row, with one number for each successful run."""
     confirmed = F.col("status").isin(SUCCESS, COMPACTED)
     pair = F.when(confirmed, F.struct("epoch", "batch_id", "run_seq", "watermark_after"))
-    begun = F.when(F.col("status") == PUBLISHING, F.struct("run_seq", "epoch", "batch_id"))
+    begun = F.when(F.col("status") == PUBLISHING, F.struct("run_seq", "epoch", "batch_id", "dimension"))
     rebuilt = F.max(F.when(_succeeded() & (F.col("mode") == FULL_REFRESH), F.col("run_seq")))
     size = F.when(_succeeded(), F.struct("run_seq", "rows_in_batch"))
     finished = F.col("status") != PUBLISHING
@@ -162,12 +180,15 @@ def ledger_state(runs: DataFrame, delivery: str | None = None) -> LedgerState:
         F.max(pair).alias("newest"),
         F.max(F.when(finished, F.col("run_seq"))).alias("last_run"),
         F.max(begun).alias("begun"),
+        F.max(F.when(finished, F.struct("run_seq", "dimension"))).alias("shown"),
+        F.collect_list(F.when(confirmed, F.struct("epoch", "sides"))).alias("sides"),
         F.sort_array(F.collect_list(size)).alias("sizes"),
         rebuilt.alias("rebuilt"),
         F.bool_or(finished & (F.col("delivery") == F.lit(delivery))).alias("delivered"),
     ).first()
     newest, begun, last = row["newest"], row["begun"], row["last_run"] or 0
     epoch = newest["epoch"] if newest else 0
+    sides = [frozenset(s["sides"] or ()) for s in row["sides"] if s["epoch"] == epoch]
     still_open = begun is not None and (begun["run_seq"] > last or begun["epoch"] > epoch)
     return LedgerState(
         epoch=epoch,
@@ -180,4 +201,7 @@ def ledger_state(runs: DataFrame, delivery: str | None = None) -> LedgerState:
             s["rows_in_batch"] for s in row["sizes"] if s["run_seq"] >= (row["rebuilt"] or 0)
         ),
         delivered=bool(row["delivered"]),
+        dimension=row["shown"]["dimension"] if row["shown"] else None,
+        open_dimension=begun["dimension"] if still_open else None,
+        sides=frozenset.intersection(*sides) if sides else frozenset(),
     )

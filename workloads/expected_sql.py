@@ -46,6 +46,17 @@ newest AS (
 """
 
 
+def _moved(name: str, time: int) -> str:
+    """The customers of a time, some of whom have moved."""
+    known = "TRUE" if time > 1 else "c_custkey % 11 <> 3"
+    return f"""
+{name} AS (
+  SELECT c_custkey AS customer_id, n_name AS country
+  FROM customer LEFT JOIN nation ON n_nationkey =
+    CASE WHEN c_custkey % 5 < {time} THEN (c_nationkey + {time}) % 25 ELSE c_nationkey END
+  WHERE {known})"""
+
+
 def _half_up_cents(total: str, count: str) -> str:
     """A quotient rounded half-up to cents in whole numbers, free of floating point."""
     cents = f"CAST({total} * 100 AS HUGEINT)"
@@ -378,4 +389,27 @@ SELECT CAST(4 AS BIGINT), 'success', (SELECT count(*) FROM good), (SELECT count(
     "merged_batches": f"""
 WITH {ORDERS}, {EVENT_BATCHES}
 SELECT (SELECT max(run_seq) FROM batches) AS batch_id, order_date, count(*) AS n FROM clean GROUP BY order_date""",
+    "dimension_change": f"WITH {ORDERS}, {_moved('people', 3)}"
+    + _mart(
+        "(SELECT priced.*, country FROM priced LEFT JOIN people USING (customer_id))",
+        "order_date, country", "revenue", "order_id", "customer_id", "quantity", "customers",
+    ),
+    "dimension_runs": f"""
+WITH {ORDERS}, cuts(run_seq, low, high) AS (VALUES
+  (1, TIMESTAMP '0001-01-01', TIMESTAMP '{EVENT_CUTS[0]}'), (2, TIMESTAMP '{EVENT_CUTS[0]}', TIMESTAMP '{EVENT_CUTS[1]}'),
+  (3, TIMESTAMP '{EVENT_CUTS[1]}', TIMESTAMP '9999-01-01'))
+SELECT CAST(run_seq AS BIGINT) AS run_seq, 'success' AS status, count(DISTINCT valid.order_id) AS rows_in_batch,
+       CAST(max(raw.order_ts) AS VARCHAR) AS watermark_after
+FROM cuts JOIN raw ON raw.order_ts > low AND raw.order_ts <= high
+LEFT JOIN valid ON valid.order_id = raw.order_id AND valid.order_ts > low AND valid.order_ts <= high
+GROUP BY run_seq
+UNION ALL
+SELECT 4, 'dimension_changed', 0, CAST(max(order_ts) AS VARCHAR) FROM raw""",
+    "changed_days": f"""
+WITH {ORDERS}, {_moved('earlier', 1)}, {_moved('later', 2)}
+SELECT DISTINCT order_date FROM valid WHERE customer_id IN (
+  SELECT customer_id FROM (SELECT * FROM earlier EXCEPT SELECT * FROM later)
+  UNION SELECT customer_id FROM (SELECT * FROM later EXCEPT SELECT * FROM earlier))""",
+    "delta_mart": f"WITH {LINES} {MONTHLY}",
 }
+EXPECTED["indexed_days"] = EXPECTED["affected_days"]

@@ -25,6 +25,8 @@ from martflow.operators import (
     build_mart,
     column_checks,
     current_rows,
+    days_of_keys,
+    dimension_changes,
     latest_per_key,
     lookup,
     one_row_per_key,
@@ -51,6 +53,7 @@ from martflow.plans import (
     written,
 )
 from martflow.plans.publish import read_mart, replace_days
+from martflow.plans.sides import days_in, key_days
 from martflow.sources import CUSTOMERS_SCHEMA, ORDERS, read_contract
 
 from .tables import (
@@ -123,11 +126,11 @@ def _event_flow(spark: SparkSession, folder: str, cuts=EVENT_CUTS) -> Flow:
     )
 
 
-def _line_flow(spark: SparkSession, folder: str, cuts=LINE_CUTS) -> Flow:
+def _line_flow(spark: SparkSession, folder: str, cuts=LINE_CUTS, **options) -> Flow:
     return _run_flow(
         spark, lambda s: lines(s, folder), "l_shipdate", cuts,
         contract=LINES, mart_spec=MONTHLY_FLAG_MART,
-        checks=CheckPlan(not_null=LINES.key, unique=(LINES.key,), non_negative=("l_quantity",)),
+        checks=CheckPlan(not_null=LINES.key, unique=(LINES.key,), non_negative=("l_quantity",)), **options,
     )
 
 
@@ -554,6 +557,71 @@ def lookback_runs(spark: SparkSession, folder: str) -> DataFrame:
     return finished.select("run_seq", "status", "rows_read", "rows_in_batch", "watermark_after")
 
 
+# -- changes that reach published days --------------------------------------------------------
+
+
+def _moved(spark: SparkSession, folder: str, time: int) -> DataFrame:
+    """The customers at a time: every fifth has moved, another fifth each time; some are not there yet."""
+    people = table(spark, folder, "customer")
+    moved = F.when(F.col("c_custkey") % 5 < time, (F.col("c_nationkey") + time) % 25)
+    known = people.filter((F.col("c_custkey") % 11 != 3) | F.lit(time > 1)).select(
+        F.col("c_custkey").alias("customer_id"), F.coalesce(moved, "c_nationkey").alias("place")
+    )
+    nation = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+    return known.join(nation, F.col("place") == F.col("n_nationkey"), "left").select("customer_id", "country")
+
+
+def _country_flow(spark: SparkSession, folder: str, **options) -> Flow:
+    """Three runs with new orders and other customers each time, and one where only customers moved."""
+    root = scratch_folder(spark)
+    for time, cut in enumerate((*EVENT_CUTS[:2], None, None)):
+        flow = Flow(spark, FlowSpec(
+            source=lambda s, cut=cut: rows_after(event_orders(s, folder), None, "order_ts", upto=cut),
+            dimension=lambda s, time=time: _moved(s, folder, time),
+            clean=f"{root}/clean", mart=f"{root}/mart", ledger=f"{root}/ledger",
+            contract=EVENT_ORDERS, mart_spec=DAILY_COUNTRY_MART, checks=CheckPlan(), **options,
+        ))
+        flow.run()
+    return flow
+
+
+def dimension_change(spark: SparkSession, folder: str) -> DataFrame:
+    """The mart by country after customers have moved between runs, and once without new orders."""
+    return _country_flow(spark, folder, key_buckets=16).mart()
+
+
+def dimension_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """What the ledger says of these runs, without an index."""
+    runs = _country_flow(spark, folder).ledger().filter("status <> 'publishing'")
+    return runs.select("run_seq", "status", "rows_in_batch", "watermark_after")
+
+
+def changed_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Days with orders of customers who have moved, come or gone between two times."""
+    states = [_moved(spark, folder, time) for time in (1, 2)]
+    moved = dimension_changes(*states, "customer_id", ["country"])
+    moved = written(moved, f"{scratch_folder(spark)}/moved")
+    return days_of_keys(_valid(spark, folder), "customer_id", moved, "customer_id", "order_date")
+
+
+def indexed_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Months of the late lines and of the earlier versions of their keys, from the key index."""
+    root = scratch_folder(spark)
+    rows = _valid_lines(spark, folder)
+    late = rows.filter(F.col("l_shipdate") > LINE_CURSOR)
+    batch = written(latest_per_key(late, LINES.key, LINES.time, LINES.ties), f"{root}/batch")
+    history = rows.filter(F.col("l_shipdate") <= LINE_CURSOR).select(*LINES.key, LINES.day).distinct()
+    index = key_days(spark, f"{root}/clean", "key_days", LINES.clean_schema, LINES.key, LINES.day, 64)
+    index.add(history, 1, 1)
+    earlier = days_in(index, batch.select(*LINES.key), LINES.day, 1, 1)
+    return touched_days(batch, LINES.day).union(earlier).distinct()
+
+
+def delta_mart(spark: SparkSession, folder: str) -> DataFrame:
+    """The monthly mart after four batches, kept up to date by differences."""
+    return _line_flow(spark, folder, key_buckets=16, differences=True).mart()
+
+
 QUERIES: dict[str, Query] = {
     "daily_mart": daily_mart,
     "scan_contract": scan_contract,
@@ -605,4 +673,9 @@ QUERIES: dict[str, Query] = {
     "refresh_to_empty": refresh_to_empty,
     "lookback_runs": lookback_runs,
     "merged_batches": merged_batches,
+    "dimension_change": dimension_change,
+    "dimension_runs": dimension_runs,
+    "changed_days": changed_days,
+    "indexed_days": indexed_days,
+    "delta_mart": delta_mart,
 }
