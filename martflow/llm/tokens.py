@@ -18,9 +18,11 @@ CHUNK = 200_000
 SAFE_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
 
+LONGEST_SPACE = 1 << 14  # characters that go through the pre-tokeniser
+
 #: A long stretch of what Unicode calls white space, as in the pre-tokeniser's pattern.
 LONG_SPACE = re.compile(
-    r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % (1 << 14)
+    r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONGEST_SPACE
 )
 
 
@@ -58,7 +60,7 @@ def stretches(text: str) -> Iterator[tuple[str, bool]]:
     stretches are given to the vocabulary as a whole, without it.
     """
     start = 0
-    for space in LONG_SPACE.finditer(text):
+    for space in LONG_SPACE.finditer(text) if len(text) >= LONGEST_SPACE else ():
         end = space.end() - (space.end() < len(text))
         if start < space.start():
             yield text[start : space.start()], False
