@@ -20,6 +20,7 @@ again with the batch, or on their own where nothing else is new.
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
@@ -189,7 +190,11 @@ class Flow:
     # -- running -----------------------------------------------------------
 
     def run(
-        self, full_refresh: bool = False, accept_volume: bool = False, delivery: str | None = None
+        self,
+        full_refresh: bool = False,
+        accept_volume: bool = False,
+        delivery: str | None = None,
+        mode: str = runs.INCREMENTAL,
     ) -> runs.RunRecord:
         """Process what is new, or rebuild from all of the source.
 
@@ -199,6 +204,7 @@ class Flow:
 
         ``delivery`` names a source that holds new files only.  The cursor does not bound
         it, so rows that arrive late count, and a name the ledger knows changes nothing.
+        ``mode`` is what the ledger calls a run that is no full refresh.
         """
         begun = time.perf_counter()
         at = datetime.now(timezone.utc).replace(microsecond=0).isoformat()
@@ -212,7 +218,7 @@ class Flow:
             done = runs.RunRecord(
                 run_seq=state.last_run + 1,
                 status=status,
-                mode=runs.FULL_REFRESH if refresh else runs.INCREMENTAL,
+                mode=runs.FULL_REFRESH if refresh else mode,
                 started_at=at,
                 duration_seconds=round(time.perf_counter() - begun, 3),
                 watermark_before=cursor,
@@ -283,6 +289,41 @@ class Flow:
             self._retire(state.epoch - 1)
         return done
 
+    def rejects(self) -> DataFrame:
+        """Stored rejects of all confirmed batches, with their batch, failed rules and rule version."""
+        state = runs.ledger_state(self.ledger())
+        return publish.read_rejects(
+            self.spark, self._rejects_folder(), state.epoch, state.last_batch, self.spec.contract
+        )
+
+    def replay(self, accept_volume: bool = True) -> runs.RunRecord:
+        """Publish the stored rejects that today's rules accept, as a batch of their own.
+
+        The batch goes through checks, ledger and rebuild like any other, and the cursor
+        stays.  A row that a known version of its key equals or beats changes nothing, so a
+        second replay, or one after a run that broke off, adds nothing twice.  What the
+        rules still reject stays where it is.  Rows whose time could not be read when they
+        came in have none, and cannot come back this way.
+        """
+        state = runs.ledger_state(self.ledger())
+        if state.refresh_broke_off or not state.epoch:
+            raise ValueError("a replay needs a finished load; run the flow first")
+        accepted = valid_rows(self.rejects(), self.rules).select(*self.spec.contract.schema.names)
+        name = f"rejects of epoch {state.epoch} to batch {state.last_batch} by rules {self.rule_version}"
+        again = Flow(self.spark, replace(self.spec, source=lambda _: accepted, rejects=None))
+        return again.run(accept_volume=accept_volume, delivery=name, mode=runs.REPLAY)
+
+    @property
+    def rule_version(self) -> str:
+        """A short digest of the validity rules: other rules, another version."""
+        stated = "\n".join(f"{rule.name}: {rule.predicate}" for rule in self.rules)
+        return hashlib.sha256(stated.encode()).hexdigest()[:12]
+
+    def _rejects_folder(self) -> str:
+        if not self.spec.rejects:
+            raise ValueError("this flow stores no rejects")
+        return self.spec.rejects
+
     def compact(self) -> bool:
         """Merge the folders of all confirmed batches into one; False if there is nothing to do.
 
@@ -492,6 +533,7 @@ class Flow:
         upto = F.col(contract.time) <= time_literal(time_type(new, contract.time), high)
         (
             rejected_rows(new.filter(F.coalesce(upto, F.lit(True))), self.rules)
+            .withColumn(publish.RULE_VERSION, F.lit(self.rule_version))
             .write.mode("overwrite")
             .parquet(f"{self.spec.rejects}/{publish.EPOCH}={epoch}/{publish.BATCH}={batch}")
         )

@@ -30,6 +30,8 @@ SUCCESS = "success"
 NO_NEW_DATA = "no_new_data"
 INCREMENTAL = "incremental"
 FULL_REFRESH = "full_refresh"
+#: A run over stored rejects that today's rules accept.  Its size is no usual volume.
+REPLAY = "replay"
 
 #: Written before a run starts to replace mart days.  Without a finished row of the same
 #: number, the run broke off there, and the next one has to make good what it left.
@@ -156,7 +158,7 @@ def stored_cursor(runs: DataFrame) -> DataFrame:
 
 def volume_history(runs: DataFrame, lookback: int | None = None) -> DataFrame:
     """Batch sizes of the successful runs, oldest first; the newest ``lookback`` if given."""
-    sizes = current_runs(runs).select("run_seq", "rows_in_batch")
+    sizes = current_runs(runs).filter(F.col("mode") != REPLAY).select("run_seq", "rows_in_batch")
     if lookback is not None:
         sizes = sizes.orderBy(F.desc("run_seq")).limit(lookback)
     return sizes.orderBy("run_seq")
@@ -174,7 +176,7 @@ def ledger_state(runs: DataFrame, delivery: str | None = None) -> LedgerState:
     pair = F.when(confirmed, F.struct("epoch", "batch_id", "run_seq", "watermark_after"))
     begun = F.when(F.col("status") == PUBLISHING, F.struct("run_seq", "epoch", "batch_id", "dimension"))
     rebuilt = F.max(F.when(_succeeded() & (F.col("mode") == FULL_REFRESH), F.col("run_seq")))
-    size = F.when(_succeeded(), F.struct("run_seq", "rows_in_batch"))
+    size = F.when(_succeeded() & (F.col("mode") != REPLAY), F.struct("run_seq", "rows_in_batch"))
     finished = F.col("status") != PUBLISHING
     row = runs.agg(
         F.max(pair).alias("newest"),

@@ -10,12 +10,13 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from ..operators import touched_days
+from ..operators import FAILED_RULES, touched_days
 from ..sources import Contract, read_if_present
 
 EPOCH, BATCH = "epoch", "batch_id"
+RULE_VERSION = "rule_version"
 DAYS_AT_ONCE = 8
 
 
@@ -67,6 +68,18 @@ def read_batch(
     return read_if_present(spark, folder, contract.clean_schema, "parquet")
 
 
+def read_rejects(
+    spark: SparkSession, root: str, epoch: int, last: int, contract: Contract
+) -> DataFrame:
+    """Rejected rows of an epoch up to batch ``last``, with their batch, failed rules and rule version."""
+    schema = StructType([
+        *contract.clean_schema, StructField(FAILED_RULES, ArrayType(StringType())),
+        StructField(RULE_VERSION, StringType()), StructField(BATCH, LongType()),
+    ])
+    rows = read_if_present(spark, epoch_folder(root, epoch), schema, "parquet")
+    return rows.filter(F.col(BATCH) <= last)
+
+
 def retire_epoch(spark: SparkSession, root: str, epoch: int, contract: Contract) -> None:
     """Drop the files of a replaced epoch, by overwriting its folder with no rows."""
     (

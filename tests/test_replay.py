@@ -1,0 +1,78 @@
+"""Rejected rows that later rules accept."""
+
+import dataclasses
+
+import plain
+import pytest
+from test_flow import STEPS, WEEK1, WEEK2, WEEK3, Crash, Shop
+
+from martflow.plans import Flow
+from martflow.sources import Rule
+
+BULK = (
+    "g550,k-ben,2024-11-06 10:00:00,tools,40,12.75\n"  # refused at first
+    "g502,k-ben,2024-11-06 11:00:00,tools,60,1.50\n"  # a newer version of a known order, refused at first
+    "g551,k-ben,2024-11-06 12:00:00,tools,-1,1.50\n"  # never valid
+    "g552,k-ben,some day,tools,70,1.50\n"  # has no time
+)
+
+
+@pytest.fixture
+def shop(spark, tmp_path):
+    """A shop whose flow refuses orders of 25 pieces and more."""
+    found = Shop(spark, tmp_path, rejects=str(tmp_path / "rejects"))
+    contract = found.spec.contract
+    strict = dataclasses.replace(contract, rules=(*contract.rules, Rule("few", "quantity < 25")))
+    found.flow = Flow(spark, dataclasses.replace(found.spec, contract=strict))
+    return found
+
+
+def today(shop, spark):
+    return Flow(spark, shop.spec)
+
+
+def test_a_replay_publishes_what_the_rules_accept_now_and_only_once(shop, spark):
+    shop.run(WEEK1 + BULK)
+    shop.run(WEEK1 + BULK + WEEK2)
+    assert shop.mart() == plain.mart(WEEK1 + WEEK2)
+    kept = shop.flow.rejects().collect()
+    assert {r["rule_version"] for r in kept} == {shop.flow.rule_version}
+    assert sorted((r["order_id"], r["batch_id"]) for r in kept if r["order_ts"]) == [("g502", 1), ("g550", 1), ("g551", 1)]
+    assert shop.flow.replay().status == "no_new_data"  # by the same rules
+    cursor, shop.flow = shop.cursor(), today(shop, spark)
+    done = shop.flow.replay()
+    assert (done.status, done.mode, done.rows_in_batch, done.rows_rejected) == ("success", "replay", 2, 0)
+    valid = "".join(BULK.splitlines(keepends=True)[:2])
+    assert shop.mart() == plain.mart(WEEK1 + valid + WEEK2)
+    assert shop.flow.replay().status == "no_new_data"
+    assert (shop.cursor(), shop.volumes()) == (cursor, [4, 2])
+    shop.run(WEEK1 + BULK + WEEK2 + WEEK3)
+    assert shop.flow.replay().status == "no_new_data"
+    assert shop.mart() == plain.mart(WEEK1 + valid + WEEK2 + WEEK3)
+
+
+def test_a_version_that_has_been_overtaken_stays_out(shop, spark):
+    newer = "g502,k-ben,2024-11-07 11:00:00,tools,3,2.00\n"
+    shop.run(WEEK1 + BULK + newer)
+    shop.flow = today(shop, spark)
+    assert shop.flow.replay().rows_in_batch == 1
+    assert shop.mart() == plain.mart(WEEK1 + BULK.splitlines(keepends=True)[0] + newer)
+
+
+@pytest.mark.parametrize("step", ["after the batch is written", "before the last ledger row"])
+def test_a_replay_that_breaks_off_can_be_repeated(shop, spark, monkeypatch, step):
+    shop.run(WEEK1 + BULK)
+    shop.flow = today(shop, spark)
+    with monkeypatch.context() as patched:
+        patched.setattr(*STEPS[step])
+        with pytest.raises(Crash):
+            shop.flow.replay()
+    assert shop.flow.replay().rows_in_batch == 2
+    assert shop.mart() == plain.mart(WEEK1 + "".join(BULK.splitlines(keepends=True)[:2]))
+
+
+def test_what_cannot_be_replayed(shop, spark):
+    with pytest.raises(ValueError, match="finished load"):
+        shop.flow.replay()
+    with pytest.raises(ValueError, match="no rejects"):
+        Flow(spark, dataclasses.replace(shop.spec, rejects=None)).rejects()

@@ -411,5 +411,6 @@ SELECT DISTINCT order_date FROM valid WHERE customer_id IN (
   SELECT customer_id FROM (SELECT * FROM earlier EXCEPT SELECT * FROM later)
   UNION SELECT customer_id FROM (SELECT * FROM later EXCEPT SELECT * FROM earlier))""",
     "delta_mart": f"WITH {LINES} {MONTHLY}",
+    "replayed_rejects": f"WITH {ORDERS} {DAILY}",
 }
 EXPECTED["indexed_days"] = EXPECTED["affected_days"]

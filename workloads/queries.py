@@ -54,7 +54,7 @@ from martflow.plans import (
 )
 from martflow.plans.publish import read_mart, replace_days
 from martflow.plans.sides import days_in, key_days
-from martflow.sources import CUSTOMERS_SCHEMA, ORDERS, read_contract
+from martflow.sources import CUSTOMERS_SCHEMA, ORDERS, Rule, read_contract
 
 from .tables import (
     DAILY_BRAND_MART,
@@ -622,6 +622,20 @@ def delta_mart(spark: SparkSession, folder: str) -> DataFrame:
     return _line_flow(spark, folder, key_buckets=16, differences=True).mart()
 
 
+def replayed_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily mart of flows that first refused large orders, after these have been replayed, twice."""
+    strict = replace(EVENT_ORDERS, rules=(*EVENT_ORDERS.rules, Rule("order_small", "quantity * unit_price < 100")))
+    flow = _run_flow(
+        spark, lambda s: event_orders(s, folder), "order_ts", EVENT_CUTS,
+        contract=strict, mart_spec=DAILY_CATEGORY_MART, checks=CheckPlan(),
+        rejects=f"{scratch_folder(spark)}/rejects",
+    )
+    flow = Flow(spark, replace(flow.spec, contract=EVENT_ORDERS))
+    flow.replay()
+    flow.replay()
+    return flow.mart()
+
+
 QUERIES: dict[str, Query] = {
     "daily_mart": daily_mart,
     "scan_contract": scan_contract,
@@ -678,4 +692,5 @@ QUERIES: dict[str, Query] = {
     "changed_days": changed_days,
     "indexed_days": indexed_days,
     "delta_mart": delta_mart,
+    "replayed_rejects": replayed_rejects,
 }
