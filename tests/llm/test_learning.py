@@ -42,7 +42,7 @@ def test_languages_of_awkward_rows(spark):
     found = language_id.identify_languages(docs, model)
     assert found.count() == docs.count()
     unknown = found.filter("lang_pred = 'und'").select("doc_id", "score", "rejected").collect()
-    assert {tuple(r) for r in unknown} == {(k, 0.0, True) for k in (None, 1, 2, 3, 4, 11)}
+    assert {tuple(r) for r in unknown} == {(k, 0.0, True) for k in (None, 1, 2, 3, 4, 11, 13)}
     assert language_id.drop_unidentified(docs, model).columns == docs.columns
     none = language_id.train(empty(spark))
     assert none is None and language_id.identify_languages(empty(spark), none).count() == 0
