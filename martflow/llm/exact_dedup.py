@@ -20,15 +20,16 @@ from ..plans.scratch import scratch_folder, written
 from .common import free_names, shuffle_partitions, ship_package
 
 PREFIX_CHARS = 32
+HELD_ROWS = 1 << 16  # of one run of equal texts, that a task holds before it writes them
 
 RUNS = (
     "doc_id long, text_sha256 string, head long, first boolean, rows long, "
-    "edge boolean, edge_text binary, part int, run long"
+    "edge_text binary, part int, run long, summary boolean"
 )
 RUN_TYPES = pa.schema([
     ("doc_id", pa.int64()), ("text_sha256", pa.string()), ("head", pa.int64()),
-    ("first", pa.bool_()), ("rows", pa.int64()), ("edge", pa.bool_()),
-    ("edge_text", pa.binary()), ("part", pa.int32()), ("run", pa.int64()),
+    ("first", pa.bool_()), ("rows", pa.int64()), ("edge_text", pa.binary()), ("part", pa.int32()),
+    ("run", pa.int64()), ("summary", pa.bool_()),
 ])
 
 
@@ -37,30 +38,44 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare neighbours of a sorted partition and describe the runs of equal texts."""
+def _runs(batches: Iterator[pa.RecordBatch], held: int = HELD_ROWS) -> Iterator[pa.RecordBatch]:
+    """Compare neighbours of a sorted partition and describe the runs of equal texts.
+
+    A run within the partition has its size in each row.  A run at one of the partition's
+    ends, and one of more than ``held`` rows, leaves the size open and has a summary row.
+    """
     part = TaskContext.get().partitionId()
-    text, digest, ids, run = None, None, [], 0
+    text, digest, head, run, size, ids = None, None, None, 0, 0, []
 
-    def closed(last: bool) -> list[tuple]:
-        edge = run == 0 or last
+    def rows(whole: bool) -> list[tuple]:
+        begun = size - len(ids)  # rows of this run that are out already
+        total = size if whole else None
         return [
-            (key, digest, ids[0], k == 0, len(ids), edge, text if edge and k == 0 else None,
-             part, run)
+            (key, digest, head, begun + k == 0, total, None, part, run, False)
             for k, key in enumerate(ids)
         ]
 
+    def closed(last: bool) -> list[tuple]:
+        whole = size == len(ids) and not (run == 0 or last)
+        summary = (None, digest, head, True, size, text, part, run, True)
+        return rows(whole) + ([] if whole else [summary])
+
     for batch in batches:
         done: list[tuple] = []
         for key, sha, own in zip(*(c.to_pylist() for c in batch.columns)):
-            if ids and own != text:
+            if size and own != text:
                 done += closed(False)
-                ids, run = [], run + 1
-            text, digest = own, sha
+                ids, run, size = [], run + 1, 0
+            if not size:
+                text, digest, head = own, sha, key
             ids.append(key)
+            size += 1
+            if len(ids) > held:
+                done += rows(False)
+                ids = []
         if done:
             yield _batch(done)
-    if ids:
+    if size:
         yield _batch(closed(True))
 
 
@@ -72,14 +87,15 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def exact_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held: int = HELD_ROWS
 ) -> DataFrame:
     """One row per document: which document of its group of equal texts stays.
 
     ``doc_id, keep_id, group_size, kept, text_sha256``.  Texts are equal if they are
     after ``normalised``; null counts as empty.  The smallest id stays, a null id only
     if there is no other.  Of rows that repeat an id and a text, one is kept.  An empty
-    table gives an empty table; other columns are not read.
+    table gives an empty table; other columns are not read.  A task holds one text and up to
+    ``held`` ids, however many rows share it.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -97,7 +113,7 @@ def exact_duplicates(
         rows.repartitionByRange(shuffle_partitions(spark), *key)
         .sortWithinPartitions("prefix", "text_sha256", "norm", F.col("doc_id").asc_nulls_last())
         .select("doc_id", "text_sha256", "norm")
-        .mapInArrow(_runs, RUNS)
+        .mapInArrow(lambda batches: _runs(batches, held), RUNS)
     )
     runs = written(runs, f"{scratch_folder(spark)}/runs")
     return _joined_at_edges(runs)
@@ -105,21 +121,19 @@ def exact_duplicates(
 
 def _joined_at_edges(runs: DataFrame) -> DataFrame:
     same = Window.partitionBy("text_sha256", "edge_text")
-    edges = (
-        runs.filter("edge AND first")
-        .select(
-            "part",
-            "run",
-            F.min_by("head", "part").over(same).alias("edge_keep"),
-            F.sum("rows").over(same).alias("edge_rows"),
-            (F.min("part").over(same) == F.col("part")).alias("edge_first"),
-        )
+    open_runs = runs.filter("summary").select(
+        "part",
+        "run",
+        F.min_by("head", "part").over(same).alias("edge_keep"),
+        F.sum("rows").over(same).alias("edge_rows"),
+        (F.min("part").over(same) == F.col("part")).alias("edge_first"),
     )
-    # At most two rows for each sorted partition, so this table is small at any size.
-    return runs.join(F.broadcast(edges), ["part", "run"], "left").select(
+    # Two rows at most for each sorted partition, and one for every HELD_ROWS documents.
+    joined = runs.filter("NOT summary").join(F.broadcast(open_runs), ["part", "run"], "left")
+    return joined.select(
         "doc_id",
-        F.when(F.col("edge"), F.col("edge_keep")).otherwise(F.col("head")).alias("keep_id"),
-        F.coalesce("edge_rows", "rows").alias("group_size"),
+        F.when(F.col("rows").isNull(), F.col("edge_keep")).otherwise(F.col("head")).alias("keep_id"),
+        F.coalesce("rows", "edge_rows").alias("group_size"),
         (F.col("first") & F.coalesce("edge_first", F.lit(True))).alias("kept"),
         "text_sha256",
     )

@@ -49,6 +49,19 @@ def test_a_group_over_many_sorted_partitions_is_one(spark):
     assert found.filter("group_size = 1 AND kept").count() == 1334
 
 
+@pytest.mark.parametrize("held", [1, 7, 200])
+def test_runs_longer_than_a_task_holds(spark, held):
+    rows = [(k if k % 9 else None, ["a", "b  c", "b c", None][k % 4] if k % 5 else f"own {k}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    short = sorted(map(tuple, exact_duplicates(docs).collect()), key=repr)
+    assert sorted(map(tuple, exact_duplicates(docs, held=held).collect()), key=repr) == short
+    groups = defaultdict(list)
+    for key, text in rows:
+        groups[re.sub(r"\s+", " ", text or "")].append(key)
+    sizes = sorted(len(g) for g in groups.values() for _ in g)
+    assert sorted(r[2] for r in short) == sizes and sum(r[3] for r in short) == len(groups)
+
+
 def test_dropping_exact_copies_keeps_columns(spark):
     docs = awkward(spark)
     assert drop_exact_duplicates(docs).columns == docs.columns
