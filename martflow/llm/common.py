@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import free_names as free_names  # for the modules beside this one
+
 #: Rows whose crc32(id) leaves this remainder are never learned from.
 HELD_OUT_FOLD, FOLDS = 0, 5
 
@@ -30,18 +31,6 @@ def unit_hash(*columns: Column) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(*columns), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
 
 
-def free_names(taken: Iterable[str], *wanted: str) -> list[str]:
-    """The wanted column names, with underscores in front where they are taken."""
-    lower = {name.lower() for name in taken}
-    names = []
-    for name in wanted:
-        while name.lower() in lower:
-            name = f"_{name}"
-        lower.add(name.lower())
-        names.append(name)
-    return names
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
