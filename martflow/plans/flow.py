@@ -16,6 +16,10 @@ checks fail, the mart is made again what it was.
 A mart with a lookup shows a stored state of its dimension, which the ledger names.  Each run
 stores the dimension as it is now and compares; days with facts of changed keys are made
 again with the batch, or on their own where nothing else is new.
+
+A first load or refresh may go in slices of whole days.  Each is written and checked on its
+own and gets a ledger row, which readers do not look at; the row that ends the load makes
+them all count at once.  A load that broke off goes on behind its last slice.
 """
 
 from __future__ import annotations
@@ -27,11 +31,11 @@ from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 from statistics import median
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, IntegralType, StructType
 
-from ..functions import time_literal, time_type
+from ..functions import time_literal, time_text, time_type
 from ..operators import (
     DAILY_CATEGORY_MART,
     BatchRejected,
@@ -82,6 +86,9 @@ class FlowSpec:
     ``differences`` maintains the mart by what a batch adds and supersedes; it needs the
     index, and a mart without a lookup.  Both begin with a first load, a full refresh or
     ``Flow.compact``; until then a flow works without them.
+
+    ``slice_rows`` makes first loads and refreshes go in slices of whole days, each with
+    about so many source rows (a day that holds more is one slice).
     """
 
     source: Table
@@ -96,6 +103,7 @@ class FlowSpec:
     lookback: str | None = None
     key_buckets: int | None = None
     differences: bool = False
+    slice_rows: int | None = None
 
 
 def retail_spec(
@@ -151,6 +159,8 @@ class Flow:
         kind = parse_time(empty, contract).schema[contract.day].dataType
         if not isinstance(kind, DateType):
             raise ValueError(f"{contract.day} must be a date, not {kind.simpleString()}")
+        if spec.slice_rows is not None and spec.slice_rows < 1:
+            raise ValueError("slice_rows must be at least 1")
         self.rules = (*contract.validity, *_finite_amounts(contract, mart))
         self.keys = self.looked_up = self.state = None
         if spec.key_buckets:
@@ -195,6 +205,8 @@ class Flow:
         accept_volume: bool = False,
         delivery: str | None = None,
         mode: str = runs.INCREMENTAL,
+        most_slices: int | None = None,
+        resume: bool = True,
     ) -> runs.RunRecord:
         """Process what is new, or rebuild from all of the source.
 
@@ -205,7 +217,14 @@ class Flow:
         ``delivery`` names a source that holds new files only.  The cursor does not bound
         it, so rows that arrive late count, and a name the ledger knows changes nothing.
         ``mode`` is what the ledger calls a run that is no full refresh.
+
+        A load in slices ends after ``most_slices`` of them, with the status ``staged``; the
+        next run (of a refresh: the next ``full_refresh``) goes on from there, as it does
+        after a load that broke off.  It begins anew without ``resume``, under other rules,
+        or if another run has come between, which may have met rows that arrived late.
         """
+        if most_slices is not None and most_slices < 1:
+            raise ValueError("most_slices must be at least 1")
         begun = time.perf_counter()
         at = datetime.now(timezone.utc).replace(microsecond=0).isoformat()
         spec, contract = self.spec, self.spec.contract
@@ -238,7 +257,18 @@ class Flow:
             )
         if state.delivered:
             return record(runs.NO_NEW_DATA, dimension=state.dimension, **unread, **nothing)
+        sliced = first and bool(spec.slice_rows) and delivery is None
+        if first and state.slices:
+            if not (sliced and resume and {s.rules for s in state.slices} == {self.rule_version}):
+                record(runs.DISCARDED, dimension=state.dimension, **unread, **nothing)
+                state = replace(state, last_run=state.last_run + 1, slices=())
         shown = self._store_dimension(state)
+        if sliced:
+            slices, stopped = self._load_slices(state, record, accept_volume, most_slices)
+            if stopped:
+                return stopped
+            if slices:  # else no row has a time, and the load is an ordinary one
+                return self._publish_slices(state, slices, shown, record)
         changed = None if first else self._changed_keys(state.dimension, shown)
         new = self._new_rows(state, cursor, bounded=delivery is None)
         counts = self._profile(new, cursor, placed=delivery is None and cursor is not None)
@@ -437,6 +467,99 @@ class Flow:
         mart = build_mart(rows, spec.mart_spec, spec.contract.key, dimension, reduced=True)
         return written(mart, self._scratch("mart"))
 
+    # -- loads in slices -------------------------------------------------------
+
+    def _load_slices(
+        self,
+        state: runs.LedgerState,
+        record: Callable[..., runs.RunRecord],
+        accept_volume: bool,
+        most: int | None,
+    ) -> tuple[list[runs.Slice], runs.RunRecord | None]:
+        """Write and check what is left of a load, slice by slice.
+
+        Returns all its slices, and the ledger's row of the last one if ``most`` ended the run.
+        """
+        spec, contract, epoch = self.spec, self.spec.contract, state.epoch + 1
+        slices, row = list(state.slices), None
+        if not slices:
+            self._retire(epoch)  # what a load that began anew left
+        source = parse_time(spec.source(self.spark), contract)
+        before = slices[-1].watermark_after if slices else None
+        held = sum(s.rows_read - s.rows_unreadable for s in slices)
+        ends = self._slice_ends(rows_after(source, before, contract.time), held)
+        for upto in ends[:most]:
+            seen = new = rows_after(source, before, contract.time, upto=upto)
+            if before is None:  # rows without a time, which no bound places, are of the first slice
+                time = F.col(contract.time)
+                new = source.filter((time <= time_literal(time_type(source, contract.time), upto)) | time.isNull())
+            counts = self._profile(new, None, placed=False)
+            counts.pop("high")
+            batch = len(slices) + 1
+            self._write_batch(seen, epoch, batch)
+            if spec.rejects:
+                self._write_rejects(new, upto, epoch, batch)
+            staged = publish.read_batch(self.spark, spec.clean, epoch, batch, contract)
+            size, results = self._audit(staged, accept_volume, ())
+            try:
+                gate(results)
+            except BatchRejected:
+                if state.open_epoch is not None:
+                    self._restore(state)
+                raise
+            done = dict(batch_id=batch, watermark_after=upto, rows_in_batch=size, rules=self.rule_version, **counts)
+            row = record(runs.STAGED, epoch=epoch, checks=results, **done)
+            slices.append(runs.Slice(**done))
+            before = upto
+        return slices, row if most is not None and len(ends) > most else None
+
+    def _slice_ends(self, rows: DataFrame, held: int) -> list[str]:
+        """The newest time of each slice of ``rows``, which ``held`` rows of the load precede.
+
+        The rows before a day say which slice it is of, so a load that is taken up again
+        is cut where it would have been.
+        """
+        time, kind = self.spec.contract.time, time_type(rows, self.spec.contract.time)
+        times = rows.select(F.col(time).alias("time")).filter("time IS NOT NULL")
+        days = times.groupBy(F.to_date("time").alias("day")).agg(
+            F.count(F.lit(1)).alias("n"), F.max("time").alias("newest")
+        )
+        earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)  # one row a calendar day
+        number = F.floor((F.coalesce(F.sum("n").over(earlier), F.lit(0)) + held) / self.spec.slice_rows)
+        ends = days.select(number.alias("slice"), "newest").groupBy("slice").agg(
+            time_text(kind, F.max("newest")).alias("upto")
+        )
+        return [r["upto"] for r in ends.orderBy("slice").collect()]
+
+    def _publish_slices(
+        self,
+        state: runs.LedgerState,
+        slices: list[runs.Slice],
+        shown: int | None,
+        record: Callable[..., runs.RunRecord],
+    ) -> runs.RunRecord:
+        """Make the slices of a finished load count, as one batch would, and the mart what they say."""
+        contract, epoch, batch = self.spec.contract, state.epoch + 1, slices[-1].batch_id
+        versions = self._batches(epoch, batch).drop(publish.BATCH)
+        for table in self._sides():
+            table.retire(epoch)  # what an attempt that broke off here left
+        sides = self._write_sides(versions, state, epoch, batch, first=True)
+        counts = ("rows_read", "rows_rejected", "rows_unreadable", "rows_in_batch")
+        facts = dict(
+            epoch=epoch, batch_id=batch, watermark_after=slices[-1].watermark_after, dimension=shown,
+            sides=[table.name for table in sides], **{c: sum(getattr(s, c) for s in slices) for c in counts},
+        )
+        record(runs.PUBLISHING, **facts)
+        self._replace(latest_per_key(versions, contract.key, contract.time, contract.ties), None, shown)
+        checks = [
+            CheckResult(r["name"], r["passed"], f"in {r['slices']} slices")
+            for r in runs.slice_checks(self.ledger(), epoch, state.last_run + 1).collect()
+        ]
+        done = record(runs.SUCCESS, checks=checks, **facts)
+        if state.epoch:
+            self._retire(state.epoch)
+        return done
+
     # -- side tables -----------------------------------------------------------
 
     def _sides(self) -> list:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +43,12 @@ COMPACTED = "compacted"
 #: Days were made again because the looked-up dimension had changed; no batch came in.
 DIMENSION_CHANGED = "dimension_changed"
 
+#: A slice of a first load or refresh has been written.  It counts once the load's last row is in.
+STAGED = "staged"
+
+#: The slices of a load that broke off count no more; the load begins anew.
+DISCARDED = "discarded"
+
 #: The mart is again what it was before a run that broke off while it replaced days.
 RESTORED = "restored"
 
@@ -72,6 +78,7 @@ LEDGER_SCHEMA = StructType(
         StructField("delivery", StringType()),
         StructField("dimension", LongType()),
         StructField("sides", ArrayType(StringType())),
+        StructField("rules", StringType()),
         StructField("checks", ArrayType(CHECK_TYPE)),
     ]
 )
@@ -99,15 +106,31 @@ class RunRecord:
     dimension: int | None = None
     #: Side tables that hold this batch.
     sides: Sequence[str] = ()
+    #: The version of the rules by which a slice was written.
+    rules: str | None = None
     checks: Sequence[CheckResult] = ()
 
 
+@dataclass(frozen=True)
+class Slice:
+    """What a written slice of a load holds; ``watermark_after`` is its newest time."""
+
+    batch_id: int
+    watermark_after: str
+    rows_read: int
+    rows_rejected: int
+    rows_unreadable: int
+    rows_in_batch: int
+    rules: str
+
+
 @dataclass(frozen=True)
 class LedgerState:
     """Where the next run starts.  ``epoch`` is 0 before the first successful run.
 
     ``open_epoch`` and ``open_batch`` name a batch whose run broke off after it had begun
     to replace mart days.  ``volumes`` are the batch sizes of the epoch, oldest first.
+    ``slices`` are those of a load that is not finished, oldest first.
     """
 
     epoch: int = 0
@@ -123,6 +146,7 @@ class LedgerState:
     open_dimension: int | None = None
     #: Side tables that hold every batch of the epoch.
     sides: frozenset[str] = frozenset()
+    slices: tuple[Slice, ...] = ()
 
     @property
     def refresh_broke_off(self) -> bool:
@@ -166,10 +190,20 @@ def volume_history(runs: DataFrame, lookback: int | None = None) -> DataFrame:
 
 def last_run(runs: DataFrame) -> DataFrame:
     """The newest finished run; no row before the first."""
-    own = F.col("status").isin(PUBLISHING, COMPACTED, RESTORED)
+    own = F.col("status").isin(PUBLISHING, COMPACTED, RESTORED, STAGED, DISCARDED)
     return runs.filter(~own).orderBy(F.desc("run_seq")).limit(1)
 
 
+def slice_checks(runs: DataFrame, epoch: int, run_seq: int) -> DataFrame:
+    """Check names of a load's slices, whether all passed, and in how many slices, in order."""
+    own = runs.filter((F.col("status") == STAGED) & (F.col("epoch") == epoch) & (F.col("run_seq") == run_seq))
+    each = own.select(F.posexplode("checks").alias("place", "c"))
+    found = each.groupBy(F.col("c.name").alias("name")).agg(
+        F.bool_and("c.passed").alias("passed"), F.count(F.lit(1)).alias("slices"), F.min("place").alias("place")
+    )
+    return found.orderBy("place")
+
+
 def ledger_state(runs: DataFrame, delivery: str | None = None) -> LedgerState:
     """The ledger reduced to one row, with one number for each successful run."""
     confirmed = F.col("status").isin(SUCCESS, COMPACTED)
@@ -177,7 +211,9 @@ def ledger_state(runs: DataFrame, delivery: str | None = None) -> LedgerState:
     begun = F.when(F.col("status") == PUBLISHING, F.struct("run_seq", "epoch", "batch_id", "dimension"))
     rebuilt = F.max(F.when(_succeeded() & (F.col("mode") == FULL_REFRESH), F.col("run_seq")))
     size = F.when(_succeeded() & (F.col("mode") != REPLAY), F.struct("run_seq", "rows_in_batch"))
-    finished = F.col("status") != PUBLISHING
+    finished = ~F.col("status").isin(PUBLISHING, STAGED)
+    parts = [field.name for field in fields(Slice)]
+    staged = F.when(F.col("status") == STAGED, F.struct("run_seq", "epoch", F.struct(*parts).alias("slice")))
     row = runs.agg(
         F.max(pair).alias("newest"),
         F.max(F.when(finished, F.col("run_seq"))).alias("last_run"),
@@ -185,12 +221,17 @@ def ledger_state(runs: DataFrame, delivery: str | None = None) -> LedgerState:
         F.max(F.when(finished, F.struct("run_seq", "dimension"))).alias("shown"),
         F.collect_list(F.when(confirmed, F.struct("epoch", "sides"))).alias("sides"),
         F.sort_array(F.collect_list(size)).alias("sizes"),
+        F.collect_list(staged).alias("staged"),
         rebuilt.alias("rebuilt"),
         F.bool_or(finished & (F.col("delivery") == F.lit(delivery))).alias("delivered"),
     ).first()
     newest, begun, last = row["newest"], row["begun"], row["last_run"] or 0
     epoch = newest["epoch"] if newest else 0
     sides = [frozenset(s["sides"] or ()) for s in row["sides"] if s["epoch"] == epoch]
+    # Slices are of use as long as no other run has come between.
+    slices = [
+        Slice(**s["slice"].asDict()) for s in row["staged"] if (s["run_seq"], s["epoch"]) == (last + 1, epoch + 1)
+    ]
     still_open = begun is not None and (begun["run_seq"] > last or begun["epoch"] > epoch)
     return LedgerState(
         epoch=epoch,
@@ -206,4 +247,5 @@ def ledger_state(runs: DataFrame, delivery: str | None = None) -> LedgerState:
         dimension=row["shown"]["dimension"] if row["shown"] else None,
         open_dimension=begun["dimension"] if still_open else None,
         sides=frozenset.intersection(*sides) if sides else frozenset(),
+        slices=tuple(sorted(slices, key=lambda s: s.batch_id)),
     )

@@ -412,5 +412,28 @@ SELECT DISTINCT order_date FROM valid WHERE customer_id IN (
   UNION SELECT customer_id FROM (SELECT * FROM later EXCEPT SELECT * FROM earlier))""",
     "delta_mart": f"WITH {LINES} {MONTHLY}",
     "replayed_rejects": f"WITH {ORDERS} {DAILY}",
+    "resumed_load": f"WITH {LINES} {MONTHLY}",
+    "load_slices": f"""
+WITH {ORDERS}, days AS (SELECT order_date, count(*) AS n FROM parsed GROUP BY order_date),
+starts AS (SELECT order_date, coalesce(sum(n) OVER (ORDER BY order_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier FROM days),
+numbered AS (
+  SELECT order_date, dense_rank() OVER (ORDER BY earlier // greatest(1, (SELECT count(*) FROM raw) // 5)) AS batch_id
+  FROM starts),
+kept AS (
+  SELECT batch_id, count(DISTINCT order_id) AS rows_in_batch FROM valid JOIN numbered USING (order_date) GROUP BY batch_id),
+slices AS (
+  SELECT batch_id, count(*) AS rows_read, count_if(valid.order_id IS NULL) AS rows_rejected, max(parsed.order_ts) AS newest
+  FROM parsed JOIN numbered USING (order_date) LEFT JOIN (SELECT DISTINCT order_id, order_ts FROM valid) AS valid
+    ON valid.order_id = parsed.order_id AND valid.order_ts = parsed.order_ts
+  GROUP BY batch_id),
+both_kinds AS (
+  SELECT 'staged' AS status, batch_id, rows_read, rows_rejected, rows_in_batch, newest FROM slices JOIN kept USING (batch_id)
+  UNION ALL
+  SELECT 'success', max(batch_id), sum(rows_read), sum(rows_rejected), sum(rows_in_batch), max(newest)
+  FROM slices JOIN kept USING (batch_id))
+SELECT status, CAST(batch_id AS BIGINT) AS batch_id, CAST(rows_read AS BIGINT) AS rows_read,
+       CAST(rows_rejected AS BIGINT) AS rows_rejected, CAST(rows_in_batch AS BIGINT) AS rows_in_batch,
+       CAST(newest AS VARCHAR) AS watermark_after, (SELECT count(*) FROM slices) AS slices
+FROM both_kinds""",
 }
 EXPECTED["indexed_days"] = EXPECTED["affected_days"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martflow.functions import rounded
@@ -636,6 +636,36 @@ def replayed_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return flow.mart()
 
 
+def _sliced(spark: SparkSession, folder: str, source, **spec) -> Flow:
+    """A first load in about five slices that ends after two, and a second run that goes on."""
+    root = scratch_folder(spark)
+    flow = Flow(spark, FlowSpec(
+        source=lambda s: source(s, folder), slice_rows=max(1, source(spark, folder).count() // 5),
+        clean=f"{root}/clean", mart=f"{root}/mart", ledger=f"{root}/ledger", **spec,
+    ))
+    flow.run(most_slices=2)
+    flow.run()
+    return flow
+
+
+def resumed_load(spark: SparkSession, folder: str) -> DataFrame:
+    """The monthly mart after a load in slices; versions of a line lie in different ones."""
+    checks = CheckPlan(not_null=LINES.key, unique=(LINES.key,), non_negative=("l_quantity",))
+    return _sliced(spark, folder, lines, contract=LINES, mart_spec=MONTHLY_FLAG_MART, checks=checks).mart()
+
+
+def load_slices(spark: SparkSession, folder: str) -> DataFrame:
+    """What the ledger says of such a load's slices, and of all of it."""
+    flow = _sliced(
+        spark, folder, event_orders, dimension=lambda s: customers(s, folder),
+        contract=EVENT_ORDERS, mart_spec=DAILY_CATEGORY_MART, checks=RETAIL_CHECKS,
+    )
+    return flow.ledger().filter("status IN ('staged', 'success')").select(
+        "status", "batch_id", "rows_read", "rows_rejected", "rows_in_batch", "watermark_after",
+        F.count_if(F.col("status") == "staged").over(Window.partitionBy("run_seq")).alias("slices"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "daily_mart": daily_mart,
     "scan_contract": scan_contract,
@@ -693,4 +723,6 @@ QUERIES: dict[str, Query] = {
     "indexed_days": indexed_days,
     "delta_mart": delta_mart,
     "replayed_rejects": replayed_rejects,
+    "resumed_load": resumed_load,
+    "load_slices": load_slices,
 }
