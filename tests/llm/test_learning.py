@@ -1,5 +1,7 @@
 """Held-out accuracy of the trained models, and what awkward rows get."""
 
+import dataclasses
+
 import numpy as np
 from corpus_tables import MEDIUM, awkward, empty, rows
 from pyspark.sql import functions as F
@@ -79,6 +81,62 @@ def test_the_risk_is_held_at_zero():
     assert np.mean((scores > 0.5) == (np.arange(1000) < 600)) > 0.95
 
 
+def risk(model, good, mixed):
+    """The non-negative risk with its ridge, term by term."""
+    g = lambda rows: (rows - model.mean) / model.spread @ model.weights + model.offset
+    loss = lambda z: np.mean((1 - z) ** 2) / 4
+    bad = loss(-g(mixed)) - model.prior * loss(-g(good))
+    return model.prior * loss(g(good)) + max(0, bad) + quality.RIDGE / 4 * np.sum(model.weights**2)
+
+
+def test_the_fit_minimises_the_non_negative_risk():
+    random = np.random.default_rng(5)
+    for prior in (0.2, 0.6, 0.9):  # where the held part is free, at zero or held, by turns
+        good = random.normal(0.7, 1, (60, 8))
+        mixed = np.concatenate([random.normal(0.7, 1, (70, 8)), random.normal(-0.7, 1, (50, 8))])
+        model = quality.fit_positive_unlabelled(good, mixed, prior)
+        least = risk(model, good, mixed)
+        for size in (0.3, 0.03, 0.003):
+            for _ in range(200):
+                moved = dataclasses.replace(
+                    model, weights=model.weights + random.normal(0, size, 8), offset=model.offset + random.normal(0, size)
+                )
+                assert risk(moved, good, mixed) >= least - 1e-9
+
+
+def test_the_prior_is_estimated_without_negative_labels(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
+    model = quality.train(docs, labels)
+    known = [q for _, q in rows(MEDIUM, "SELECT doc_id, quality FROM labels WHERE quality IS NOT NULL")]
+    assert abs(model.prior - np.mean(np.array(known) == 1)) < 0.1
+    alone = quality.train(docs, labels.filter("quality = 1"))
+    assert np.allclose(alone.weights, model.weights) and np.isclose(alone.prior, model.prior)
+
+
+def test_every_row_takes_part_in_the_fit(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").repartition(5)
+    model = quality.train(docs, spark.read.parquet(f"{MEDIUM}/labels.parquet"))
+    good = {k for k, least in rows(MEDIUM, "SELECT doc_id, min(quality) FROM labels GROUP BY doc_id") if least == 1}
+    texts = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
+    mixed = np.stack([quality.features(t) for _, t in texts]).astype(np.float64)
+    trusted = mixed[[k in good for k, _ in texts]]
+    plain = quality.fit_positive_unlabelled(trusted, mixed, model.prior)
+    assert np.allclose(plain.mean, model.mean) and np.allclose(plain.spread, model.spread)
+    found = {r["doc_id"]: r["score"] for r in quality.score_documents(docs, model).collect()}
+    assert np.allclose([found[k] for k, _ in texts], plain.scores(mixed), atol=1e-6)
+
+
+def test_the_prior_of_known_mixtures():
+    random = np.random.default_rng(9)
+    for share in (0.1, 0.5, 0.9):
+        good = random.normal(1, 1, 20000)
+        mixed = np.concatenate([random.normal(1, 1, int(20000 * share)), random.normal(-4, 1, int(20000 * (1 - share)))])
+        seen = [np.histogram(x, 4000, (-9, 9))[0] for x in (good, mixed)]
+        assert abs(quality.share_of_good(*seen) - share) < 0.03
+    assert quality.share_of_good(np.zeros(4), np.ones(4)) == 0.5
+
+
 def test_quality_of_awkward_rows(spark):
     docs = awkward(spark)
     labels = spark.createDataFrame(
