@@ -22,6 +22,7 @@ from .checks import (
     gate,
     reference_check,
     running_baseline,
+    scan_counts,
     volume_check,
     volume_verdict,
 )
@@ -68,6 +69,7 @@ __all__ = [
     "rows_after",
     "rows_on_days",
     "running_baseline",
+    "scan_counts",
     "touched_days",
     "valid_rows",
     "volume_check",

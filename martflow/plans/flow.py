@@ -3,8 +3,9 @@
 Order of a run, and why a run that breaks off anywhere can be repeated:
 
 1. One pass over the new source rows finds the next cursor and the counts.
-2. Valid, deduplicated rows go to the batch's own folder.  Nothing reads it yet.
-3. The checks read that folder; a failure stops here.
+2. Valid, deduplicated rows go to the batch's own folder, and what the checks count row by
+   row is counted on the way.  Nothing reads the folder yet.
+3. The other checks read that folder; a failure of any stops here.
 4. A ledger row says that the mart is about to change.  The affected days are computed
    into a scratch table, then replaced.
 5. One more ledger row is appended.  Only now does the batch count.
@@ -59,6 +60,7 @@ from ..operators import (
     parse_time,
     rejected_rows,
     rows_after,
+    scan_counts,
     touched_days,
     valid_rows,
 )
@@ -287,12 +289,12 @@ class Flow:
         batch = 1 if first else state.last_batch + 1
         # A source that grows while the run reads it must not change the batch.
         seen = rows_after(new, None, contract.time, upto=high) if high else new.limit(0)
-        self._write_batch(seen, epoch, batch)
+        measured = self._write_batch(seen, epoch, batch)
         if spec.rejects:
             self._write_rejects(new, high, epoch, batch)
         staged = publish.read_batch(self.spark, spec.clean, epoch, batch, contract)
 
-        size, results = self._audit(staged, accept_volume, () if first else state.volumes)
+        size, results = self._audit(staged, measured, accept_volume, () if first else state.volumes)
         try:
             gate(results)
         except BatchRejected:
@@ -496,11 +498,11 @@ class Flow:
             counts = self._profile(new, None, placed=False)
             counts.pop("high")
             batch = len(slices) + 1
-            self._write_batch(seen, epoch, batch)
+            measured = self._write_batch(seen, epoch, batch)
             if spec.rejects:
                 self._write_rejects(new, upto, epoch, batch)
             staged = publish.read_batch(self.spark, spec.clean, epoch, batch, contract)
-            size, results = self._audit(staged, accept_volume, ())
+            size, results = self._audit(staged, measured, accept_volume, ())
             try:
                 gate(results)
             except BatchRejected:
@@ -645,11 +647,14 @@ class Flow:
             high_mark(new, contract.time, cursor).alias("high"),
         ).first().asDict()
 
-    def _write_batch(self, batch_rows: DataFrame, epoch: int, batch: int) -> None:
+    def _write_batch(self, batch_rows: DataFrame, epoch: int, batch: int) -> dict[str, int]:
+        """Write a batch; returns what its checks count row by row, counted on the way."""
         contract = self.spec.contract
         valid = valid_rows(batch_rows, self.rules).select(*contract.clean_schema.names)
         clean = latest_per_key(valid, contract.key, contract.time, contract.ties)
-        publish.write_batch(clean, self.spec.clean, epoch, batch, contract)
+        return publish.write_batch(
+            clean, self.spec.clean, epoch, batch, contract, scan_counts(self.spec.checks)
+        )
 
     def _write_rejects(self, new: DataFrame, high: str | None, epoch: int, batch: int) -> None:
         contract = self.spec.contract
@@ -662,13 +667,13 @@ class Flow:
         )
 
     def _audit(
-        self, staged: DataFrame, accept_volume: bool, volumes: tuple[int, ...]
+        self, staged: DataFrame, measured: dict[str, int], accept_volume: bool, volumes: tuple[int, ...]
     ) -> tuple[int, list[CheckResult]]:
         plan = self.spec.checks
         recent = volumes[-plan.history_lookback :] if plan.history_lookback else volumes
         earlier = (len(recent), median(recent) if recent else None)
         dimension = self.spec.dimension(self.spark) if plan.reference else None
-        row = audit(staged, plan, earlier, dimension).first()
+        row = audit(staged, plan, earlier, dimension, measured).first()
         results = [CheckResult(**c.asDict()) for c in row["checks"]]
         if accept_volume:
             results = [

@@ -5,10 +5,10 @@ The overwrite mode is set per write, never on the session.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
@@ -20,32 +20,47 @@ RULE_VERSION = "rule_version"
 DAYS_AT_ONCE = 8
 
 
-def _laid_out(df: DataFrame, day: str, sort: Sequence[str]) -> DataFrame:
-    """Rows of a day together, in files of the advisory size.
+def _rebalanced(df: DataFrame, day: str) -> DataFrame:
+    """Rows of a day together, in partitions of the advisory size.
 
     Rebalancing, unlike ``repartition(day)``, lets adaptive execution split a day
     that dwarfs the others over several tasks and merge the small ones.
     """
-    return df.hint("rebalance", F.col(day)).sortWithinPartitions(day, *sort)
+    return df.hint("rebalance", F.col(day))
 
 
 def epoch_folder(root: str, epoch: int) -> str:
     return f"{root}/{EPOCH}={epoch}"
 
 
-def write_batch(df: DataFrame, root: str, epoch: int, batch: int, contract: Contract) -> None:
+def write_batch(
+    df: DataFrame,
+    root: str,
+    epoch: int,
+    batch: int,
+    contract: Contract,
+    metrics: Mapping[str, Column] | None = None,
+) -> dict[str, int]:
     """Write a batch into a folder of its own, beside the earlier ones.
 
     Batch numbers count successes, so a repeated run writes the same folder and
     replaces all that the first attempt left in it.
+
+    Returns ``metrics``, aggregates over the written rows, observed in the writing tasks.
+    They stand behind the last shuffle: Spark counts a task of a job's last stage once,
+    however often it is run, but those of earlier stages again when their output is lost.
     """
+    rows, observed = _rebalanced(df, contract.day), Observation()
+    if metrics:
+        rows = rows.observe(observed, *(found.alias(name) for name, found in metrics.items()))
     (
-        _laid_out(df, contract.day, contract.key)
+        rows.sortWithinPartitions(contract.day, *contract.key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(contract.day)
         .parquet(f"{epoch_folder(root, epoch)}/{BATCH}={batch}")
     )
+    return dict(observed.get) if metrics else {}
 
 
 def read_batches(
@@ -113,7 +128,8 @@ def replace_days(
         filled = {row[day] for row in touched_days(fresh, day).collect()}  # one a calendar day
         emptied = [value for value in dict.fromkeys(days) if value not in filled]
     (
-        _laid_out(fresh, day, [c for c in sort if c != day])
+        _rebalanced(fresh, day)
+        .sortWithinPartitions(day, *(c for c in sort if c != day))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy(day)

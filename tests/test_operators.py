@@ -34,6 +34,7 @@ from martflow.operators import (
     rejected_rows,
     rows_after,
     rows_on_days,
+    scan_counts,
     touched_days,
     valid_rows,
     volume_check,
@@ -387,6 +388,30 @@ def test_the_gate_names_every_failure():
     assert "b!" in str(caught.value) and "c!" in str(caught.value)
 
 
+@pytest.mark.parametrize("rows", [
+    [],
+    [(None, 1), (None, 1), (None, None)],
+    [("a", 1), ("a", 1), ("a", 2), ("b", 1), (None, 1)],
+])
+def test_repeated_rows_are_counted_in_one_pass(spark, rows):
+    df = spark.createDataFrame(rows, "_n string, m int")
+    found = {c.name: c.detail for c in collect_results(column_checks(df, unique=("_n", ("_n", "m"))))}
+    assert found == {
+        "unique[_n]": f"{len(rows) - len({r[0] for r in rows})} repeated row(s)",
+        "unique[_n,m]": f"{len(rows) - len(set(rows))} repeated row(s)",
+    }
+
+
+def test_the_audit_does_not_count_again_what_a_write_has_counted(spark):
+    batch = spark.createDataFrame([("A", -1.0), ("A", 2.0), (None, None)], "order_id string, unit_price double")
+    plan = CheckPlan(not_null=("order_id",), unique=("order_id",), non_negative=("unit_price",))
+    measured = batch.agg(*(found.alias(name) for name, found in scan_counts(plan).items())).first().asDict()
+    assert measured == {"rows": 3, "not_null[order_id]": 1, "non_negative[unit_price]": 1}
+    assert audit(batch, plan, (0, None), measured=measured).first() == audit(batch, plan, (0, None)).first()
+    other = audit(batch, plan, (0, None), measured=measured | {"rows": 7, "not_null[order_id]": 0}).first()
+    assert other["rows"] == 7 and other["checks"][0]["passed"]
+
+
 def test_the_audit_gives_all_checks_in_one_row(spark):
     batch = spark.createDataFrame([("A", "c1", 1.0), ("B", "c9", -1.0)], "order_id string, customer_id string, unit_price double")
     dims = spark.createDataFrame([("c1",), ("c1",)], "customer_id string")

@@ -10,6 +10,7 @@ from martflow.operators import (
     DAILY_CATEGORY_MART,
     affected_days,
     build_mart,
+    column_checks,
     current_rows,
     latest_per_key,
     lookup,
@@ -152,6 +153,20 @@ def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
     assert publish.read_batches(spark, str(tmp_path / "clean"), 1, 1, EVENT_ORDERS).count() == 60_000
 
 
+def test_a_write_counts_its_rows_behind_the_last_shuffle(spark, tmp_path):
+    counts = {"rows": F.count(F.lit(1)), "none": F.count_if(F.col("order_id").isNull())}
+    rows = hot_orders(spark)
+    wanted = (str(tmp_path / "clean"), 1, 1, EVENT_ORDERS)
+    with tiny_partitions(spark):
+        assert publish.write_batch(rows, *wanted, counts) == {"rows": rows.count(), "none": 0}
+        assert publish.write_batch(rows.limit(0), *wanted, counts) == {"rows": 0, "none": 0}
+
+
+def test_a_uniqueness_check_is_one_scan_and_one_shuffle_of_its_column(spark):
+    shown = plan(column_checks(hot_orders(spark), unique=("order_id",)))
+    assert shown.count("hashpartitioning") == 1 and shown.count("Scan") <= 2  # the data, and one made-up row
+
+
 def test_a_rebuild_reads_no_partition_before_its_first_day(spark, tmp_path):
     publish.write_batch(hot_orders(spark), str(tmp_path / "clean"), 1, 1, EVENT_ORDERS)
     history = publish.read_batches(spark, str(tmp_path / "clean"), 1, 1, EVENT_ORDERS).drop("batch_id")
