@@ -198,3 +198,21 @@ def test_composite_keys_keep_every_version_apart(spark):
     rows = lines(spark, FOLDER)
     latest = latest_per_key(rows, LINES.key, LINES.time, LINES.tiebreak)
     assert latest.count() == rows.select(*LINES.key).distinct().count()
+
+
+def test_brand_mart_meets_orders_in_bounded_tasks(spark, tmp_path, monkeypatch):
+    from workloads import queries
+
+    spark.sql(
+        "SELECT id DIV 3 AS l_orderkey, id % 50 AS l_partkey, 1.0D AS l_quantity, id / 4 AS l_extendedprice FROM range(3000)"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql(
+        "SELECT id AS o_orderkey, id % 90 AS o_custkey, timestamp_ntz'2024-01-01' + make_dt_interval(CAST(id % 9 AS INT)) AS o_orderdate FROM range(1000)"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT id AS p_partkey, concat('brand ', id % 4) AS p_brand FROM range(50)").write.parquet(f"{tmp_path}/part.parquet")
+    few = sorted(queries.brand_mart(spark, str(tmp_path)).collect())
+    monkeypatch.setattr(queries, "LINES_AT_ONCE", 300)
+    mart = queries.brand_mart(spark, str(tmp_path))
+    assert sorted(mart.collect()) == few and len(few) == 36
+    plan = mart._jdf.queryExecution().toString()
+    assert "hashpartitioning(l_orderkey" in plan and ", 10), REPARTITION_BY_NUM" in plan
