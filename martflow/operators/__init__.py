@@ -27,7 +27,7 @@ from .checks import (
     volume_verdict,
 )
 from .cursor import batch_high, high_mark, not_known, rows_after
-from .days import affected_days, current_rows, rows_on_days, touched_days
+from .days import affected_days, current_rows, days_of_some_keys, rows_on_days, touched_days
 from .dimension import days_of_keys, dimension_changes
 from .latest import latest_per_key
 from .lookup import lookup, one_row_per_key, orphan_keys
@@ -54,6 +54,7 @@ __all__ = [
     "column_checks",
     "current_rows",
     "days_of_keys",
+    "days_of_some_keys",
     "dimension_changes",
     "gate",
     "high_mark",

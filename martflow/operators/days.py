@@ -9,6 +9,8 @@ from ..functions import free_names
 from ..sources import Contract
 from .latest import latest_per_key
 
+KEYS_APART = 256
+
 
 def touched_days(batch: DataFrame, day: str) -> DataFrame:
     """Distinct days of a batch, kept as a frame."""
@@ -45,8 +47,19 @@ def affected_days(batch: DataFrame, history: DataFrame, contract: Contract) -> D
     return batch.select(contract.day).union(moved.select(contract.day)).distinct()
 
 
+def days_of_some_keys(batch: DataFrame, history: DataFrame, contract: Contract) -> list:
+    """Affected days that need no large join: the batch's own, and those of every 256th of its keys.
+
+    Where a batch is wide these are nearly all, and the join for the rest leaves the history's
+    rows on them out.  One value a calendar day comes to the driver.
+    """
+    some = batch.filter(F.pmod(F.xxhash64(*contract.key), F.lit(KEYS_APART)) == 0)
+    days = touched_days(batch, contract.day).union(affected_days(some, history, contract))
+    return [row[0] for row in days.distinct().collect()]
+
+
 def current_rows(
-    history: DataFrame, days: DataFrame, first_day, contract: Contract
+    history: DataFrame, days: DataFrame, first_day, contract: Contract, complete: bool = False
 ) -> DataFrame:
     """The newest version of each key, for the keys whose newest version is on ``days``.
 
@@ -59,10 +72,15 @@ def current_rows(
     matter there, so these days are joined with those keys first: a lookup in the map
     tasks where the keys are few, by measured size, and no aggregate of other keys in any
     case.  They contribute keys and partition values only.
+
+    ``complete`` states that ``days`` has every day of ``history`` from ``first_day`` on, so
+    that there is nothing to look for elsewhere.
     """
     key, day = [*contract.key], contract.day
     (later,) = free_names(history.columns, "_later")
     recent = history.filter(F.col(day) >= F.lit(first_day))
+    if complete:
+        return latest_per_key(recent, key, contract.time, contract.ties).select(*history.columns)
     listed = days.filter(F.col(day) >= F.lit(first_day)).select(day)
 
     on_days = recent.join(listed, day, "left_semi")

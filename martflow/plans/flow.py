@@ -50,6 +50,7 @@ from ..operators import (
     build_mart,
     current_rows,
     days_of_keys,
+    days_of_some_keys,
     dimension_changes,
     gate,
     high_mark,
@@ -699,7 +700,10 @@ class Flow:
             )
             days = touched_days(staged, contract.day).union(moved)
         else:
-            days = affected_days(staged, self._batches(state.epoch, state.last_batch), contract)
+            history = self._batches(state.epoch, state.last_batch)
+            known = days_of_some_keys(staged, history, contract)
+            others = history.filter(~F.col(contract.day).isin(known))
+            days = self._as_days(known).union(affected_days(staged, others, contract))
         dated = self._days_shown(changed, state, last)
         if dated is not None:
             days = days.union(dated)
@@ -710,9 +714,17 @@ class Flow:
         contract = self.spec.contract
         values = [row[0] for row in days.select(contract.day).collect()]  # one a calendar day
         if values:  # else no valid row in the batch
-            rows = current_rows(versions.drop(publish.BATCH), days, min(values), contract)
+            recent = versions.filter(F.col(contract.day) >= F.lit(min(values)))
+            there = {row[0] for row in touched_days(recent, contract.day).collect()}  # one a calendar day
+            rows = current_rows(
+                versions.drop(publish.BATCH), days, min(values), contract, complete=there <= set(values)
+            )
             self._replace(rows, values, shown)
 
+    def _as_days(self, values: list) -> DataFrame:
+        day = self.spec.contract.day
+        return self.spark.createDataFrame([(v,) for v in values], StructType([self.spec.contract.clean_schema[day]]))
+
     def _replace(self, rows: DataFrame, days: list | None, shown: int | None) -> None:
         spec = self.spec
         publish.replace_days(

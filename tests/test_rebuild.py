@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from martflow.operators import DAILY_CATEGORY_MART, CheckPlan, affected_days, current_rows
+from martflow.operators import DAILY_CATEGORY_MART, CheckPlan, affected_days, current_rows, days_of_some_keys
 from martflow.plans import Flow, FlowSpec, written
 from workloads.tables import EVENT_ORDERS
 
@@ -74,6 +74,30 @@ def test_affected_days(spark, seed):
     assert {r[0] for r in affected_days(*frames, EVENT_ORDERS).collect()} == expected
 
 
+@pytest.mark.parametrize("apart", (1, 3, 256))
+def test_days_of_some_keys_are_affected_days(spark, monkeypatch, apart):
+    monkeypatch.setattr("martflow.operators.days.KEYS_APART", apart)
+    rows = versions(5)
+    history, batch = (spark.createDataFrame(part, SCHEMA) for part in (rows[:90], rows[90:]))
+    every = {r[0] for r in affected_days(batch, history, EVENT_ORDERS).collect()}
+    some = set(days_of_some_keys(batch, history, EVENT_ORDERS))
+    assert {r[6] for r in rows[90:]} <= some <= every
+    assert apart > 1 or some == every
+
+
+def test_a_rebuild_of_all_days_looks_nowhere_else(spark, tmp_path):
+    rows = [r for r in versions(6) if r[4] > 0]
+    history = spark.createDataFrame(rows, SCHEMA)
+    listed = sorted({r[6] for r in rows})[2:]
+    days = written(spark.createDataFrame([(d,) for d in listed], "order_date date"), str(tmp_path / "days"))
+    plans = []
+    for complete in (False, True):
+        got = current_rows(history, days, listed[0], EVENT_ORDERS, complete)
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(repr(r) for r in newest(rows) if r[6] in listed)
+        plans.append(got._jdf.queryExecution().optimizedPlan().toString())
+    assert "Join" in plans[0] and "Join" not in plans[1]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_any_batches_give_the_mart_of_one_full_run(spark, tmp_path, seed):
     rows = versions(seed)
