@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship_package, unit_hash, utf8
+from .common import map_batches, release_memory, ship_package, unit_hash, utf8
 
 UNKNOWN = "und"
 DIMENSIONS = 1 << 12
@@ -56,10 +56,14 @@ def ngram_counts(text: bytes) -> np.ndarray:
 
 
 def unit_vectors(texts: list[bytes], idf: np.ndarray) -> np.ndarray:
-    rows = np.stack([ngram_counts(t) for t in texts]).astype(np.float32)
-    rows = np.log1p(rows) * idf
+    rows = np.empty((len(texts), DIMENSIONS), np.float32)
+    for row, text in zip(rows, texts):
+        row[:] = ngram_counts(text)
+    np.log1p(rows, out=rows)  # in place: the rows of a k-means are many
+    rows *= idf
     norm = np.linalg.norm(rows, axis=1, keepdims=True)
-    return rows / np.where(norm > 0, norm, 1)
+    rows /= np.where(norm > 0, norm, 1)
+    return rows
 
 
 def spherical_kmeans(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -141,7 +145,8 @@ def _document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
             [slots, pa.array(np.concatenate([[rows], seen]), pa.int64())], ["slot", "rows"]
         )
 
-    summed = texts.mapInArrow(counted, "slot int, rows long").groupBy("slot").agg(F.sum("rows").alias("rows"))
+    counts = map_batches(texts, counted, "slot int, rows long")
+    summed = counts.groupBy("slot").agg(F.sum("rows").alias("rows"))
     found = {row["slot"]: row["rows"] for row in summed.collect()}  # one row per slot
     return found.get(-1, 0), np.array([found.get(s, 0) for s in range(DIMENSIONS)], np.float64)
 
@@ -179,6 +184,7 @@ def train(
         texts = [bytes(t) for t in group["text"]]
         centres = spherical_kmeans(unit_vectors(texts, idf), centroids).astype(np.float32)
         reach = reaches(texts, centres, idf)
+        release_memory()
         return pd.DataFrame({
             "lang": group["lang"].iloc[0],
             "part": range(len(centres)),
@@ -220,13 +226,15 @@ def language_column(spark: SparkSession, model: LanguageModel | None, text: Colu
 
     @F.arrow_udf("struct<lang_pred: string, score: double, rejected: boolean>")
     def language(column: pa.Array) -> pa.Array:
-        known, texts = shared.value, column.to_pylist()
-        langs, scores, out = [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
-        readable = [k for k, t in enumerate(texts) if t is not None and known is not None]
+        known, rows = shared.value, len(column)
+        langs, scores, out = [UNKNOWN] * rows, [0.0] * rows, [True] * rows
+        readable = np.flatnonzero(column.is_valid()) if known is not None else np.empty(0, np.int64)
         for at in range(0, len(readable), ROWS_AT_ONCE):
             some = readable[at : at + ROWS_AT_ONCE]
-            for k, best, cosine, beyond in zip(some, *known.nearest([texts[k] for k in some])):
+            texts = column.take(pa.array(some)).to_pylist()
+            for k, best, cosine, beyond in zip(some.tolist(), *known.nearest(texts)):
                 langs[k], scores[k], out[k] = known.languages[best], float(cosine), bool(beyond)
+        release_memory()
         return pa.StructArray.from_arrays(
             [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(out, pa.bool_())],
             ["lang_pred", "score", "rejected"],

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.scratch import scratch_folder, written
-from .common import free_names, shuffle_partitions, ship_package
+from .common import free_names, release_memory, shuffle_partitions, ship_package
 
 MIN_WORDS = 50
 WORD = r"[^\x20\x09-\x0D]+"
@@ -97,6 +97,7 @@ def _shortest_runs(min_words: int):
                 starts = np.searchsorted(total, total[1:] - min_words, side="right") - 1
                 own.update((first + int(g), b + 1 - int(g)) for b, g in enumerate(starts) if g >= 0)
             found.append([{"start": s, "length": n} for s, n in sorted(own)])
+        release_memory()
         return pa.array(found, pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())])))
 
     return runs

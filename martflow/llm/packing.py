@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import map_batches, ship_package
 from .tokens import token_array
 
 END_ID = 0
@@ -248,7 +248,7 @@ def pack_documents(
         yield from _batches(packer.pack(last=True))
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(packed, PIECES)
+    return map_batches(rows, packed, PIECES)
 
 
 def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.scratch import scratch_folder, written
-from .common import free_names, ship_package, utf8
+from .common import free_names, release_memory, ship_package, utf8
 from .components import connected_components
 
 BITS = 64
@@ -59,7 +59,9 @@ def fingerprints(
 
     @F.arrow_udf("long")
     def coded(texts: pa.Array) -> pa.Array:
-        return pa.array([fingerprint(t.as_py(), words_in_shingle) for t in texts], pa.int64())
+        codes = pa.array([fingerprint(t.as_py(), words_in_shingle) for t in texts], pa.int64())
+        release_memory()
+        return codes
 
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"), coded(utf8(F.col(text_col))).alias("code")
