@@ -25,6 +25,7 @@ from .aggregate import CountDistinct, MartSpec, Money, Sum, _parts, _report, wit
 
 SIGN, ROWS, REFERENCES, VALUE = "_sign", "_rows", "_references", "_value"
 PLACES = "decimal(38,9)"
+FEW_MOVES = 100_000  # a lookup in the map tasks; a join of more would shuffle all earlier rows once more
 
 
 def _measured(spec: MartSpec, unique_on: tuple[str, ...]) -> tuple[list[Sum], list[CountDistinct], list[CountDistinct]]:
@@ -64,19 +65,24 @@ def value_references(rows: DataFrame, spec: MartSpec, measure: CountDistinct) ->
 def counted_moves(moves: DataFrame, known: DataFrame, spec: MartSpec, measure: CountDistinct) -> DataFrame:
     """``grain..., measure``: by how much a distinct count changes.
 
-    ``moves`` are a batch's value rows, ``known`` the earlier ones; only those of the same
-    grain and value are aggregated.  Both should be written tables.
+    ``moves`` are a batch's value rows, one for each grain and value, ``known`` the earlier
+    ones.  Both should be written tables.  Few moves are looked up in the earlier rows before
+    these are shuffled; beside many, all rows meet in one shuffle by grain and value, and
+    groups without a move go.
     """
     pair = [*spec.grain, VALUE]
-    own = free_names(known.columns, *(f"own_{c}" for c in pair))
-    wanted = moves.select(*(F.col(c).alias(name) for c, name in zip(pair, own)))
-    same = reduce(and_, (F.col(c).eqNullSafe(F.col(name)) for c, name in zip(pair, own)))
-    before = known.join(wanted, same, "left_semi")
-    both = moves.withColumn(SIGN, F.lit(1)).unionByName(before.withColumn(SIGN, F.lit(0)))
+    if moves.count() <= FEW_MOVES:
+        own = free_names(known.columns, *(f"own_{c}" for c in pair))
+        wanted = moves.select(*(F.col(c).alias(name) for c, name in zip(pair, own)))
+        same = reduce(and_, (F.col(c).eqNullSafe(F.col(name)) for c, name in zip(pair, own)))
+        known = known.join(wanted, same, "left_semi")
+    both = moves.withColumn(SIGN, F.lit(1)).unionByName(known.withColumn(SIGN, F.lit(0)))
     old = F.sum(F.when(F.col(SIGN) == 0, F.col(REFERENCES)).otherwise(0))
-    totals = both.groupBy(*pair).agg(F.sum(REFERENCES).alias("after"), old.alias("before"))
+    totals = both.groupBy(*pair).agg(
+        F.sum(REFERENCES).alias("after"), old.alias("before"), F.max(SIGN).alias("moved")
+    )
     change = (F.col("after") > 0).cast("long") - (F.col("before") > 0).cast("long")
-    return totals.groupBy(*spec.grain).agg(F.sum(change).alias(measure.name))
+    return totals.filter("moved = 1").groupBy(*spec.grain).agg(F.sum(change).alias(measure.name))
 
 
 def group_deltas(

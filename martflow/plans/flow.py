@@ -75,6 +75,9 @@ from .state import MartState
 #: Folders for stored dimensions: what the mart shows, what an open run showed, what is now.
 DIMENSIONS = 3
 
+#: Keys of a batch that the index finds without a shuffle of it.
+FEW_KEYS = 100_000
+
 Table = Callable[[SparkSession], DataFrame]
 
 
@@ -304,7 +307,7 @@ class Flow:
             raise
 
         state = replace(state, epoch=epoch, last_batch=batch - 1)
-        sides = self._write_sides(staged, state, epoch, batch, first)
+        sides = self._write_sides(staged, state, epoch, batch, first, keyed=True)
         facts = dict(
             epoch=epoch, batch_id=batch, rows_in_batch=size, watermark_after=high, dimension=shown,
             sides=[table.name for table in sides], **counts,
@@ -569,22 +572,28 @@ class Flow:
         return [table for table in (self.keys, self.looked_up, self.state) if table]
 
     def _write_sides(
-        self, staged: DataFrame, state: runs.LedgerState, epoch: int, batch: int, first: bool
+        self, staged: DataFrame, state: runs.LedgerState, epoch: int, batch: int, first: bool, keyed: bool = False
     ) -> list:
-        """Add a batch to the side tables that hold all batches before it, and return these."""
+        """Add a batch to the side tables that hold all batches before it, and return these.
+
+        ``keyed`` states that ``staged`` has one row per key, as one batch has.
+        """
         contract = self.spec.contract
         held = [table for table in self._sides() if first or table.name in state.sides]
         if self.state in held:
             fresh = staged
             if first:
                 superseded = staged.limit(0)
-                fresh = latest_per_key(staged, contract.key, contract.time, contract.ties)
+                if not keyed:
+                    fresh = latest_per_key(staged, contract.key, contract.time, contract.ties)
             else:
                 superseded = self._superseded(staged, state)
             self.state.add(fresh, superseded, epoch, batch)
         for table in held:
             if table is not self.state:
-                pairs = staged.select(*table.schema.names).distinct()
+                pairs = staged.select(*table.schema.names)
+                if not (keyed and table is self.keys):
+                    pairs = pairs.distinct()
                 table.add(pairs, epoch, batch)
         return held
 
@@ -592,12 +601,27 @@ class Flow:
         """The current version of each of the batch's keys before the batch, where there was one."""
         contract = self.spec.contract
         keys = written(staged.select(*contract.key), self._scratch("keys"))
-        days = days_in(self.keys, keys, contract.day, state.epoch, state.last_batch)
-        days = [row[0] for row in days.collect()]  # one a calendar day
         known = self._batches(state.epoch, state.last_batch).drop(publish.BATCH)
-        known = known.filter(F.col(contract.day).isin(days)).join(keys, [*contract.key], "left_semi")
+        if not self._on_all_days(keys, known, state):
+            days = days_in(self.keys, keys, contract.day, state.epoch, state.last_batch)
+            days = [row[0] for row in days.collect()]  # one a calendar day
+            known = known.filter(F.col(contract.day).isin(days))
+        known = known.join(keys, [*contract.key], "left_semi")
         return latest_per_key(known, contract.key, contract.time, contract.ties).select(*staged.columns)
 
+    def _on_all_days(self, keys: DataFrame, known: DataFrame, state: runs.LedgerState) -> bool:
+        """Whether the keys of one bucket alone prove that a wide batch's have versions on all days.
+
+        There the index has nothing to leave out.
+        """
+        day = self.spec.contract.day
+        if keys.count() <= FEW_KEYS:
+            return False
+        some = keys.filter(self.keys.bucket_of(self.keys.columns) == 0)
+        found = days_in(self.keys, some, day, state.epoch, state.last_batch).collect()  # one a calendar day
+        there = touched_days(known, day).collect()
+        return {row[0] for row in there} <= {row[0] for row in found}
+
     def _replace_from_state(self, epoch: int, batch: int) -> None:
         """Replace the days that the state says a batch has changed."""
         spec, contract = self.spec, self.spec.contract

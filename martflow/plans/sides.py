@@ -36,7 +36,7 @@ class SideTable:
         """What the ledger calls the table: batches with another name were laid out otherwise."""
         return f"{self.root.rsplit('.', 1)[-1]}({','.join(self.columns)})/{self.buckets}"
 
-    def _bucket_of(self, columns: Sequence[str]) -> Column:
+    def bucket_of(self, columns: Sequence[str]) -> Column:
         # A null value has a bucket like any other.
         return F.pmod(F.xxhash64(*columns), F.lit(self.buckets)).cast("int")
 
@@ -44,7 +44,7 @@ class SideTable:
         """Write the rows of a batch, in place of what it had."""
         (
             rows.select(*self.schema.names)
-            .withColumn(self.bucket, self._bucket_of(self.columns))
+            .withColumn(self.bucket, self.bucket_of(self.columns))
             .hint("rebalance", F.col(self.bucket))
             .sortWithinPartitions(self.bucket, *self.columns)
             .write.mode("overwrite")
@@ -53,21 +53,24 @@ class SideTable:
             .parquet(f"{epoch_folder(self.root, epoch)}/{self.batch}={batch}")
         )
 
-    def read(self, epoch: int, last: int, values: DataFrame | None = None) -> DataFrame:
+    def read(
+        self, epoch: int, last: int, values: DataFrame | None = None, numbers: Sequence[int] | None = None
+    ) -> DataFrame:
         """Rows of an epoch up to batch ``last``; with ``values``, those of their buckets only.
 
         ``values`` has the bucketed columns and should be written.  The numbers of their
-        buckets come to the driver, which are ``buckets`` at most; folders of the others are
-        not even listed.
+        buckets come to the driver, which are ``buckets`` at most, unless ``numbers`` gives
+        them; folders of the others are not even listed.
         """
         base = epoch_folder(self.root, epoch)
         path = base
         if values is not None:
-            found = values.select(self._bucket_of(self.columns).alias(self.bucket)).distinct().collect()
-            if not found:
+            found = values.select(self.bucket_of(self.columns).alias(self.bucket)).distinct().collect()
+            numbers = [row[0] for row in found]
+        if numbers is not None:
+            if not numbers:
                 return self.spark.createDataFrame([], self.schema)
-            numbers = ",".join(str(n) for n in sorted(row[0] for row in found))
-            path = f"{base}/{self.batch}=*/{self.bucket}={{{numbers}}}"
+            path = f"{base}/{self.batch}=*/{self.bucket}={{{','.join(map(str, sorted(numbers)))}}}"
         laid_out = StructType([
             *self.schema, StructField(self.batch, LongType()), StructField(self.bucket, IntegerType())
         ])
@@ -84,6 +87,13 @@ class SideTable:
         folder = f"{epoch_folder(self.root, epoch)}/{self.batch}={batch}"
         return read_if_present(self.spark, folder, self.schema, "parquet")
 
+    def numbers(self, epoch: int, batch: int) -> list[int]:
+        """The buckets that a batch has rows in, by its folders."""
+        laid_out = StructType([*self.schema, StructField(self.bucket, IntegerType())])
+        folder = f"{epoch_folder(self.root, epoch)}/{self.batch}={batch}"
+        rows = read_if_present(self.spark, folder, laid_out, "parquet")
+        return [row[0] for row in rows.select(self.bucket).distinct().collect()]
+
     def retire(self, epoch: int) -> None:
         """Drop the files of an epoch, by overwriting its folder with no rows."""
         empty = self.spark.createDataFrame([], self.schema)

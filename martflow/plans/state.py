@@ -61,10 +61,10 @@ class MartState:
         counted = {}
         for measure in referenced(self.spec, self.unique_on):
             table = self.values[measure.name]
-            moves = written(value_references(rows, self.spec, measure), self._scratch(f"moves_{measure.name}"))
-            known = table.read(epoch, batch - 1, moves)
+            table.add(value_references(rows, self.spec, measure), epoch, batch)
+            moves = table.read_batch(epoch, batch).select(*table.schema.names)
+            known = table.read(epoch, batch - 1, numbers=table.numbers(epoch, batch))
             counted[measure.name] = counted_moves(moves, known, self.spec, measure)
-            table.add(moves, epoch, batch)
         self.groups.add(group_deltas(rows, self.spec, self.unique_on, counted), epoch, batch)
 
     def days(self, epoch: int, batch: int, day: str) -> DataFrame:

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from test_flow import STEPS, Crash
 from test_rebuild import mart, versions
 
-from martflow.operators import DAILY_CATEGORY_MART, CheckPlan, CountDistinct, MartSpec, Money, Sum
+from martflow.operators import DAILY_CATEGORY_MART, CheckPlan, CountDistinct, MartSpec, Money, Sum, deltas
+from martflow.operators.deltas import REFERENCES, VALUE, counted_moves
 from martflow.plans import Flow, FlowSpec, written
+from martflow.plans import flow as flows
 from martflow.plans.sides import SideTable, days_in, key_days
 from workloads.tables import EVENT_ORDERS
 
@@ -48,6 +50,51 @@ def test_differences_give_the_mart_of_one_full_run(spark, tmp_path, seed):
     assert published(flow) == mart(rows)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_wide_batches_give_the_same(spark, tmp_path, monkeypatch, seed):
+    monkeypatch.setattr(deltas, "FEW_MOVES", 0)
+    monkeypatch.setattr(flows, "FEW_KEYS", 0)
+    rows = versions(seed)
+    raw = written(spark.createDataFrame([r[:6] for r in rows], EVENT_ORDERS.schema), str(tmp_path / "raw"))
+    for cut in cuts_of(rows, seed):
+        flow = flow_over(spark, tmp_path, raw, cut)
+        flow.run()
+        assert published(flow) == mart([r for r in rows if r[2] <= cut])
+
+
+def test_keys_on_all_days_spare_the_index(spark, tmp_path, monkeypatch):
+    """Half the keys come again: those of one bucket have versions on all ten days."""
+    start, sought = dt.datetime(2024, 1, 1), []
+    old = [(k, k % 7, start + dt.timedelta(days=k % 10), "a", 1, 2.0) for k in range(400)]
+    new = [(k, k % 7, start + dt.timedelta(days=20), "a", 1, 3.0) for k in range(0, 400, 2)]
+    new += [(k, k % 7, start + dt.timedelta(days=20), "a", 1, 3.0) for k in range(1, 400, 4)]
+    raw = written(spark.createDataFrame(old + new, EVENT_ORDERS.schema), str(tmp_path / "raw"))
+    monkeypatch.setattr(flows, "FEW_KEYS", 100)
+    monkeypatch.setattr(flows, "days_in", lambda index, keys, *rest: sought.append(keys.count()) or days_in(index, keys, *rest))
+    for cut in (start + dt.timedelta(days=15), start + dt.timedelta(days=30)):
+        flow = flow_over(spark, tmp_path, raw, cut)
+        flow.run()
+    assert len(sought) == 1 and 0 < sought[0] < len(new) / 2
+    latest = {r[0]: r for r in old} | {r[0]: r for r in new}
+    assert sum(r["orders"] for r in flow.mart().collect()) == len(latest)
+
+
+def test_many_moves_meet_the_earlier_rows_in_one_shuffle(spark, tmp_path, monkeypatch):
+    spec = MartSpec("d", ("d", "g"), (CountDistinct("n", "v"),))
+    kinds = f"d int, g string, {VALUE} long, {REFERENCES} long"
+    moved = [(1, "a", 1, 1), (1, "a", 2, -1), (1, None, 3, -1), (2, "b", 4, 1), (2, "b", 5, -1)]
+    held = [(1, "a", 1, 2), (1, "a", 2, 1), (1, None, 3, 1), (2, "b", 5, 3), (3, "c", 9, 1), (1, "a", 7, 1)]
+    moves = written(spark.createDataFrame(moved, kinds), str(tmp_path / "moves"))
+    known = written(spark.createDataFrame(held, kinds), str(tmp_path / "known"))
+    wanted = {(1, "a"): -1, (1, None): -1, (2, "b"): 1}
+    for few, joins in ((0, 0), (5, 1)):
+        monkeypatch.setattr(deltas, "FEW_MOVES", few)
+        found = counted_moves(moves, known, spec, spec.measures[0])
+        assert {(r["d"], r["g"]): r["n"] for r in found.collect()} == wanted
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join LeftSemi") == joins
+
+
 @pytest.mark.parametrize("step", [*STEPS])
 def test_a_run_that_breaks_off_leaves_no_difference(spark, tmp_path, monkeypatch, step):
     rows = versions(5, n=60)
